@@ -6,12 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lettrine.llm import leak, mixing, spans
+from lettrine.llm import leak, mixing, people, spans
 from lettrine.llm.base import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return people.linked_pairs(table(spark, sf_dir, "header_contacts"))
+
+
+def p7_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return people.link(table(spark, sf_dir, "header_contacts"))
+
+
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leak.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items")).select("doc_id", "item_id")
 
@@ -46,7 +54,7 @@ def p10_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    named = (p8_found, p8_leaks, p8_clean, p9_mix, p9_shares, p10_found, p10_spans, p10_shared)
+    named = (p7_found, p7_entities, p8_found, p8_leaks, p8_clean, p9_mix, p9_shares, p10_found, p10_spans, p10_shared)
     return {f.__name__: f for f in named}
 
 
