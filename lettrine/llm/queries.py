@@ -6,12 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lettrine.llm import garble, leak, mixing, people, replies, scans, spans
+from lettrine.llm import garble, leak, mixing, people, private, replies, scans, spans
 from lettrine.llm.base import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    emails = table(spark, sf_dir, "parsed_emails")
+    return private.found(private.texts_of(emails, table(spark, sf_dir, "dropbox_uploads")), private.learn_given(emails))
+
+
+def p2_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    emails = table(spark, sf_dir, "parsed_emails")
+    return private.without_private(private.texts_of(emails, table(spark, sf_dir, "dropbox_uploads")), private.learn_given(emails))
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replies.foreign_lines(table(spark, sf_dir, "parsed_emails"))
 
@@ -78,7 +88,7 @@ def p10_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    named = (p4_found, p4_own, p5_found, p5_repaired, p6_found, p6_restored, p7_found, p7_entities, p8_found, p8_leaks, p8_clean, p9_mix, p9_shares, p10_found, p10_spans, p10_shared)
+    named = (p2_found, p2_redacted, p4_found, p4_own, p5_found, p5_repaired, p6_found, p6_restored, p7_found, p7_entities, p8_found, p8_leaks, p8_clean, p9_mix, p9_shares, p10_found, p10_spans, p10_shared)
     return {f.__name__: f for f in named}
 
 
