@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lettrine import pipeline_queries
 from lettrine.operators import shred, upsert
 from lettrine.workspace import table
 
@@ -46,8 +47,9 @@ WITH known AS (
 
 
 def queries() -> dict[str, Query]:
-    return {"p1_found": p1_found, "p1_contacts": p1_contacts, "p1_attachments": p1_attachments, "p1_messages": p1_messages, "p3_found": p3_found}
+    own = (p1_found, p1_contacts, p1_attachments, p1_messages, p3_found)
+    return pipeline_queries.queries() | {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p3_found": _KEYED + "SELECT record_id FROM ranked WHERE old OR n > 1"}
+    return pipeline_queries.oracle_sql() | {"p3_found": _KEYED + "SELECT record_id FROM ranked WHERE old OR n > 1"}
