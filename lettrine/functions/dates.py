@@ -8,6 +8,7 @@ from datetime import timezone
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _WEEKDAY = r"^\s*[A-Za-z]{3,9},\s*"
 _COMMENT = r"\s*\([^)]*\)\s*$"
@@ -18,7 +19,7 @@ def rfc3339(x: Column) -> Column:
     return F.date_format(x, "yyyy-MM-dd'T'HH:mm:ssxxx")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _obsolete(values: pd.Series) -> pd.Series:
     def read(v: str | None) -> str | None:
         if not v:

@@ -9,6 +9,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ColumnLike = Column | str
 #: Prefixes that mark the direction of a message in its subject.
@@ -53,7 +54,7 @@ def decode_entities_text(value: str) -> str:
     return _ENTITY.sub(_entity, value) if "&" in value else value
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _decode_entities(values: pd.Series) -> pd.Series:
     return values.map(lambda v: None if v is None else decode_entities_text(v))
 

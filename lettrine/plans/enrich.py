@@ -18,6 +18,8 @@ from lettrine.workspace import persisted
 
 JSON_CHARS = 16_000
 PREFIX = "enrich"
+#: A document: its message's folder and stem, and its position in the message.
+KEY = ["folder", "stem", "position"]
 Model = Callable[[dict], dict]
 
 
@@ -38,7 +40,7 @@ def jobs(bundles: DataFrame, accounts: list[str] | None, limit: int | None) -> D
     rows = bundles.where(F.col("account_name").isin(*accounts)) if accounts else bundles
     if limit is None:
         return rows
-    return ordering.placed(rows, [X.path_order("folder"), F.col("stem")], "place").where(F.col("place") <= limit).drop("place")
+    return ordering.placed(rows, [X.path_order("folder"), F.col("stem"), F.col("position")], "place").where(F.col("place") <= limit).drop("place")
 
 
 def with_input_hash(rows: DataFrame, spec_text: str) -> DataFrame:
@@ -48,7 +50,7 @@ def with_input_hash(rows: DataFrame, spec_text: str) -> DataFrame:
 
 
 def outdated(rows: DataFrame, done: DataFrame, force: bool = False) -> DataFrame:
-    return rows if force else dedup.not_in(rows, done, ["folder", "stem", "input_hash"])
+    return rows if force else dedup.not_in(rows, done, [*KEY, "input_hash"])
 
 
 def requests(rows: DataFrame, spec: Spec, model: str, send_images: bool = False, max_bytes: int = documents.MAX_ATTACHMENT_BYTES) -> DataFrame:
@@ -65,7 +67,7 @@ def requests(rows: DataFrame, spec: Spec, model: str, send_images: bool = False,
         F.lit("\n\nBody:\n"), X.truncate_chars(markup.body_for_prompt("xml"), markup.BODY_CHARS), F.lit("\n\nAttachments:\n"), inputs, F.lit("\n"),
     )
     request = F.struct(F.lit(model).alias("model"), F.lit(spec.instructions).alias("instructions"), prompt.alias("prompt"), F.lit(json.dumps(spec.schema)).alias("schema"), F.lit(cache_key(PREFIX, model, spec.fingerprint)).alias("cache_key"))
-    return out.drop("r").withColumn("request", F.to_json(request))
+    return out.withColumn("request", F.to_json(request)).drop("r")
 
 
 def answer_of(payload: dict) -> object:
@@ -152,7 +154,7 @@ def run(rows: DataFrame, spec: Spec, model_factory: Callable[[], Model], retries
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, pacer = model_factory(), Pacer(delay_ms / 1000)
         for batch in batches:
-            folders, stems, hashes_, asked = (c.to_pylist() for c in batch.columns)
+            asked = batch.column("request").to_pylist()
             answers: list[str | None] = []
             errors: list[str | None] = []
             for text in asked:
@@ -162,12 +164,12 @@ def run(rows: DataFrame, spec: Spec, model_factory: Callable[[], Model], retries
                 except Exception as e:  # noqa: BLE001 - the error is the result
                     answers.append(None)
                     errors.append(f"{type(e).__name__}: {e}")
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.string()) for x in (folders, stems, hashes_, answers, errors)], names=["folder", "stem", "input_hash", "ai", "error"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(answers, pa.string()), pa.array(errors, pa.string())], names=[*KEY, "input_hash", "ai", "error"])
 
-    asked = rows.select("folder", "stem", "input_hash", "request")
-    done = persisted((asked.coalesce(1) if one_at_a_time else asked).mapInArrow(each, "folder string, stem string, input_hash string, ai string, error string"), "answers")
+    asked = rows.select(*KEY, "input_hash", "request")
+    done = persisted((asked.coalesce(1) if one_at_a_time else asked).mapInArrow(each, "folder string, stem string, position int, input_hash string, ai string, error string"), "answers")
     outputs = done.where("error is null").drop("error").withColumn("completed_at", F.current_timestamp())
-    failures = done.where("error is not null").select(F.lit("enrich").alias("stage"), F.concat_ws("/", "folder", "stem").alias("key"), "error", F.current_timestamp().alias("failed_at"))
+    failures = done.where("error is not null").select(F.lit("enrich").alias("stage"), F.concat_ws("/", "folder", "stem", F.col("position").cast("string")).alias("key"), "error", F.current_timestamp().alias("failed_at"))
     return outputs, failures
 
 

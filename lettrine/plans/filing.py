@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from lettrine.functions import dates, hashes
 from lettrine.functions import text as X
 from lettrine.operators import dedup, documents
-from lettrine.plans.enrich import columns
+from lettrine.plans.enrich import KEY, columns
 from lettrine.sources import archive
 from lettrine.workspace import persisted
 
@@ -61,14 +61,14 @@ class LocalStore:
 
 def planned(bundles: DataFrame, outputs: DataFrame, root: str) -> tuple[DataFrame, DataFrame]:
     """(plans, failures): bundles with their answers, one item each; documents without bytes are left out."""
-    j = bundles.join(outputs.select("folder", "stem", "ai"), ["folder", "stem"]).withColumn("c", columns(F.col("ai")))
+    j = bundles.join(outputs.select(*KEY, "ai"), KEY).withColumn("c", columns(F.col("ai")))
     items = documents.inherit_folders(F.coalesce("c.attachment_summaries", F.array()), F.col("c.main_folder"), F.col("c.sub_folder"))
     a = F.col("attachments")[0]
     body = F.coalesce(a["is_email_body"], F.lit(False))
     rows = j.withColumn("items", items).where(body | F.col("content").isNotNull()).where(F.size("items") > 0)
     rows = rows.withColumn("item", F.col("items")[0]).withColumn("md5", a["md5"]).withColumn("source_file_name", a["original_name"]).withColumn("is_email_body", a["is_email_body"]).withColumn("parsed_mime", a["mime_type"]).withColumn("xml_content", F.col("xml")).withColumn("ai_content", F.col("ai"))
     out = documents.plan(rows, root).withColumn("error", F.when(F.size("items") != 1, F.lit("not exactly one summary")).otherwise(F.col("error")))
-    failed = out.where("error is not null").select(F.lit("file").alias("stage"), F.concat_ws("/", "folder", "stem").alias("key"), "error")
+    failed = out.where("error is not null").select(F.lit("file").alias("stage"), F.concat_ws("/", "folder", "stem", F.col("position").cast("string")).alias("key"), "error")
     return out.where("error is null"), failed
 
 

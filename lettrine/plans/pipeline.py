@@ -16,6 +16,7 @@ import logging
 import os
 import sys
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,6 +66,7 @@ class Run:
                 log.warning("no folder for account %s", a.name)
                 continue
             files = self.spark.read.format("mailbox").option("path", root).option("skip", self.config.parseIaFolder).load()
+            files = files.withColumn("folder", F.concat_ws("/", F.lit(a.name), F.nullif("folder", F.lit(""))))
             rows, failed = parse.bundles(parse.pending(files, known(self.spark, os.path.join(self.work, "bundles"))), self.work)
             rows.withColumn("account_name", F.lit(a.name)).write.mode("append").parquet(os.path.join(self.work, "bundles"))
             self._failed(failed)
@@ -79,10 +81,10 @@ class Run:
             text = f.read()
         bundles = self.spark.read.parquet(os.path.join(self.work, "bundles"))
         rows = enrich.with_input_hash(enrich.jobs(bundles, [a.name for a in self.accounts(only)], limit), text)
-        rows = enrich.outdated(rows, self._table("outputs", "folder string, stem string, input_hash string"), force)
+        rows = enrich.outdated(rows, self._table("outputs", "folder string, stem string, position int, input_hash string"), force)
         asked = enrich.requests(rows, s, self.config.aiModel, self.config.aiSendRawImages, self.config.aiMaxAttachmentBytes)
         if dry_run:
-            return asked.select("folder", "stem", "request")
+            return asked.select(*enrich.KEY, "request")
         outputs, failed = enrich.run(asked, s, self.model_factory or enrich.stub_model(s), self.config.aiRetryCount, self.config.aiRequestDelayMs, self.config.aiRequestDelayMs > 0)
         outputs.write.mode("append").parquet(os.path.join(self.work, "outputs"))
         self._failed(failed)
@@ -90,10 +92,10 @@ class Run:
 
     def file(self, only: str | None = None, root: str | None = None, limit: int | None = None, dry_run: bool = False) -> DataFrame:
         bundles = enrich.jobs(self.spark.read.parquet(os.path.join(self.work, "bundles")), [a.name for a in self.accounts(only)], limit)
-        outputs = self._table("outputs", "folder string, stem string, ai string, completed_at timestamp")
-        newest = outputs.groupBy("folder", "stem").agg(F.max_by("ai", "completed_at").alias("ai"))
+        outputs = self._table("outputs", "folder string, stem string, position int, ai string, completed_at timestamp")
+        newest = outputs.groupBy(*enrich.KEY).agg(F.max_by("ai", "completed_at").alias("ai"))
         folder = C.root_folder(self.config, root)
-        store = self.store_factory or (lambda: filing.LocalStore(os.path.join(self.work, "store")))
+        store = self.store_factory or partial(filing.LocalStore, os.path.join(self.work, "store"))
         plans, failed = filing.file_documents(self.spark, bundles, newest, folder, os.path.join(self.work, "archive"), store, dry_run)
         if not dry_run:
             self._failed(failed)
