@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import time
+import zlib
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -181,7 +182,7 @@ def stub_model(spec: Spec) -> Callable[[], Model]:
         def model(request: dict) -> dict:
             names = [a["file_name"] for a in json.loads(request["prompt"].rsplit("Attachments:\n", 1)[1].split("\n")[0])]
             level = "HAUTE" if len(request["prompt"]) % 2 else "BASSE"
-            items = [{"file_name": n, "mime_type": None, "summary": n, "importance": level, "proposed_file_name": f"2024-01-01 {n}", "main_folder": main, "sub_folder": spec.taxonomy[main][0]} for n in names]
+            items = [{"file_name": n, "mime_type": None, "summary": n, "importance": level, "proposed_file_name": f"2024-01-01 {zlib.crc32(request['prompt'].encode()):08x} {n}", "main_folder": main, "sub_folder": spec.taxonomy[main][0]} for n in names]
             return {"output_text": json.dumps({"email_summary": "stub", "email_importance": level, "attachment_summaries": items})}
 
         return model
