@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import math
 import unicodedata
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -112,16 +113,16 @@ class Automaton:
                 n = 0
 
 
-_built: dict[int, Automaton] = {}
+_built: dict[tuple[str, int], Automaton] = {}
 
 
 def _automaton(shared, least: int) -> Automaton:
-    """Of a broadcast block; built once in each worker."""
-    key = shared.id if hasattr(shared, "id") else id(shared)
-    if (key, least) not in _built:
+    """Of a broadcast block, which carries its own name; built once in each worker."""
+    name, block = shared.value
+    if (name, least) not in _built:
         _built.clear()
-        _built[key, least] = Automaton(shared.value, least)
-    return _built[key, least]
+        _built[name, least] = Automaton(block, least)
+    return _built[name, least]
 
 
 def item_blocks(items: DataFrame, block_chars: int) -> Iterator[list[tuple[int, str]]]:
@@ -140,7 +141,7 @@ def leaks(documents: DataFrame, items: DataFrame, min_words: int = MIN_WORDS, bl
     out = None
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
     for block in item_blocks(items, block_chars):
-        shared = spark.sparkContext.broadcast(block)
+        shared = spark.sparkContext.broadcast((uuid.uuid4().hex, block))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             a = _automaton(shared, min_words)
@@ -182,7 +183,7 @@ def without_leaks(documents: DataFrame, items: DataFrame, min_words: int = MIN_W
     spark = documents.sparkSession
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     for block in item_blocks(items, block_chars):
-        shared = spark.sparkContext.broadcast(block)
+        shared = spark.sparkContext.broadcast((uuid.uuid4().hex, block))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             a = _automaton(shared, min_words)

@@ -404,6 +404,8 @@ class Repairer:
                 glue = True
                 if not self.own_hyphen(*joins[i]):
                     now = now[:-1]
+            elif len(now) > 1 and now[-1] == "-" and now[-2].isalnum():
+                glue = True  # a reference with a hyphen of its own goes on
             gap = False
         if now:
             paragraphs.append(now)
