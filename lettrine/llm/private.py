@@ -191,7 +191,7 @@ class Names:
         start = text.rfind("\n", 0, a) + 1
         return between.count("\n") == 1 and not between.strip("\r\n>| \t") and a - start >= 45
 
-    def find(self, text: str, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    def find(self, text: str) -> Iterator[tuple[int, int]]:
         words = [(m.start(), m.end(), m[0]) for m in _CAPITAL.finditer(text)]
         n = len(words)
         done = -1
@@ -221,7 +221,7 @@ class Names:
             end = b - token.endswith(".")
             if text[end : end + 1] == "@":
                 continue
-            before = words[i - 1] if i and self._gap(text, words[i - 1][1], a) else None
+            before = words[i - 1] if i and (not words[i - 1][2].endswith(".") or self.kind(words[i - 1][2]) in "ti") and self._gap(text, words[i - 1][1], a) else None
             after = words[i + 1] if not token.endswith(".") and i + 1 < n and self._gap(text, end, words[i + 1][0]) else None
             if before and self.kind(before[2]) == "o" or after and self.kind(after[2]) == "o" or after and i + 2 < n and self._gap(text, after[1], words[i + 2][0]) and self.kind(words[i + 2][2]) == "o":
                 continue
@@ -335,7 +335,7 @@ def find(text: str, names: Names) -> list[tuple[int, int, str]]:
             take(m.start(), b, "street_address")
     for a, b in names.others(shape, emails):
         take(a, b, "person_name")
-    for a, b in names.find(shape, []):
+    for a, b in names.find(shape):
         take(a, b, "person_name")
     taken.sort()
     if spans is None:

@@ -193,7 +193,7 @@ class SharedSpans:
         reps = self.members.where("doc_id = rep").select("rep")
         texts = docs.join(reps, "rep", "left_semi").dropDuplicates(["rep"])
         found = persisted(docs.mapInArrow(_anchor_batches, "rep long, at int, print long").join(reps, "rep", "left_semi"), "anchors")
-        recurring = found.groupBy("print").agg(F.approx_count_distinct("rep").alias("about"), F.count("*").alias("texts"), F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo <> hi").select("print", "texts")
+        recurring = found.groupBy("print").agg(F.count("*").alias("texts"), F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo <> hi").select("print", "texts")
         kept = found.join(recurring, "print").groupBy("rep").agg(F.collect_list(F.struct("at", "print", "texts")).alias("found"))
         context = "rep long, at int, print long, texts long, before string, seed string, after string"
         self.seeds = persisted(texts.join(kept, "rep").select("rep", "text", "found").mapInArrow(_with_context, context), "seeds")
