@@ -9,7 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
+
+from lettrine.operators import ordering
 
 
 def first_wins(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
@@ -19,9 +20,9 @@ def first_wins(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
     return best.select(*(F.col(key) if c == key else F.col(f"_row.{c}").alias(c) for c in df.columns))
 
 
-def ranked(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
+def ranked(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     """Rows with their rank within the key, for sinks that try the next one when a write fails."""
-    return df.withColumn("rank", F.row_number().over(W.partitionBy(key).orderBy(*order)))
+    return ordering.numbered(df, [key], order, "rank")
 
 
 def not_in(df: DataFrame, state: DataFrame, keys: list[str]) -> DataFrame:
@@ -55,17 +56,20 @@ def sticky_name(df: DataFrame, key: str, name: str, order: str, out: str = "stic
     return j.withColumn(out, F.when(F.col("_since") <= F.col(order), F.col("_name")).otherwise(F.lit(""))).drop("_name", "_since")
 
 
-def number_collisions(df: DataFrame, folder: str, name: str, order: list[Column], out: str = "unique_name") -> DataFrame:
+def number_collisions(df: DataFrame, folder: str, name: str, order: list[str], out: str = "unique_name") -> DataFrame:
     """``a.pdf``, ``a_1.pdf``, ``a_2.pdf``: equal names of a folder get numbers before the extension.
 
-    Numbers already taken by given names are skipped: a second pass numbers what
-    still collides.
+    ``order`` names columns that are unique in the table.  Numbers already taken by
+    given names are skipped: a second pass numbers what still collides.  Only the
+    named columns are sorted; the others are joined back.
     """
-    stem = F.regexp_replace(F.col(name), r"(?s)(?<=.)\.[^.]*\z", "")
-    suffix = F.regexp_extract(F.col(name), r"(?s).(\.[^.]*)\z", 1)
-    n = F.row_number().over(W.partitionBy(folder, name).orderBy(*order)) - 1
-    numbered = df.withColumn("_n", n).withColumn(out, F.when(F.col("_n") == 0, F.col(name)).otherwise(F.concat(stem, F.lit("_"), F.col("_n").cast("string"), suffix)))
-    again = F.row_number().over(W.partitionBy(folder, out).orderBy(F.col("_n"), *order)) - 1
-    stem2 = F.regexp_replace(F.col(out), r"(?s)(?<=.)\.[^.]*\z", "")
-    second = numbered.withColumn("_again", again)
-    return second.withColumn(out, F.when(F.col("_again") == 0, F.col(out)).otherwise(F.concat(stem2, F.lit("_"), F.col("_again").cast("string"), suffix))).drop("_n", "_again")
+
+    def with_number(shown: str, n: str) -> Column:
+        stem = F.regexp_replace(F.col(shown), r"(?s)(?<=.)\.[^.]*\z", "")
+        suffix = F.regexp_extract(F.col(shown), r"(?s).(\.[^.]*)\z", 1)
+        return F.when(F.col(n) == 1, F.col(shown)).otherwise(F.concat(stem, F.lit("_"), (F.col(n) - 1).cast("string"), suffix))
+
+    narrow = df.select(folder, name, *order)
+    once = ordering.numbered(narrow, [folder, name], order, "_n").withColumn(out, with_number(name, "_n"))
+    twice = ordering.numbered(once.select(folder, out, "_n", *order), [folder, out], ["_n", *order], "_m").withColumn(out, with_number(out, "_m"))
+    return df.join(twice.select(*order, out), order)

@@ -6,7 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
 from lettrine.functions import hashes, markup, responses
 from lettrine.functions import text as X
@@ -178,9 +177,9 @@ SELECT record_id, pos, CASE WHEN n = 0 THEN name ELSE regexp_replace(name, '^(.+
 def collision_suffix(spark: SparkSession, d: str) -> DataFrame:
     """One pass of numbering; the second pass is covered by tests."""
     rows = _attachments(spark, d).select("record_id", "pos", "email_folder", F.col("a.original_name").alias("name")).where("name is not null")
-    n = F.row_number().over(W.partitionBy("email_folder", "name").orderBy("record_id", "pos")) - 1
+    rows = ordering.numbered(rows, ["email_folder", "name"], ["record_id", "pos"], "n")
     stem, suffix = F.regexp_replace("name", r"(?s)(?<=.)\.[^.]*\z", ""), F.regexp_extract("name", r"(?s).(\.[^.]*)\z", 1)
-    return rows.withColumn("n", n).select("record_id", "pos", F.when(F.col("n") == 0, F.col("name")).otherwise(F.concat(stem, F.lit("_"), F.col("n").cast("string"), suffix)).alias("numbered"))
+    return rows.select("record_id", "pos", F.when(F.col("n") == 1, F.col("name")).otherwise(F.concat(stem, F.lit("_"), (F.col("n") - 1).cast("string"), suffix)).alias("numbered"))
 
 
 def _note(k: str) -> str:
@@ -393,6 +392,29 @@ def message_dates(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("case_id", dates.message_date("v").alias("sent"))
 
 
+@_query(r"SELECT record_id, expedition_date AS sent FROM parsed_emails WHERE regexp_full_match(expedition_date, '\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\+00:00')")
+def header_dates(spark: SparkSession, d: str) -> DataFrame:
+    """Date headers written from the stored dates and read back."""
+    from lettrine.functions import dates
+
+    rows = table(spark, d, "parsed_emails").where(F.col("expedition_date").rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\+00:00\z"))
+    header = F.concat(F.lit("Mon, "), F.date_format(F.to_timestamp("expedition_date"), "d MMM yyyy HH:mm:ss"), F.lit(" +0000"))
+    return rows.select("record_id", dates.message_date(header).alias("sent"))
+
+
+_EML = "'Message-ID: <' || doc_id || '@x.test>' || chr(13) || chr(10) || 'Subject: Document ' || doc_id || chr(13) || chr(10) || 'To: A <a@x.test>, b@y.test' || chr(13) || chr(10) || 'Content-Type: text/plain; charset=utf-8' || chr(13) || chr(10) || 'Content-Transfer-Encoding: 8bit' || chr(13) || chr(10) || chr(13) || chr(10) || coalesce(text, '')"
+
+
+@_query(f"SELECT doc_id, '<' || doc_id || '@x.test>' AS message_id, 'Document ' || doc_id AS subject, 'a@x.test|b@y.test' AS targets, 'email-body.xml' AS document, md5({_EML}) AS md5, strlen({_EML}) AS size FROM documents")
+def mime_parse(spark: SparkSession, d: str) -> DataFrame:
+    """Messages written around the documents and parsed: header fields, contacts, the virtual document of a body."""
+    from lettrine.plans import mime
+
+    rows = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("path"), F.encode(F.expr(_EML.replace("chr(13)", "char(13)").replace("chr(10)", "char(10)")), "UTF-8").alias("content"))
+    a = F.col("attachments")[0]["meta"]
+    return mime.parse(rows).select(F.col("path").cast("long").alias("doc_id"), "message_id", "subject", F.array_join(F.transform("targets", lambda t: t["address"]), "|").alias("targets"), a["original_name"].alias("document"), a["md5"].alias("md5"), a["size"].alias("size"))
+
+
 @_query("SELECT * FROM (VALUES (1, '/Mes docs/Impots'), (2, '/'), (3, NULL), (4, '/a/b'), (5, NULL)) t(case_id, root)")
 def store_roots(spark: SparkSession, d: str) -> DataFrame:
     rows = spark.sql("SELECT * FROM (VALUES (1, ' Mes docs/Impots '), (2, '/'), (3, '  '), (4, '//a// b'), (5, '/a/??/b')) t(case_id, v)")
@@ -418,7 +440,7 @@ def folder_names(spark: SparkSession, d: str) -> DataFrame:
 def retry_ranks(spark: SparkSession, d: str) -> DataFrame:
     """The first three candidates of each document, for sinks that try the next one when an upload fails."""
     rows = table(spark, d, "dropbox_uploads").select("md5", "upload_id", "uploaded_at")
-    return dedup.ranked(rows, "md5", [F.col("uploaded_at"), F.col("upload_id")]).where("rank <= 3").select("md5", "upload_id", "rank")
+    return dedup.ranked(rows, "md5", ["uploaded_at", "upload_id"]).where("rank <= 3").select("md5", "upload_id", "rank")
 
 
 @_query("SELECT count_if(md5 <> '') AS processed, count_if(md5 = '') AS failed, bool_or(uploaded_at <> '') AS dirty FROM dropbox_uploads")

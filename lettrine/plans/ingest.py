@@ -51,7 +51,7 @@ def named(rows: DataFrame, group: bool = True) -> DataFrame:
     folder = X.contact_folder("sticky_name", "contact_email") if group else F.col("folder")
     marked = X.mark_direction(F.coalesce("subject", F.lit("")), F.col("direction") == "in")
     name = F.concat(X.stem_or(X.sanitize_file_name(marked, entities=True), "email"), F.lit(".eml"))
-    return dedup.number_collisions(out.withColumn("target_folder", folder).withColumn("target", name), "target_folder", "target", [F.col("seq")], "file_name").drop("c", "target")
+    return dedup.number_collisions(out.withColumn("target_folder", folder).withColumn("target", name), "target_folder", "target", ["seq", "path"], "file_name").drop("c", "target")
 
 
 def save(rows: DataFrame, base: str) -> DataFrame:

@@ -46,10 +46,35 @@ WITH known AS (
 """
 
 
+def _list(v: str) -> str:
+    """SQL: the elements of a field that holds a list, one object, or a JSON text of either."""
+    text = f"({v} ->> '$')"
+    inner = f"CASE WHEN json_valid({text}) THEN {text}::JSON END"
+    return f"CASE json_type({v}) WHEN 'ARRAY' THEN json_extract({v}, '$[*]') WHEN 'OBJECT' THEN [{v}] WHEN 'VARCHAR' THEN CASE json_type({inner}) WHEN 'ARRAY' THEN json_extract({inner}, '$[*]') WHEN 'OBJECT' THEN [{inner}] END END"
+
+
+_LINKS = f"""
+WITH RECURSIVE msg AS (
+  SELECT raw_id, '$' AS path, payload::JSON AS j FROM raw_bundles WHERE json_valid(payload) AND json_type(payload::JSON) = 'OBJECT'
+  UNION ALL
+  SELECT raw_id, path || '.attachments[' || i || '].embedded' AS path, json_extract(x, '$.embedded') AS j FROM (
+    SELECT raw_id, path, unnest(l) AS x, generate_subscripts(l, 1) - 1 AS i FROM (SELECT raw_id, path, {_list("json_extract(j, '$.attachments')")} AS l FROM msg))
+  WHERE json_type(x) = 'OBJECT' AND json_type(json_extract(x, '$.embedded')) = 'OBJECT'
+), objects AS (
+  SELECT raw_id, path, field, unnest(l) AS x, generate_subscripts(l, 1) - 1 AS i FROM (
+    SELECT raw_id, path, 'targets' AS field, {_list("json_extract(j, '$.targets')")} AS l FROM msg
+    UNION ALL SELECT raw_id, path, 'cc', {_list("json_extract(j, '$.cc')")} FROM msg
+    UNION ALL SELECT raw_id, path, 'attachments', {_list("json_extract(j, '$.attachments')")} FROM msg)
+)
+SELECT raw_id, path AS parent_path, path || '.' || field || '[' || i || ']' AS child_path FROM objects WHERE json_type(x) = 'OBJECT'
+UNION ALL SELECT raw_id, regexp_replace(path, '\\.embedded$', ''), path FROM msg WHERE path <> '$'
+"""
+
+
 def queries() -> dict[str, Query]:
     own = (p1_found, p1_contacts, p1_attachments, p1_messages, p3_found)
     return pipeline_queries.queries() | {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
-    return pipeline_queries.oracle_sql() | {"p3_found": _KEYED + "SELECT record_id FROM ranked WHERE old OR n > 1"}
+    return pipeline_queries.oracle_sql() | {"p1_found": _LINKS, "p3_found": _KEYED + "SELECT record_id FROM ranked WHERE old OR n > 1"}

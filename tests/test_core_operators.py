@@ -96,7 +96,7 @@ def test_first_wins(spark):
     df = spark.createDataFrame([("k", 2, "b"), ("k", 1, "a"), (None, 3, "c"), (None, 4, "d"), ("", 5, "e")], "md5 string, n int, v string")
     assert {tuple(r) for r in dedup.first_wins(df, "md5", [F.col("n")]).collect()} == {("k", 1, "a"), (None, 3, "c"), ("", 5, "e")}
     assert dedup.first_wins(df.limit(0), "md5", [F.col("n")]).count() == 0
-    assert [r["rank"] for r in dedup.ranked(df.where("md5 = 'k'"), "md5", [F.col("n")]).orderBy("n").collect()] == [1, 2]
+    assert [r["rank"] for r in dedup.ranked(df.where("md5 = 'k'"), "md5", ["n"]).orderBy("n").collect()] == [1, 2]
 
 
 def test_sticky_names(spark):
@@ -106,7 +106,7 @@ def test_sticky_names(spark):
 
 def test_collisions_have_a_second_pass(spark):
     df = spark.createDataFrame([("f", "a.pdf", 1), ("f", "a.pdf", 2), ("f", "a_1.pdf", 3), ("g", "a.pdf", 4), ("f", ".x", 5), ("f", ".x", 6)], "folder string, name string, n int")
-    got = {r["n"]: r["unique_name"] for r in dedup.number_collisions(df, "folder", "name", [F.col("n")]).collect()}
+    got = {r["n"]: r["unique_name"] for r in dedup.number_collisions(df, "folder", "name", ["n"]).collect()}
     assert got[1] == "a.pdf" and got[4] == "a.pdf" and got[6] == ".x_1"
     assert len({got[1], got[2], got[3]}) == 3
 
