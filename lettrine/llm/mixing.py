@@ -62,10 +62,10 @@ def rates(counted: DataFrame, targets: DataFrame, total_tokens: float | None = N
     t = targets.select("source", F.col("target_share").cast("double").alias("target_share"), F.greatest(F.coalesce(F.col("max_repeat").cast("int"), F.lit(0)), F.lit(0)).alias("max_repeat"))
     joined = t.join(have, "source", "left").na.fill(0, ["tokens", "documents"])
     usable = (F.col("tokens") > 0) & (F.col("max_repeat") > 0) & (F.col("target_share") > 0)
-    sums = joined.where(usable).agg(F.sum("target_share").alias("present"), F.min(F.col("max_repeat") * F.col("tokens") / F.col("target_share")).alias("reach"))
-    total = F.col("reach") * F.col("present") if total_tokens is None else F.lit(float(total_tokens))
-    # one row of two numbers meets one row for each source
-    out = joined.join(F.broadcast(sums)).withColumn("share", F.when(usable, F.col("target_share") / F.col("present")).otherwise(0.0))
+    sums = joined.where(usable).agg(F.sum("target_share").alias("present"), F.min(F.col("max_repeat") * F.col("tokens") / F.col("target_share")).alias("reach")).first()  # two numbers
+    present, reach = sums["present"] or 1.0, sums["reach"] or 0.0
+    total = reach * present if total_tokens is None else float(total_tokens)
+    out = joined.withColumn("share", F.when(usable, F.col("target_share") / present).otherwise(0.0))
     wanted = F.when(usable, F.col("share") * total / F.col("tokens")).otherwise(0.0)
     rate = F.least(wanted, F.col("max_repeat").cast("double"))
     return out.withColumn("rate", rate).withColumn("short_tokens", F.when(usable, (wanted - rate) * F.col("tokens")).otherwise(0.0)).select("source", "target_share", "max_repeat", "tokens", "documents", "rate", "short_tokens")
@@ -81,7 +81,7 @@ def mixed(documents: DataFrame, targets: DataFrame, seed: int = 42, total_tokens
     used = counted.join(plan.select("source", "rate"), "source").withColumn("uses", uses)
     chosen = used.where(F.col("uses") > 0).select("doc_id", "source", "n_tokens", "uses")
     sums = used.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("uses")).alias("used_tokens"), F.sum((F.col("uses") > 0).cast("long")).alias("used_documents"), F.max("uses").alias("most_uses"))
-    all_tokens = sums.agg(F.sum("used_tokens").alias("all_tokens"))
-    shares = plan.join(sums, "source", "left").na.fill(0, ["used_tokens", "used_documents", "most_uses"]).join(F.broadcast(all_tokens))
-    actual = F.when(F.col("all_tokens") > 0, F.col("used_tokens") / F.col("all_tokens")).otherwise(0.0)
+    shares = plan.join(sums, "source", "left").na.fill(0, ["used_tokens", "used_documents", "most_uses"])
+    all_tokens = sums.agg(F.sum("used_tokens")).first()[0] or 0  # one number
+    actual = F.col("used_tokens") / float(all_tokens) if all_tokens else F.lit(0.0)
     return chosen, shares.select("source", "target_share", actual.alias("actual_share"), "rate", "max_repeat", "most_uses", "tokens", "used_tokens", "documents", "used_documents", "short_tokens")

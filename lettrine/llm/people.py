@@ -347,22 +347,27 @@ def link(contacts: DataFrame) -> DataFrame:
 
     loose = persisted(read.where("kind = 'n' and surname is not null").select("form", F.col("org").alias("hint"), "surname", "given", "initial"), "loose-names")
     asked = loose.select("hint", "surname", "given", "initial").distinct()
-    p = people.select("entity", "org", "surname", F.col("given").alias("p_given"), F.col("initial").alias("p_initial"))
-    fits = (
-        (F.col("hint").isNull() | (F.col("hint") == F.col("org")))
-        & F.when(F.col("given").isNotNull() & F.col("p_given").isNotNull(), F.col("given") == F.col("p_given")).when(F.col("initial").isNotNull() & F.col("p_initial").isNotNull(), F.col("initial") == F.col("p_initial")).otherwise(F.lit(True))
-    )
     ask = [F.col(c).eqNullSafe(F.col(f"{c}_x")) for c in ("hint", "surname", "given", "initial")]
-    exact = asked.join(p, "surname").where(fits).groupBy("hint", "surname", "given", "initial").agg(F.min("entity").alias("lo"), F.max("entity").alias("hi"))
+    # Names are looked up under keys that sum up the people they may mean, so that a surname shared by very many people
+    # makes no pairs: G a given name, N an initial of people without one, Z people with neither, I an initial, A anybody.
+    key = lambda kind, value="": F.concat(F.lit(kind), F.coalesce(F.col(value), F.lit("?")) if value else F.lit(""))
+    with_given = F.array(key("G", "given"), key("I", "initial"), key("A"))
+    without = F.when(F.col("initial").isNotNull(), F.array(key("N", "initial"), key("I", "initial"), key("A"))).otherwise(F.array(key("Z"), key("A")))
+    shown = people.withColumn("key", F.explode(F.when(F.col("given").isNotNull(), with_given).otherwise(without))).withColumn("at", F.explode(F.array(F.col("org"), F.lit(""))))
+    summed = shown.groupBy("surname", "at", "key").agg(F.min("entity").alias("lo"), F.max("entity").alias("hi"))
+    looked = F.when(F.col("given").isNotNull(), F.array(key("G", "given"), key("N", "initial"), key("Z"))).when(F.col("initial").isNotNull(), F.array(key("I", "initial"), key("Z"))).otherwise(F.array(key("A")))
+    lookup = asked.withColumn("key", F.explode(looked)).withColumn("at", F.coalesce("hint", F.lit("")))
+    exact = lookup.join(summed, ["surname", "at", "key"]).groupBy("hint", "surname", "given", "initial").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     exact = persisted(exact, "exact-names")
 
     def renamed(df: DataFrame) -> DataFrame:
         return df.select(*(F.col(c).alias(f"{c}_x") for c in ("hint", "surname", "given", "initial")), *(c for c in df.columns if c not in ("hint", "surname", "given", "initial")))
 
     unmatched = asked.where("given is not null").join(renamed(exact), ask, "left_anti")
-    fuzzy = radius_join(unmatched.withColumn("block", F.col("given")), people.where("given is not null").withColumn("block", F.col("given")).select("block", "surname", "entity", "org"), "block", "surname")
-    fuzzy = fuzzy.where(_one_slip(F.col("surname"), F.col("surname_r"), F.col("apart")) & (F.col("hint").isNull() | (F.col("hint") == F.col("org_r"))))
-    fuzzy = fuzzy.groupBy("hint", "surname", "given", "initial").agg(F.min("entity_r").alias("lo"), F.max("entity_r").alias("hi"))
+    block = lambda at: F.concat_ws("|", "given", at)
+    clean = people.where("given is not null").withColumn("block", F.explode(F.array(block(F.lit("")), block("org")))).groupBy("block", "surname").agg(F.min("entity").alias("lo"), F.max("entity").alias("hi"))
+    fuzzy = radius_join(unmatched.withColumn("block", block(F.coalesce("hint", F.lit("")))), clean, "block", "surname")
+    fuzzy = fuzzy.where(_one_slip(F.col("surname"), F.col("surname_r"), F.col("apart"))).groupBy("hint", "surname", "given", "initial").agg(F.min("lo_r").alias("lo"), F.max("hi_r").alias("hi"))
     matched = renamed(exact.unionByName(fuzzy))
     own = F.when(F.col("lo").isNull(), F.concat_ws("|", F.lit("n"), F.coalesce("hint", F.lit("")), "surname", F.coalesce(F.col("given"), F.concat(F.lit("~"), F.coalesce("initial", F.lit("?"))))))
     entity = F.when(F.col("lo") == F.col("hi"), F.col("lo")).otherwise(F.coalesce(own, F.concat(F.lit("f|"), F.col("form"))))
