@@ -286,6 +286,8 @@ def lexicon(vocab: DataFrame) -> tuple[DataFrame, DataFrame]:
             rows = []
             for w, r, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 rows.extend((w, r, n, f, p, x) for f, p, x in repairs(w + r))
+                if r:  # the word may have a hyphen of its own there
+                    rows.extend((w, r, n, f, p - (p > len(w)), x) for f, p, x in repairs(f"{w}-{r}"))
             cols = list(zip(*rows, strict=True)) if rows else [[]] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=names)
 
