@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 from collections.abc import Callable, Iterator
 from typing import Protocol
@@ -25,6 +26,11 @@ class Conflict(Exception):
     """Another file has the name already."""
 
 
+def header_json(value: object) -> str:
+    """JSON for a request header: characters beyond ASCII as UTF-16 escapes."""
+    return json.dumps(value, ensure_ascii=True, separators=(",", ":"))
+
+
 class Store(Protocol):
     def ensure_folder(self, path: str) -> None: ...
     def put(self, path: str, data: bytes) -> None: ...

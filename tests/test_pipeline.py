@@ -254,6 +254,10 @@ def test_local_store(tmp_path):
         s.put("/a/b/f", b"other")
 
 
+def test_header_json():
+    assert filing.header_json({"path": "/é🔴"}) == '{"path":"/\\u00e9\\ud83d\\udd34"}'
+
+
 def test_entry(spark):
     import __spark_entry__ as e
 
