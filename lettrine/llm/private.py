@@ -119,7 +119,7 @@ _TOWN = rf"(?:(?:La|Le|Les|Saint|Sainte|St\.?|Upper|Lower|Little|Great|North|Sou
 _ROAD_FR = r"rue|avenue|av\.|boulevard|bd|chemin|impasse|place|quai|cours|all[ée]e|route|square|passage|ruelle|sentier|mont[ée]e|esplanade|faubourg|venelle|promenade"
 _UNIT = rf"(?:(?:Flat|Apt|Apartment|Unit|Suite|Appartement|Appt?|B[âa]t(?:iment)?|Porte|Esc(?:alier)?)\.?{_WS}?(?:n°{_WS}?)?\w{{1,4}}{_WS}?,?{_WS}(?:[-–]{_WS})?)?"
 _ADDRESS = re.compile(
-    rf"(?<![\w/.,-])(?:{_UNIT}\d{{1,4}}(?:{_WS}?(?:bis|ter|quater|[A-D])\b)?,?[ \t\xa0]+(?:{_ROAD_FR})\b{_WS}(?:[\w'’.-]+{_WS}?){{1,6}}?(?:{_WS}?[,–-]{_WS}?|{_WS})?\d{{5}}(?:{_WS}{_TOWN})?"
+    rf"(?<![\w/.,-])(?:{_UNIT}\d{{1,4}}(?:{_WS}?(?:bis|ter|quater|[A-D])\b)?,?[ \t\xa0]+(?:{_ROAD_FR})\b{_WS}[\w'’.-]+(?:{_WS}[\w'’.-]+){{0,5}}?(?:{_WS}?[,–-]{_WS}?|{_WS})\d{{5}}(?:{_WS}{_TOWN})?"
     rf"|{_UNIT}\d{{1,4}}(?:{_WS}?(?:bis|ter|quater|[A-D])\b)?,?[ \t\xa0]+(?:{_ROAD_FR})\b(?:{_WS}(?:de|du|des|la|le|les|l['’]|d['’]))*{_WS}?{_CAP}(?:(?:{_WS}|-)(?:{_CAP}|(?:de|du|des|la|le|les|sur|en)\b))*(?:{_WS}?[,–-]{_WS}?{_TOWN})?"
     rf"|{_UNIT}\d{{1,4}}[A-Da-d]?,?[ \t\xa0]+(?:{_CAP}[ \t\xa0]+){{1,3}}(?:Street|St\.?|Avenue|Ave\.?|Road|Rd\.?|Drive|Dr\.?|Lane|Ln\.?|Close|Row|Court|Square|Place|Terrace|Way|Crescent|Gardens|Grove|Hill|Mews|Walk|Park|View|Rise|Boulevard)\b(?:,{_WS}{_TOWN}(?:,?{_WS}[A-Z]{{1,2}}\d[A-Z\d]?{_WS}?\d[A-Z]{{2}}|,{_WS}[A-Z]{{2}}{_WS}\d{{5}})?)?"
     r")"

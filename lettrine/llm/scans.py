@@ -59,7 +59,7 @@ _SPLIT = re.compile(r"([^\s\-­‐¬]+(?:-[^\s\-]+)*)[\-­‐¬]$")
 
 def _core(line: str) -> tuple[str, bool]:
     """The line without a page number at its end or beginning; whether there was one."""
-    if "  " in line or "\t" in line or any(ch.isdigit() for ch in line):
+    if len(line) <= 160 and ("  " in line or "\t" in line or any(ch.isdigit() for ch in line)):
         m = _TAIL.match(line) or _HEAD.match(line)
         if m and any(ch.isalpha() for ch in m["core"]):
             return m["core"], True
@@ -111,9 +111,11 @@ def furniture(lines: list[str]) -> dict[int, str]:
 
     def fed(k: int) -> bool:
         """A page ends just before or after the k-th full line."""
-        before = full[k - 1] + 1 if k else 0
-        after = full[k + 1] if k + 1 < len(full) else len(lines)
-        return any(j in feeds for j in range(before, full[k] + 1)) or any(j in feeds for j in range(full[k] + 1, min(after + 1, len(lines))))
+        if not feeds:
+            return False
+        first = full[k - 1] + 1 if k else 0
+        last = full[k + 1] if k + 1 < len(full) else len(lines) - 1
+        return any(j in feeds for j in range(first, last + 1))
 
     plain = []
     for i in full:
@@ -141,32 +143,51 @@ def furniture(lines: list[str]) -> dict[int, str]:
             cores[i] = (core.lower(), numbered)
     if len(cores) < 2:
         return out
-    groups: list[tuple[str, list[int]]] = []
-    exact: dict[str, int] = {}
+    # lines that are alike come into one group, also by way of a third
+    forms: list[str] = []
+    parent: list[int] = []
+    near_by: dict[str, list[int]] = {}
+    form_of: dict[str, int] = {}
+
+    def root(k: int) -> int:
+        while parent[k] != k:
+            parent[k] = k = parent[parent[k]]
+        return k
+
+    for c, _ in cores.values():
+        if c not in form_of:
+            k = form_of[c] = len(forms)
+            forms.append(c)
+            parent.append(k)
+            for e in (c[:2], "$" + c[-2:]):  # a misreading seldom hits both ends of a line
+                near = near_by.setdefault(e, [])
+                for other in near:
+                    if root(other) != root(k) and _alike(forms[other], c):
+                        parent[root(k)] = root(other)
+                near.append(k)
+    gathered: dict[int, list[int]] = {}
     for i, (c, _) in cores.items():
-        g = exact.get(c)
-        if g is None:
-            g = next((k for k, (rep, _) in enumerate(groups) if _alike(rep, c)), None)
-            if g is None:
-                groups.append((c, []))
-                g = len(groups) - 1
-            exact[c] = g
-        groups[g][1].append(i)
+        gathered.setdefault(root(form_of[c]), []).append(i)
+    groups = [(forms[k], members) for k, members in gathered.items()]
     groups = [(c, members) for c, members in groups if len(members) > 1]
     if not groups:
         return out
     likely = {i for _, members in groups for i in members}
 
-    def neighbour(i: int, step: int) -> int | None:
-        k = place[i] + step
-        while 0 <= k < len(full) and (full[k] in out or full[k] in likely):
-            k += step
-        return full[k] if 0 <= k < len(full) else None
+    # the nearest lines of text before and after each full line
+    before: list[int | None] = [None] * len(full)
+    after: list[int | None] = [None] * len(full)
+    for k in range(1, len(full)):
+        p = full[k - 1]
+        before[k] = before[k - 1] if p in out or p in likely else p
+    for k in range(len(full) - 2, -1, -1):
+        n = full[k + 1]
+        after[k] = after[k + 1] if n in out or n in likely else n
 
     for c, members in groups:
         flows = breaks = edges = 0
         for i in members:
-            p, n = neighbour(i, -1), neighbour(i, 1)
+            p, n = before[place[i]], after[place[i]]
             finished = p is None or text[p][-1] in ".!?:»\"”"
             lower = n is not None and text[n][0].islower()
             flows += finished and lower and n == i + 1

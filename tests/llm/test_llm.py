@@ -313,6 +313,22 @@ def test_shared_spans_of_nothing(spark):
     assert spans.SharedSpans(spark.createDataFrame([], DOCS)).document_pairs().count() == 0
 
 
+# ------------------------------------------------------------------ very long texts
+
+
+@pytest.mark.parametrize("text", ["12 rue " + "a" * 50_000, "12 rue " + "de la " * 20_000, "A" * 100_000, "Le mot suit\n" * 4_000, "Anna Bell\n" * 4_000, " " * 100_000 + "x", "> " * 50_000, "-" * 100_000, "a" + " " * 100_000 + "b", "un deux " * 10_000, "a@" * 20_000, "1 " * 50_000, "mot- \n" * 5_000, "(at) " * 10_000])
+def test_very_long_texts(text):
+    import time
+
+    began = time.time()
+    private.find(text, NAMES)
+    replies.not_own(text, frozenset())
+    scans.Repairer([], []).kinds(text)
+    scans.Repairer([], []).repaired(text)
+    garble.Model(garble.counts([text])).judged([text])
+    assert time.time() - began < 20
+
+
 # ------------------------------------------------------------------ queries
 
 
