@@ -244,9 +244,9 @@ def legacy_ai_normalise(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("upload_id", "i.main_folder", "i.sub_folder")
 
 
-@_query("SELECT upload_id, list_transform(generate_series(1, len(p)), lambda i: '/' || array_to_string(p[1:i], '/')) AS prefixes, CASE WHEN regexp_replace(dropbox_path, '/[^/]*$', '') = '' THEN '/' ELSE regexp_replace(dropbox_path, '/[^/]*$', '') END AS parent FROM (SELECT upload_id, dropbox_path, list_filter(string_split(dropbox_path, '/'), lambda x: x <> '') AS p FROM dropbox_uploads)")
+@_query("SELECT upload_id, array_to_string(list_transform(generate_series(1, len(p)), lambda i: '/' || array_to_string(p[1:i], '/')), '|') AS prefixes, CASE WHEN regexp_replace(dropbox_path, '/[^/]*$', '') = '' THEN '/' ELSE regexp_replace(dropbox_path, '/[^/]*$', '') END AS parent FROM (SELECT upload_id, dropbox_path, list_filter(string_split(dropbox_path, '/'), lambda x: x <> '') AS p FROM dropbox_uploads)")
 def folder_prefixes(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "dropbox_uploads").select("upload_id", X.folder_prefixes("dropbox_path").alias("prefixes"), X.parent_folder("dropbox_path").alias("parent"))
+    return table(spark, d, "dropbox_uploads").select("upload_id", F.array_join(X.folder_prefixes("dropbox_path"), "|").alias("prefixes"), X.parent_folder("dropbox_path").alias("parent"))
 
 
 _SAFE = lambda x: _trim(f"regexp_replace({x}, '[:\\\\/*?|!#$%^<>\"\\r\\n\\t]', '', 'g')")
