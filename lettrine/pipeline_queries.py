@@ -267,7 +267,7 @@ _XML = "'<email-content><part>' || '<content format=\"plain\"><![CDATA[' || repl
 
 @_query(f"""
 SELECT doc_id, CASE WHEN place = 0 THEN xml || chr(10) || block ELSE substring(xml, 1, place - 1) || block || substring(xml, place) END AS enriched FROM (
-  SELECT doc_id, xml, '  <ai-enrich><![CDATA[' || replace('{{"n": "$1 \\"}}' || coalesce(source, ''), ']]>', ']]]]><![CDATA[>') || ']]></ai-enrich>' || chr(10) AS block, strpos(xml, '</email-content>') AS place FROM (SELECT doc_id, source, {_XML} AS xml FROM documents WHERE text IS NOT NULL AND NOT contains(text, '</email-content>')))
+  SELECT doc_id, xml, '  <enrichment><![CDATA[' || replace('{{"n": "$1 \\"}}' || coalesce(source, ''), ']]>', ']]]]><![CDATA[>') || ']]></enrichment>' || chr(10) AS block, strpos(xml, '</email-content>') AS place FROM (SELECT doc_id, source, {_XML} AS xml FROM documents WHERE text IS NOT NULL AND NOT contains(text, '</email-content>')))
 """)
 def ai_block_embed(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "documents").where("text is not null and not contains(text, '</email-content>')").withColumn("xml", F.expr(_XML))

@@ -112,9 +112,9 @@ def test_block(one):
     once = markup.embed_block(F.lit("<email-content>\n</email-content>"), F.lit('{"a":"$1 \\\\ ]]>"}'))
     text = one(once)
     assert '<![CDATA[{"a":"$1 \\\\ ]]]]><![CDATA[>"}]]>' in text and text.endswith("</email-content>")
-    again = one(markup.embed_block(F.lit("<email-content>\n  <ai-enrich><![CDATA[old]]></ai-enrich>\n</email-content>"), F.lit("new")))
-    assert "old" not in again and again.count("ai-enrich") == 2
-    assert one(markup.embed_block(F.lit("none"), F.lit("p"))).startswith("none\n  <ai-enrich>")
+    again = one(markup.embed_block(F.lit("<email-content>\n  <enrichment><![CDATA[old]]></enrichment>\n</email-content>"), F.lit("new")))
+    assert "old" not in again and again.count("enrichment") == 2
+    assert one(markup.embed_block(F.lit("none"), F.lit("p"))).startswith("none\n  <enrichment>")
 
 
 def test_output_json(one):

@@ -156,7 +156,7 @@ def test_pipeline_twice(spark, run):
     stored = _files(os.path.join(run.work, "store"))
     assert any(f.endswith(".txt") for f in stored) and sum(f.endswith(".xml") for f in stored) >= 1
     r = rows.where("source_file_name = 'contract.txt'").first()
-    assert r["dropbox_content_hash"] and "<ai-enrich>" in r["parse_xml_content"] and r["expedition_date"] == "2026-11-17T09:00:00+00:00" and json.loads(r["parse_json_content"])["attachments"][0]["original_name"] == "contract.txt"
+    assert r["dropbox_content_hash"] and "<enrichment>" in r["parse_xml_content"] and r["expedition_date"] == "2026-11-17T09:00:00+00:00" and json.loads(r["parse_json_content"])["attachments"][0]["original_name"] == "contract.txt"
     # nothing is done twice
     run.parse()
     run.enrich()
