@@ -4,8 +4,9 @@ Three sources of evidence mark lines that the sender did not newly write:
 
 * inherited text: the messages of a thread form a generalised suffix automaton over
   words; a long match with an earlier message is inherited, however it is wrapped.
-  Long threads are cut into runs of neighbours in time, each run seeing the one
-  before it, so no thread is gathered into one task;
+  Long threads are cut into runs of neighbours in time, so no thread is gathered into
+  one task; what a run inherits from earlier ones it knows by hashed word sequences,
+  whose union is exactly what an automaton of all earlier messages would match;
 * the layout of quoting: quote marks, introducing lines and header blocks.  Most
   quoted messages are not themselves rows, so the automaton alone can't find them;
 * endings: what follows the closing formula or a signature delimiter, mobile footers,
@@ -18,10 +19,13 @@ message don't inherit from each other; repeated rows count once.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -32,11 +36,12 @@ from lettrine.llm.base import persisted, words
 
 #: A match of so many words with an earlier message is inherited.
 INHERITED = 15
-#: Messages of a thread that are handled together; each such run also sees the one before.
+#: Messages of a thread that share an automaton; a bound of memory only, results don't depend on it.
 RUN = 250
 #: A sentence is a recurring ending if it ends this share of all messages, and so many.
 ENDING_SHARE, ENDING_LEAST = 0.001, 8
 FLUSH = 100_000
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 
 _QUOTE = re.compile(r"\s*(?:[>|]\s?)+")
 _FIELD = re.compile(r"^\s*\*?\s*(De|From|Von|Envoyé|Sent|Date|À|A|To|An|Cc|Cci|Bcc|Objet|Subject|Betreff)\s?:\s?\*?\s*(.*)$", re.I)
@@ -398,7 +403,28 @@ class WordAutomaton:
         return out
 
 
-def inherited_lines(text: str, automaton: WordAutomaton, least: int = INHERITED) -> list[int]:
+@lru_cache(100_000)
+def _word_hash(word: str) -> int:
+    return int.from_bytes(hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+
+
+def sequences(tokens: list[str], least: int = INHERITED) -> np.ndarray:
+    """A hash of each ``least`` successive words."""
+    n = len(tokens) - least + 1
+    out = np.zeros(max(n, 0), dtype=np.uint64)
+    if n > 0:
+        h = np.array([_word_hash(t) for t in tokens], dtype=np.uint64)
+        for k in range(least):
+            out = out * _STEP + h[k : k + n]
+    return out.view(np.int64)
+
+
+def _text_words(text: str) -> list[str]:
+    return words("\n".join(map(_bare, text.split("\n"))))
+
+
+def inherited_lines(text: str, automaton: WordAutomaton, least: int = INHERITED, known: frozenset[int] = frozenset()) -> list[int]:
+    """Lines inside matches with the automaton or with the ``known`` sequences of ``least`` words."""
     lines = text.split("\n")
     tokens: list[str] = []
     spans = []
@@ -407,40 +433,70 @@ def inherited_lines(text: str, automaton: WordAutomaton, least: int = INHERITED)
         spans.append((len(tokens), len(tokens) + len(w)))
         tokens.extend(w)
     marks = automaton.inherited(tokens, least)
+    for i, g in enumerate(sequences(tokens, least).tolist() if known else []):
+        if g in known:
+            marks[i : i + least] = [True] * least
     return [i for i, (a, b) in enumerate(spans) if b > a and all(marks[a:b])]
 
 
-def _thread_run(group: pd.DataFrame) -> pd.DataFrame:
+def _run_lines(group: pd.DataFrame, known: frozenset[int]) -> pd.DataFrame:
+    """Lines of a run's messages inherited from earlier ones of the run or, by ``known``, of earlier runs."""
     group = group.sort_values(["place", "record_id", "att_pos"])
     automaton, seen, rows = WordAutomaton(), set(), []
-    for record, pos, text, own in zip(group["record_id"], group["att_pos"], group["text"], group["own"], strict=True):
+    for record, pos, text in zip(group["record_id"], group["att_pos"], group["text"], strict=True):
         if text in seen:
             continue  # copies inherit from the same messages and are met again by their text
-        if own and seen:
-            rows.extend((record, pos, i) for i in inherited_lines(text, automaton))
-        automaton.add(words("\n".join(map(_bare, text.split("\n")))))
+        if seen or known:
+            rows.extend((record, pos, i) for i in inherited_lines(text, automaton, known=known))
+        automaton.add(_text_words(text))
         seen.add(text)
     return pd.DataFrame(rows, columns=["record_id", "att_pos", "line_no"]).astype("int64")
 
 
+def _thread_run(group: pd.DataFrame) -> pd.DataFrame:
+    return _run_lines(group, frozenset())
+
+
+def _later_run(group: pd.DataFrame, before: pd.DataFrame) -> pd.DataFrame:
+    return _run_lines(group, frozenset(before["seq"].tolist()))
+
+
+def _from_earlier_runs(whole: DataFrame) -> DataFrame:
+    """(thread, run, seq) of the word sequences of a run that an earlier run of its thread holds."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for thread, r, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                found = np.unique(sequences(_text_words(text)))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), thread)), pa.array(np.full(len(found), r)), pa.array(found)], names=["thread", "run", "seq"])
+
+    held = persisted(whole.select("thread", "run", "text").mapInArrow(run, "thread long, run long, seq long").distinct(), "sequences")
+    first = held.groupBy("thread", "seq").agg(F.min("run").alias("first"), F.max("run").alias("last")).where("last > first").select("thread", "seq", "first")
+    return held.join(first, ["thread", "seq"]).where("run > first").select("thread", "run", "seq")
+
+
 def inherited(texts: DataFrame) -> DataFrame:
     """(record_id, att_pos, line_no) of lines inherited from earlier messages of their thread.
 
     The place of a message in its thread comes from a range-partitioned sort with
     offsets for each partition, so a thread that holds a third of all messages is
-    sorted by many tasks; it is then handled in runs of ``RUN`` messages.
+    sorted by many tasks; it is then handled in runs of ``RUN`` messages, which meet
+    all earlier runs through the word sequences that they share.
     """
     once = texts.groupBy("thread", F.md5("text").alias("key")).agg(F.min(F.struct("at", "record_id", "att_pos")).alias("m"))
-    several = once.groupBy("thread").agg(F.count("*").alias("n")).where("n > 1").select("thread")
-    heads = once.join(several, "thread").select("thread", "m.at", "m.record_id", "m.att_pos")
+    several = once.groupBy("thread").agg(F.count("*").alias("n")).where("n > 1")
+    heads = once.join(several, "thread").select("thread", "m.at", "m.record_id", "m.att_pos", (F.col("n") > RUN).alias("long"))
     ranged = persisted(heads.repartitionByRange("thread", "at", "record_id").sortWithinPartitions("thread", "at", "record_id").withColumn("part", F.spark_partition_id()), "threads")
     sizes = ranged.groupBy("thread", "part").agg(F.count("*").alias("n"))
     before = sizes.withColumn("offset", F.coalesce(F.sum("n").over(W.partitionBy("thread").orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).drop("n")
     placed = ranged.withColumn("k", F.row_number().over(W.partitionBy("part", "thread").orderBy("at", "record_id", "att_pos"))).join(before, ["thread", "part"]).withColumn("place", F.col("offset") + F.col("k") - 1)
-    run = F.floor(F.col("place") / RUN).cast("long")
-    runs = placed.withColumn("r", F.explode(F.array(F.struct(run.alias("run"), F.lit(True).alias("own")), F.struct((run + 1).alias("run"), F.lit(False).alias("own")))))
-    whole = runs.select("thread", "record_id", "att_pos", "place", "r.run", "r.own").join(texts.select("record_id", "att_pos", "text"), ["record_id", "att_pos"])
-    return whole.groupBy("thread", "run").applyInPandas(_thread_run, "record_id long, att_pos long, line_no long")
+    runs = placed.select("thread", "record_id", "att_pos", "place", "long", F.floor(F.col("place") / RUN).cast("long").alias("run"))
+    whole = runs.join(texts.select("record_id", "att_pos", "text"), ["record_id", "att_pos"])
+    schema = "record_id long, att_pos long, line_no long"
+    if ranged.where("long").isEmpty():
+        return whole.groupBy("thread", "run").applyInPandas(_thread_run, schema)
+    known = _from_earlier_runs(whole.where("long"))
+    return whole.groupBy("thread", "run").cogroup(known.groupBy("thread", "run")).applyInPandas(_later_run, schema)
 
 
 def foreign_lines(emails: DataFrame) -> DataFrame:

@@ -113,6 +113,37 @@ def test_inherited_text_whatever_its_wrapping(spark):
     assert replies.foreign_lines(df.limit(0)).count() == 0
 
 
+def test_runs_of_a_long_thread_see_all_earlier_ones(spark, monkeypatch):
+    rng = random.Random(5)
+    said = [" ".join(f"w{rng.randrange(10_000)}" for _ in range(40)) for _ in range(12)]
+    texts = []
+    for n in range(40):
+        lines = [" ".join(f"x{n}y{rng.randrange(10_000)}" for _ in range(8))]
+        for _ in range(rng.randrange(3)):
+            w = rng.choice(said).split()
+            a = rng.randrange(20)
+            lines += [" ".join(w[a : a + 10]), " ".join(w[a + 10 : a + 20])]
+        texts.append("\n".join(lines))
+    texts[39] = "only here\n" + said[11]  # of the first message
+    texts[0] += "\n" + said[11]
+    df = spark.createDataFrame([email(n, "Budget", [att(t, True)], ("raw", "A", "a@x.fr"), [("raw", "B", "b@x.fr")], f"2024-01-01T00:00:{n:02d}+00:00") for n, t in enumerate(texts)], EMAIL)
+    found = {}
+    for run in (3, 1000):
+        monkeypatch.setattr(replies, "RUN", run)
+        found[run] = rows(replies.inherited(replies.bodies(df)), "record_id", "att_pos", "line_no")
+    earlier, wanted = set(), []
+    for n, t in enumerate(texts):
+        w = [words(x) for x in t.split("\n")]
+        flat = [x for y in w for x in y]
+        grams = [tuple(flat[i : i + 15]) for i in range(len(flat) - 14)]
+        marks = {k for i, g in enumerate(grams) if g in earlier for k in range(i, i + 15)}
+        ends = [sum(map(len, w[: i + 1])) for i in range(len(w))]
+        wanted += [(n, 0, i) for i, x in enumerate(w) if all(k in marks for k in range(ends[i] - len(x), ends[i]))]
+        earlier.update(grams)
+    assert (39, 0, len(texts[39].split("\n")) - 1) in wanted
+    assert found[3] == wanted and found[1000] == wanted
+
+
 def test_word_automaton_against_brute_force():
     r = random.Random(3)
     for _ in range(60):
