@@ -10,7 +10,8 @@ Three sources of evidence mark lines that the sender did not newly write:
 * the layout of quoting: quote marks, introducing lines and header blocks.  Most
   quoted messages are not themselves rows, so the automaton alone can't find them;
 * endings: what follows the closing formula or a signature delimiter, mobile footers,
-  and paragraphs whose sentences recur at the end of many messages.
+  and paragraphs whose sentences recur at the end of many messages of their sender, of
+  the sender's domain or of everyone.
 
 Defined results: null and empty texts have no lines; blank lines belong to nothing;
 closing formulas and a bare given name below them are the sender's; copies of one
@@ -38,7 +39,7 @@ from lettrine.llm.base import persisted, words
 INHERITED = 15
 #: Messages of a thread that share an automaton; a bound of memory only, results don't depend on it.
 RUN = 250
-#: A sentence is a recurring ending if it ends this share of all messages, and so many.
+#: A sentence is a recurring ending of a sender, a domain or everyone if it ends this share of their messages, and so many.
 ENDING_SHARE, ENDING_LEAST = 0.001, 8
 FLUSH = 100_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -308,39 +309,51 @@ def tail_sentences(text: str) -> list[str]:
 
 
 def bodies(emails: DataFrame) -> DataFrame:
-    """(record_id, att_pos, text, thread, at) of the e-mail bodies."""
+    """(record_id, att_pos, text, thread, at, sender) of the e-mail bodies."""
     body = F.filter(F.transform(F.coalesce("attachments", F.array()), lambda a, i: F.struct(i.cast("long").alias("att_pos"), a["is_email_body"].alias("body"), a["extracted_text"].alias("text"))), lambda a: F.coalesce(a["body"], F.lit(False)) & (F.length(a["text"]) > 0))
     subject = F.lower(F.regexp_replace(F.coalesce("subject", F.lit("")), r"(?i)^\W*(?:(?:re|fwd?|tr|réf|ref|rép|aw|wg)\s*[:.]+\s*:?\s*)*", ""))
     who = lambda c: F.lower(F.coalesce(c["address"], c["name"], c["raw"], F.lit("")))
     pair = F.array_sort(F.array(who(F.col("author")), who(F.get(F.col("targets"), F.lit(0)))))
     thread = F.xxhash64(subject, pair)
     at = F.coalesce(F.try_to_timestamp("expedition_date"), F.col("delivered_at"))
-    return emails.select(F.col("record_id").cast("long").alias("record_id"), F.explode(body).alias("b"), thread.alias("thread"), at.alias("at")).select("record_id", "b.att_pos", "b.text", "thread", "at")
+    return emails.select(F.col("record_id").cast("long").alias("record_id"), F.explode(body).alias("b"), thread.alias("thread"), at.alias("at"), F.lower(F.trim(F.coalesce("author.address", F.lit("")))).alias("sender")).select("record_id", "b.att_pos", "b.text", "thread", "at", "sender")
 
 
-def learn_endings(texts: DataFrame) -> frozenset[str]:
-    """Sentences that end at least ``ENDING_SHARE`` of all messages: a list bounded by that share."""
+def learn_endings(texts: DataFrame) -> tuple[frozenset[str], DataFrame]:
+    """Sentences that end ``ENDING_SHARE`` of all messages, a list bounded by that share; (sender, endings) of the
+    other ones that end this share of the messages of the sender or of the sender's domain."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c: Counter = Counter()
 
         def told() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(list(c), pa.string()), pa.array(list(c.values()), pa.int64())], names=["sentence", "n"])
+            return pa.RecordBatch.from_arrays([pa.array([k[0] for k in c], pa.string()), pa.array([k[1] for k in c], pa.string()), pa.array(list(c.values()), pa.int64())], names=["sender", "sentence", "n"])
 
         for batch in batches:
-            for t in batch.column(0).to_pylist():
-                c.update(tail_sentences(t))
-                c[""] += 1
+            for who, t in zip(*(x.to_pylist() for x in batch.columns), strict=True):
+                c.update((who, x) for x in tail_sentences(t))
+                c[who, ""] += 1
             if len(c) > FLUSH:
                 yield told()
                 c.clear()
         if c:
             yield told()
 
-    sums = persisted(texts.select("text").mapInArrow(run, "sentence string, n long").groupBy("sentence").agg(F.sum("n").alias("n")), "endings")
+    domain = F.when(F.col("sender").contains("@"), F.substring_index("sender", "@", -1))
+    sums = persisted(texts.select("sender", "text").mapInArrow(run, "sender string, sentence string, n long").groupBy("sender", "sentence").agg(F.sum("n").alias("n")).withColumn("domain", domain), "endings")
     total = sums.where("sentence = ''").agg(F.sum("n")).first()[0] or 0
-    rows = sums.where((F.col("sentence") != "") & (F.col("n") >= F.lit(max(ENDING_LEAST, ENDING_SHARE * total)))).collect()
-    return frozenset(r["sentence"] for r in rows)
+    enough = lambda of: F.col("n") >= F.greatest(F.lit(float(ENDING_LEAST)), F.lit(ENDING_SHARE) * of)
+    everyone = sums.where("sentence != ''").groupBy("sentence").agg(F.sum("n").alias("n")).where(enough(F.lit(total))).select("sentence")
+
+    def of(key: str) -> DataFrame:
+        counted = sums.where(F.col(key) != "").groupBy(key, "sentence").agg(F.sum("n").alias("n"))
+        totals = counted.where("sentence = ''").select(key, F.col("n").alias("of"))
+        return counted.where(F.col("sentence") != "").where(F.col("n") >= ENDING_LEAST).join(totals, key).where(enough(F.col("of"))).select(key, "sentence")
+
+    senders = sums.where("sentence = '' and sender != ''").select("sender", "domain")
+    rows = everyone.collect()
+    theirs = of("sender").unionByName(senders.join(of("domain"), "domain").select("sender", "sentence")).join(everyone, "sentence", "left_anti")
+    return frozenset(r["sentence"] for r in rows), persisted(theirs.groupBy("sender").agg(F.collect_set("sentence").alias("endings")), "theirs")
 
 
 class WordAutomaton:
@@ -502,20 +515,21 @@ def inherited(texts: DataFrame) -> DataFrame:
 def foreign_lines(emails: DataFrame) -> DataFrame:
     """(record_id, att_pos, line_no) of the non-blank lines that the sender did not newly write."""
     texts = bodies(emails)
-    recurring = emails.sparkSession.sparkContext.broadcast(learn_endings(texts))
+    everyone, theirs = learn_endings(texts)
+    recurring = emails.sparkSession.sparkContext.broadcast(everyone)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = recurring.value
         for batch in batches:
             rec, pos, no = [], [], []
-            for r, a, t in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                found = not_own(t, known)
+            for r, a, t, more in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                found = not_own(t, known.union(more) if more else known)
                 rec.extend([r] * len(found))
                 pos.extend([a] * len(found))
                 no.extend(found)
             yield pa.RecordBatch.from_arrays([pa.array(rec, pa.int64()), pa.array(pos, pa.int64()), pa.array(no, pa.int64())], names=["record_id", "att_pos", "line_no"])
 
-    by_layout = texts.select("record_id", "att_pos", "text").mapInArrow(run, "record_id long, att_pos long, line_no long")
+    by_layout = texts.join(theirs, "sender", "left").select("record_id", "att_pos", "text", "endings").mapInArrow(run, "record_id long, att_pos long, line_no long")
     # heads of threads with equal texts answer for their copies
     found = inherited(texts)
     keyed = texts.select("record_id", "att_pos", "thread", F.md5("text").alias("key"))

@@ -144,6 +144,17 @@ def test_runs_of_a_long_thread_see_all_earlier_ones(spark, monkeypatch):
     assert found[3] == wanted and found[1000] == wanted
 
 
+def test_endings_of_a_sender_and_of_a_firm_in_a_large_table(spark):
+    def mail(n, address, ending):
+        return email(n, f"s{n}", [att(f"Bonjour {n}\n\nCordialement,\nJean\n\n{ending}", True)], ("raw", "A", address), [("raw", "B", "b@x.fr")])
+
+    own, firm = "Nous semons des arbres dans toute la France entière.", "La maison des graines vous accueille chaque jour ouvré."
+    mails = [mail(n, "jean@semis.fr", own) for n in range(9)] + [mail(n, f"p{n}@Graines.fr", firm) for n in range(9, 18)]
+    mails += [mail(18, "x@autre.fr", own)] + [mail(n, f"q{n}@d{n}.fr", f"Je passerai demain vers {n} heures devant la gare.") for n in range(19, 12_000)]
+    got = rows(replies.foreign_lines(spark.createDataFrame(mails, EMAIL)), "record_id", "att_pos", "line_no")
+    assert got == [(n, 0, 5) for n in range(18)]
+
+
 def test_word_automaton_against_brute_force():
     r = random.Random(3)
     for _ in range(60):
