@@ -6,9 +6,9 @@ source characters it came from.  E-mail addresses, phone numbers, identity numbe
 street addresses and names are detected in the plain form; their spans are mapped
 back, so what is reported and replaced are exactly the characters of the text.
 
-Given names are learned from the contacts of the corpus: words that pair with many
-different other words.  The list is bounded by that share and broadcast; the texts
-are not shuffled.
+Given names are learned from the contacts of the corpus: words that pair with several
+different other words and mostly stand before them, or with very many in any order.
+The list holds given names only and is broadcast; the texts are not shuffled.
 
 Defined results: null and empty texts hold nothing and come out as they are; of
 overlapping finds the earlier kind in the order id_number, email, phone,
@@ -29,7 +29,7 @@ from lettrine.llm.base import folded
 
 KINDS = ("id_number", "email", "phone", "street_address", "person_name")
 PLACEHOLDERS = {"id_number": "[ID_NUMBER]", "email": "[EMAIL]", "phone": "[PHONE]", "street_address": "[ADDRESS]", "person_name": "[NAME]"}
-#: A word is a given name if it pairs with so many different words, and with this share of all names.
+#: A word is a given name if it pairs with so many different words and stands first in as many pairs as last, or holds this share of all pairs.
 PAIRS_LEAST, PAIRS_SHARE = 5, 0.0003
 
 # ---------------------------------------------------------------- plain form
@@ -360,19 +360,20 @@ def learn_given(emails: DataFrame) -> frozenset[str]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pairs: set[tuple[str, str]] = set()
+            pairs: set[tuple[str, str, bool]] = set()
             for name in batch.column(0).to_pylist():
                 t = [w for w in re.findall(r"[^\W\d_][\w'’-]+", folded(name)) if w + "." not in TITLES]
                 if len(t) == 2 and "@" not in name:
-                    pairs.update(((t[0], t[1]), (t[1], t[0])))
-            yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.string()), pa.array([p[1] for p in pairs], pa.string())], names=["word", "other"])
+                    pairs.update(((t[0], t[1], True), (t[1], t[0], False)))
+            yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], t) for k, t in enumerate((pa.string(), pa.string(), pa.bool_()))], names=["word", "other", "first"])
 
     contact = lambda c: F.transform(F.coalesce(F.col(c), F.array()), lambda x: x["name"])
     names = emails.select(F.explode(F.concat(F.array("author.name"), contact("targets"), contact("cc"), contact("bcc"))).alias("name")).where("name is not null").distinct()
-    pairs = names.mapInArrow(run, "word string, other string").distinct()
-    counted = pairs.groupBy("word").agg(F.count("*").alias("n"))
+    pairs = names.mapInArrow(run, "word string, other string, first boolean").groupBy("word", "other").agg(F.max(F.col("first").cast("int")).alias("first"), F.max((~F.col("first")).cast("int")).alias("last"))
+    counted = pairs.groupBy("word").agg(F.count("*").alias("n"), F.sum("first").alias("first"), F.sum("last").alias("last"))
     total = pairs.count()
-    rows = counted.where(F.col("n") >= F.lit(max(PAIRS_LEAST, PAIRS_SHARE * total))).collect()
+    n = F.col("n")
+    rows = counted.where((n >= PAIRS_LEAST) & ((n >= F.lit(PAIRS_SHARE * total)) | (F.col("first") >= F.col("last")))).collect()
     titles = {folded(t).strip(".") for t in TITLES}
     return frozenset(r["word"] for r in rows if r["word"] not in titles and r["word"] not in _NOT_PERSON)
 

@@ -63,6 +63,15 @@ def test_pii(text, wanted):
     assert pii(text) == wanted
 
 
+def test_given_names_of_a_large_archive(spark):
+    names = [f"Wilfrid S{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(8)] + ["Jean Rarissime", "Paul Rarissime"]
+    names += [f"U{a}{b}{c} V{c}{b}{a}" for a in "abcdefghijklmnopqrstuvwx" for b in "abcdefghijklmnopqrstuvwx" for c in "abcdefghijklmnopqrstuvwx"]
+    names += [f"{g} Martin" for g in ("Anne", "Luc", "Marc", "Rose", "Yves", "Zoe")]
+    df = spark.createDataFrame([email(n, author=("raw", x, f"a{n}@x.fr")) for n, x in enumerate(names)], EMAIL)
+    got = private.learn_given(df)
+    assert "wilfrid" in got and "martin" not in got and "rarissime" not in got
+
+
 def test_plain_form_keeps_offsets():
     text = "é​ ａ[at]b.c"
     shape, at = private.plain(text)
