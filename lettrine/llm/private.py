@@ -45,17 +45,31 @@ _DIGIT_WORD = re.compile("|".join(_DIGIT_WORDS), re.I)
 _AT = re.compile(r"(?<=[\w.+-])\s?[\[({<]\s?(?:at|arobase|@|a)\s?[\])}>]\s?(?=[\w-]+(?:\.|\s?[\[({]))|(?<=\w) (?:@|arobase|at) (?=[\w-]+(?:\.[\w-]+)*\.[a-z]{2,}\b|[\w-]+ (?:dot|point) )|(?<=\w)(?: @|@ )(?=[\w-]+\.[a-z]{2,})", re.I)
 _DOT = re.compile(r"(?<=\w)\s?[\[({<]\s?(?:dot|point|\.)\s?[\])}>]\s?(?=\w)", re.I)
 _ODD = re.compile(r"[Ͱ-ӿԁɡ​-‏⁠﻿！-～]")
-_BRACKETED = re.compile(r"[\[({<]\s?(?:at|arobase|@|a|dot|point|\.)\s?[\])}>]| @|@ | arobase | at [\w-]+ (?:dot|point) ", re.I)
+#: Every match of ``_AT`` and ``_DOT`` holds a match of this.
+_BRACKETED = re.compile(r"[\[({<]\s?(?:at|arobase|@|a|dot|point|\.)\s?[\])}>]| @|@ | arobase | at ", re.I)
+#: Every match of ``_WORD_RUN`` holds, between separators, one of these words or two successive ones of the others.
 _TELLING = frozenset(_DIGIT_WORDS) - {"un", "une", "one", "oh"}
+_ONES = re.compile(r"[ ,.-](?:une?|one|oh)[ ,.-]+(?:une?|one|oh)[ ,.-]")
+
+
+def _digit_form(text: str) -> str:
+    """Text with the letters that patterns without case take for those of digit words."""
+    return text.lower() if text.isascii() else text.casefold().replace("\u0307", "").replace("ı", "i")
+
+
+def _spells_digits(text: str) -> bool:
+    form = _digit_form(text)
+    apart = form.replace(",", " ").replace(".", " ").replace("-", " ").split()
+    return (not _TELLING.isdisjoint(apart) or bool(_ONES.search(form))) and bool(_WORD_RUN.search(text))
 
 
 def _disguised(text: str) -> bool:
     """Whether the plain form may differ from the text."""
     if not text.isascii() and _ODD.search(text):
         return True
-    if ("@" in text or "[" in text or "(" in text or " arobase " in text or " at " in text) and _BRACKETED.search(text):
+    if _BRACKETED.search(text) and (_AT.search(text) or _DOT.search(text)):
         return True
-    return not _TELLING.isdisjoint(text.lower().split()) and bool(_WORD_RUN.search(text))
+    return _spells_digits(text)
 
 
 def plain(text: str) -> tuple[str, list[tuple[int, int]] | None]:
@@ -65,7 +79,7 @@ def plain(text: str) -> tuple[str, list[tuple[int, int]] | None]:
     swaps: list[tuple[int, int, str]] = [(m.start(), m.end(), "@") for m in _AT.finditer(text)]
     swaps += [(m.start(), m.end(), ".") for m in _DOT.finditer(text)]
     for m in _WORD_RUN.finditer(text):
-        digits = "".join(_DIGIT_WORDS[d[0].lower()] for d in _DIGIT_WORD.finditer(m[0]))
+        digits = "".join(_DIGIT_WORDS[_digit_form(d[0])] for d in _DIGIT_WORD.finditer(m[0]))
         swaps.append((m.start(), m.end(), digits))
     swaps.sort()
     out: list[str] = []

@@ -72,6 +72,36 @@ def test_given_names_of_a_large_archive(spark):
     assert "wilfrid" in got and "martin" not in got and "rarissime" not in got
 
 
+@pytest.mark.parametrize(
+    "text, wanted",
+    [
+        ("jean at firm.com", ("email", "jean at firm.com")),
+        ("jean AT firm.com", ("email", "jean AT firm.com")),
+        ("jean{at}firm.com", ("email", "jean{at}firm.com")),
+        ("jean <at> firm{dot}com", ("email", "jean <at> firm{dot}com")),
+        ("jean Arobase firm.com", ("email", "jean Arobase firm.com")),
+        ("call zero, six, one, two, three, four, five, six, seven, eight.", ("phone", "zero, six, one, two, three, four, five, six, seven, eight")),
+        ("call zero-six-one-two-three-four-five-six-seven-eight", ("phone", "zero-six-one-two-three-four-five-six-seven-eight")),
+        ("call zéro\u00e9, x; (ZERO ſix one two three four five sıx seven eight)", ("phone", "ZERO ſix one two three four five sıx seven eight")),
+    ],
+)
+def test_a_single_disguise_is_seen(text, wanted):
+    assert wanted in pii(text)
+
+
+def test_the_gate_is_no_narrower_than_the_transducer():
+    rng = random.Random(11)
+    bits = ["a", "@", " ", "at", " at ", "AT", "arobase", "arobaſe", "[", "]", "(", ")", "{", "}", "<", ">", "dot", "point", ".", "fr", "x", ",", "-", "one", "un", "une", "oh", "six", "Zéro", "ſıx", "deux", "\n"]
+    hit = 0
+    for _ in range(60_000):
+        text = "".join(rng.choice(bits) for _ in range(rng.randrange(4, 12))) if rng.random() < 0.6 else "".join(rng.choice(bits[-9:-1]) + rng.choice([" ", ", ", "-", "."]) for _ in range(8))
+        if any(p.search(text) for p in (private._AT, private._DOT, private._WORD_RUN, private._ODD)):
+            hit += 1
+            assert private._disguised(text), text
+            private.plain(text)
+    assert hit > 1000
+
+
 def test_plain_form_keeps_offsets():
     text = "é​ ａ[at]b.c"
     shape, at = private.plain(text)
