@@ -17,7 +17,10 @@ from collections.abc import Iterator
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from lettrine.sources.mailbox import PER_FOLDER, SCHEMA
+from lettrine.sources.mailbox import SCHEMA
+
+#: Fixed value: messages read of one server folder in one run, unless ``perFolder`` says otherwise.
+PER_FOLDER = 10_000
 
 
 def session(options: dict):

@@ -8,23 +8,26 @@ Names beginning with ``_`` or ``.``, which Spark's file sources skip, are read.
 
 Columns: account, direction, folder, path, name, size, modified, content.  Options:
 ``path``; ``skip``, a folder name that is not entered; ``extensions`` (case matters
-unless ``anyCase``); ``perFolder``, the most files of a folder, in name order;
-``foldersOut``, comma separated: they come first; ``content`` = false leaves the
-content out.  A folder that can't be read has no rows.
+unless ``anyCase``); ``perFolder``, the most files of a folder, in name order (all
+where it is not given); ``foldersOut``, comma separated: they come first; ``content``
+= false leaves the content out.  A folder that can't be read has no rows.
+
+The stream lists names only; which files are new is told by a log of the paths of
+each batch below the folder of the option ``log``, so a file counts as new whenever
+it arrives, whatever its date.  Executors read the contents.
 """
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 SCHEMA = "account string, direction string, folder string, path string, name string, size bigint, modified double, seq bigint, content binary"
 RUN = 256
-#: Fixed value: messages read of one folder in one run.
-PER_FOLDER = 10_000
 
 
 class _Files(InputPartition):
@@ -32,13 +35,14 @@ class _Files(InputPartition):
         self.rows = rows
 
 
-def _walk(options: dict) -> Iterator[list[tuple]]:
+def _walk(options: dict) -> Iterator[tuple]:
+    """(account, direction, folder, path, name, seq) of the wanted files, by names alone."""
     root = options["path"]
     skip = {s for s in options.get("skip", "").split(",") if s}
-    any_case = options.get("anycase", options.get("anyCase", "true")).lower() == "true"
+    any_case = options.get("anycase", "true").lower() == "true"
     wanted = tuple(options.get("extensions", ".eml").split(","))
-    most = int(options.get("perfolder", options.get("perFolder", PER_FOLDER)))
-    out_folders = {s for s in options.get("foldersout", options.get("foldersOut", "")).split(",") if s}
+    most = int(options["perfolder"]) if "perfolder" in options else None
+    out_folders = {s for s in options.get("foldersout", "").split(",") if s}
     account = options.get("account", os.path.basename(root.rstrip("/")))
     found = []
     for folder, dirs, files in os.walk(root, onerror=lambda e: None):
@@ -50,12 +54,13 @@ def _walk(options: dict) -> Iterator[list[tuple]]:
             found.append((direction != "out", relative.split(os.sep), relative, folder, direction, names))
     seq = 0
     for _, _, relative, folder, direction, names in sorted(found):
-        rows = []
         for n in names:
             seq += 1
-            rows.append((account, direction, "" if relative == "." else relative, os.path.join(folder, n), n, seq))
-        for i in range(0, len(rows), RUN):
-            yield rows[i : i + RUN]
+            yield account, direction, "" if relative == "." else relative, os.path.join(folder, n), n, seq
+
+
+def _runs(rows: list[tuple]) -> list[InputPartition]:
+    return [_Files(rows[i : i + RUN]) for i in range(0, len(rows), RUN)]
 
 
 def _read(rows: list[tuple], content: bool) -> Iterator[tuple]:
@@ -71,37 +76,61 @@ def _read(rows: list[tuple], content: bool) -> Iterator[tuple]:
         yield account, direction, folder, path, name, stat.st_size, stat.st_mtime, seq, data
 
 
+def _wants_content(options: dict) -> bool:
+    return options.get("content", "true").lower() == "true"
+
+
 class _Reader(DataSourceReader):
     def __init__(self, options: dict):
         self.options = options
 
     def partitions(self) -> list[InputPartition]:
-        return [_Files(rows) for rows in _walk(self.options)] or [_Files([])]
+        return _runs(list(_walk(self.options))) or [_Files([])]
 
     def read(self, partition: _Files) -> Iterator[tuple]:
-        yield from _read(partition.rows, self.options.get("content", "true").lower() == "true")
+        yield from _read(partition.rows, _wants_content(self.options))
 
 
-class _Stream(SimpleDataSourceStreamReader):
-    """New files since the last offset: the files seen so far, by modification time and path."""
+class _Stream(DataSourceStreamReader):
+    """The offset counts the batches in the log; each batch lists the files that no earlier one holds."""
 
     def __init__(self, options: dict):
-        self.options = options
+        if "log" not in options:
+            raise ValueError("a mailbox stream needs the option `log`, a folder for the names it has read")
+        self.options, self.seen, self.batches = options, set(), 0
 
-    def initialOffset(self) -> dict:
-        return {"at": 0.0, "path": ""}
+    def _log(self, batch: int) -> str:
+        return os.path.join(self.options["log"], f"{batch:012d}.json")
 
-    def _after(self, start: dict, end: dict | None) -> list[tuple]:
-        rows = sorted((r for run in _walk(self.options) for r in _read(run, True)), key=lambda r: (r[6], r[3]))
-        last = (end["at"], end["path"]) if end else (float("inf"), "")
-        return [r for r in rows if (start["at"], start["path"]) < (r[6], r[3]) <= last]
+    def _listed(self, batch: int) -> list[tuple]:
+        with open(self._log(batch), encoding="utf-8") as f:
+            return [tuple(json.loads(line)) for line in f]
 
-    def read(self, start: dict) -> tuple[Iterator[tuple], dict]:
-        rows = self._after(start, None)
-        return iter(rows), {"at": rows[-1][6], "path": rows[-1][3]} if rows else start
+    def _catch_up(self) -> None:
+        while os.path.exists(self._log(self.batches + 1)):
+            self.batches += 1
+            self.seen.update(r[3] for r in self._listed(self.batches))
 
-    def readBetweenOffsets(self, start: dict, end: dict) -> Iterator[tuple]:
-        return iter(self._after(start, end))
+    def initialOffset(self) -> dict:
+        return {"batch": 0}
+
+    def latestOffset(self) -> dict:
+        self._catch_up()
+        new = [r for r in _walk(self.options) if r[3] not in self.seen]
+        if new:
+            os.makedirs(self.options["log"], exist_ok=True)
+            at = self._log(self.batches + 1)
+            with open(f"{at}.part", "w", encoding="utf-8") as f:
+                f.writelines(json.dumps(r) + "\n" for r in new)
+            os.replace(f"{at}.part", at)
+            self._catch_up()
+        return {"batch": self.batches}
+
+    def partitions(self, start: dict, end: dict) -> list[InputPartition]:
+        return [p for b in range(start["batch"] + 1, end["batch"] + 1) for p in _runs(self._listed(b))]
+
+    def read(self, partition: _Files) -> Iterator[tuple]:
+        yield from _read(partition.rows, _wants_content(self.options))
 
 
 class MailboxSource(DataSource):
@@ -112,11 +141,14 @@ class MailboxSource(DataSource):
     def schema(self) -> str:
         return SCHEMA
 
+    def _named(self) -> dict:
+        return {k.lower(): v for k, v in dict(self.options).items()}
+
     def reader(self, schema) -> DataSourceReader:
-        return _Reader(dict(self.options))
+        return _Reader(self._named())
 
-    def simpleStreamReader(self, schema) -> SimpleDataSourceStreamReader:
-        return _Stream(dict(self.options))
+    def streamReader(self, schema) -> DataSourceStreamReader:
+        return _Stream(self._named())
 
 
 def register(spark: SparkSession) -> None:

@@ -18,7 +18,10 @@ def known(spark: SparkSession, path: str) -> DataFrame:
 
 
 def start(spark: SparkSession, mail_root: str, out: str, checkpoint: str, once: bool = True) -> StreamingQuery:
-    """Parse new files below ``mail_root`` into ``out``/bundles and ``out``/failures."""
+    """Parse new files below ``mail_root`` into ``out``/bundles and ``out``/failures.
+
+    A file is new when its name was in no earlier batch, whatever its date.
+    """
     mailbox.register(spark)
 
     def batch(df: DataFrame, _: int) -> None:
@@ -27,5 +30,5 @@ def start(spark: SparkSession, mail_root: str, out: str, checkpoint: str, once:
         rows.write.mode("append").parquet(f"{out}/bundles")
         failed.write.mode("append").parquet(f"{out}/failures")
 
-    w = spark.readStream.format("mailbox").option("path", mail_root).load().writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
+    w = spark.readStream.format("mailbox").option("path", mail_root).option("log", f"{checkpoint}/names").load().writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     return (w.trigger(availableNow=True) if once else w.trigger(processingTime="30 seconds")).start()

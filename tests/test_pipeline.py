@@ -214,6 +214,21 @@ def test_stream(spark, run, tmp_path):
     for _ in range(2):
         stream.start(spark, str(tmp_path / "ALPHA"), out, check).awaitTermination()
     assert spark.read.parquet(f"{out}/bundles").count() == 6
+    # a file that comes later with an older date is read too
+    late = tmp_path / "ALPHA" / "late.eml"
+    late.write_bytes(raw(PLAIN, 77))
+    os.utime(late, (1_000_000, 1_000_000))
+    stream.start(spark, str(tmp_path / "ALPHA"), out, check).awaitTermination()
+    assert spark.read.parquet(f"{out}/bundles").where("stem = 'late'").count() == 1 and spark.read.parquet(f"{out}/bundles").count() == 7
+
+
+def test_no_file_of_a_large_folder_is_left_out(spark, tmp_path):
+    mailbox.register(spark)
+    (tmp_path / "in").mkdir()
+    for n in range(10_005):
+        (tmp_path / "in" / f"{n}.eml").touch()
+    assert spark.read.format("mailbox").option("path", str(tmp_path)).option("content", "false").load().count() == 10_005
+    assert sum(len(p.rows) for p in mailbox._Reader({"path": str(tmp_path)}).partitions()) == 10_005
 
 
 def test_mailbox_options(spark, tmp_path):
