@@ -2,17 +2,23 @@
 
 A spelling is a distinct (name, address).  Word lists (mailbox names, words of firm
 names, given names, nicknames) are learned from all spellings by counting the
-organisations in which a word occurs.  Each spelling is read into organisation,
-surname and given name or initial.  Spellings with an address at an organisation
-settle the entities; names without such an address are matched to them, exactly
-first and then by a radius join in a metric space: strings go to the cell of the
-nearest of some pivots, strings near a boundary are replicated by the triangle
-inequality, and inside a cell and ring the edit distance decides.
+organisations in which a word occurs.  Each spelling is read into a typed name
+(surname, given name or initial; or the name of an organisation) and what its address
+tells.  The addresses at organisations give the entities.
+
+Names meet entities only in a metric space: all typed names are joined with all names
+of entities within an edit distance.  Strings go to the cell of the nearest of some
+pivots, strings near a boundary are replicated by the triangle inequality, cells that
+hold too many are split again by pivots of their own, and inside a cell and ring the
+edit distance decides.  Addresses then verify a meeting (the name met must be the one
+that the address tells) or, where there is none, given names and initials decide among
+all people that the name may mean.
 
 Defined results: rows without name and address, and names that cannot be told
 apart between several entities, are linked to nothing but the same spelling;
-letter case, accents, titles and extra blanks don't matter; repeated rows of one
-``contact_id`` count once; extra columns are ignored.
+letter case, accents, titles and extra blanks don't matter; a row without a name
+enters with the name that its address tells; repeated rows of one ``contact_id``
+count once; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -20,7 +26,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -54,6 +60,11 @@ def near(a: str, b: str) -> bool:
     return a == b or damerau_is_one(a, b)
 
 
+def _shortened(word: str) -> set[str]:
+    """The word and its forms with one letter left out; words one edit or swap apart share one."""
+    return {word, *(word[:i] + word[i + 1 :] for i in range(len(word)))}
+
+
 @dataclass
 class Words:
     """What is learned from all spellings; every list is bounded by its threshold."""
@@ -63,6 +74,15 @@ class Words:
     firm: frozenset[str] = frozenset()
     given: dict[str, int] = field(default_factory=dict)
     nick: dict[str, str] = field(default_factory=dict)
+    #: Given names of more than three letters by each form of theirs with one letter left out.
+    slips: dict[str, list[str]] = field(default_factory=dict)
+
+    def index_given(self) -> None:
+        self.slips = {}
+        for g in self.given:
+            if len(g) > 3:
+                for x in _shortened(g):
+                    self.slips.setdefault(x, []).append(g)
 
 
 def split_address(address: str | None) -> tuple[str, str, str] | None:
@@ -113,9 +133,9 @@ def given_of(token: str, w: Words) -> tuple[str | None, str | None]:
         return t, t[0]
     if len(t) == 1 or re.fullmatch(r"[a-z]\.?-[a-z]\.?", token):
         return None, t[0]
-    close = [g for g in w.given if len(g) > 3 and damerau_is_one(g, t)]
+    close = {g for x in _shortened(t) for g in w.slips.get(x, ()) if damerau_is_one(g, t)}
     if close:
-        best = max(close, key=w.given.__getitem__)
+        best = max(close, key=lambda g: (w.given[g], g))
         return best, best[0]
     return None, None
 
@@ -139,8 +159,18 @@ def read_local(local: str, tokens: list[str], w: Words) -> tuple[str, str | None
     return rest, None, local[:1]
 
 
-def read_spelling(name: str | None, address: str | None, w: Words) -> tuple[str, str | None, str | None, str | None, str | None] | None:
-    """(kind, organisation, surname, given name, initial); kind is o(rganisation), p(erson) or n(ame without an organisation)."""
+def _typed(words: list[str], told: str) -> str:
+    """The word of a typed name that stands for what the address tells; that itself where no word is typed."""
+    if told in words or not words:
+        return told
+    return min(words, key=lambda x: (_edit(x, told), x))
+
+
+def read_spelling(name: str | None, address: str | None, w: Words) -> tuple[str, str | None, str | None, str | None, str | None, str | None] | None:
+    """(kind, organisation, surname, given name, initial, typed); kind is o(rganisation), p(erson) or n(ame without an organisation).
+
+    ``surname`` and an organisation's name are those of the address where there is one, ``typed`` is how the name has it.
+    """
     tokens, comma, inside = name_tokens(name)
     at = split_address(address)
     pieces = [p for t in tokens for p in ([t] if t in w.given or firm_token(t, w) else t.split("-"))]
@@ -148,9 +178,9 @@ def read_spelling(name: str | None, address: str | None, w: Words) -> tuple[str,
     rest = [t for t in pieces if not firm_token(t, w) and len(bare(t)) > 1]
     private = at is not None and at[1] in w.private
     if at and not private and (at[0] in w.mailboxes or any(bare(t) == at[2] for t in pieces) and not any(near(bare(t), x) for t in rest if bare(t) != at[2] for x in re.split(r"[._]", at[0]) + [at[0][1:]])):
-        return "o", at[2], None, None, None
+        return "o", at[2], None, None, None, _typed([bare(t) for t in rest], at[2])
     if not at and firm and rest:
-        return "o", bare(max(rest, key=len)), None, None, None
+        return "o", None, None, None, None, bare(max(rest, key=len))
     people = [t for t in tokens if bare(t)]
     while len(people) > 1 and bare(people[0]) in TITLES and (len(people) > 2 or len(bare(people[0])) > 1 or at):
         people = people[1:]
@@ -168,11 +198,12 @@ def read_spelling(name: str | None, address: str | None, w: Words) -> tuple[str,
                     break
                 if initial is None and i:
                     initial = i
-        return ("p" if org else "n"), org, surname, given, initial
+        shown = [bare(t) for t in people if len(bare(t)) > 1]
+        return ("p" if org else "n"), org, surname, given, initial, _typed([t for t in shown if t not in w.given] or shown, surname)
     if not people:
         return None
     if len(people) == 1:
-        return "n", org, bare(people[0]), None, None
+        return "n", org, bare(people[0]), None, None, None
     told = [(given_of(t, w), t) for t in people]
     scores = [(2 if bare(t) in w.given or bare(t) in w.nick else 1 if g or i else 0, w.given.get(g or "", 0)) for (g, i), t in told]
     k = len(people) - 1 if comma and scores[-1][0] else max(range(len(people)), key=lambda j: (scores[j], -j))
@@ -180,7 +211,7 @@ def read_spelling(name: str | None, address: str | None, w: Words) -> tuple[str,
     (given, initial), word = told[k]
     if not initial and not given:
         given, initial = bare(word), bare(word)[0]
-    return "n", org, surname, given, initial
+    return "n", org, surname, given, initial, None
 
 
 def _pairs(rows: list[tuple], names: list[str], types: list) -> pa.RecordBatch:
@@ -240,6 +271,7 @@ def learn(spellings: DataFrame) -> Words:
         return [(p, "", at[0] if at[1] in w.private else at[2]) for p in local]
 
     w.given = {r["word"]: r["orgs"] for r in _counted(spellings, givens, share(0.0005, 3))}
+    w.index_given()
 
     def nicks(name, address):
         at = split_address(address)
@@ -263,7 +295,7 @@ def learn(spellings: DataFrame) -> Words:
 
 def read_all(spellings: DataFrame, w: Words) -> DataFrame:
     """Spellings with kind, org, surname, given and initial; those that tell nothing are left out."""
-    names = ["form", "kind", "org", "surname", "given", "initial"]
+    names = ["form", "kind", "org", "surname", "given", "initial", "typed"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -272,35 +304,67 @@ def read_all(spellings: DataFrame, w: Words) -> DataFrame:
                 r = read_spelling(name, address, w)
                 if r:
                     rows.append((form, *r))
-            yield _pairs(rows, names, [pa.string()] * 6)
+            yield _pairs(rows, names, [pa.string()] * 7)
 
     return spellings.select("form", "name", "address").mapInArrow(run, ", ".join(f"{n} string" for n in names))
 
 
-def radius_join(left: DataFrame, right: DataFrame, block: str, value: str, radius: int = 2, n_pivots: int = 12, sample: int = 2000) -> DataFrame:
-    """Pairs of equal ``block`` whose ``value`` strings lie within an edit distance of ``radius``.
+#: A cell with more strings than this is split by pivots of its own, so many at a time, so often at most.
+CELL, PIVOTS, SPLITS = 4000, 16, 6
+#: Names within this edit distance meet.
+RADIUS = 2
 
-    The right side lies in the cells of its nearest pivots, in rings by distance to
-    the pivot.  The left side is replicated to every cell and ring that can hold a
-    neighbour.  Pivots come from a bounded sample; which ones they are changes the
-    work, never the result.  Columns of the right side come with the suffix ``_r``.
+
+def radius_join(left: DataFrame, right: DataFrame, radius: int = RADIUS, cell: int | None = None, pivots: int = PIVOTS) -> DataFrame:
+    """(block, value, value_r, apart): the pairs of equal ``block`` whose ``value`` strings lie within an edit distance of ``radius``.
+
+    Both sides have the columns ``block`` and ``value``.  Every block begins as one
+    cell.  While a cell holds more than ``cell`` strings of the right side it is split:
+    one pivot of each hash bucket of its strings is taken, each right string goes to the
+    cell of the nearest pivot, and each left string to all cells that can hold a
+    neighbour: those whose pivot is at most twice the radius further than the nearest.
+    In the last cells the strings lie in rings by their distance to a pivot (to the
+    block's pivot in a cell that was never split), and a left string meets the rings
+    within the radius.  Which pivots they are changes the work, never the result.
     """
-    pool = sorted(r[0] for r in right.select(value).where(F.length(value) > 2).distinct().orderBy(F.xxhash64(value)).limit(sample).collect())
-    pivots = pool[:1] or [""]
-    while len(pivots) < min(n_pivots, len(pool)):
-        pivots.append(max(pool[: 40 * n_pivots], key=lambda s: min(_edit(s, p) for p in pivots)))
-    dist = F.array(*(F.levenshtein(F.col(value), F.lit(p)) for p in pivots))
-    nearest = F.array_min("dist")
-    r = right.select(*(F.col(c).alias(f"{c}_r") for c in right.columns), dist.alias("dist")).withColumn("cell", F.array_position("dist", nearest).cast("int")).withColumn("ring", nearest).drop("dist")
-    cells = F.filter(
-        F.transform("dist", lambda d, i: F.struct((i + 1).cast("int").alias("cell"), d.alias("d"))), lambda x: x["d"] <= F.array_min("dist") + 2 * radius
-    )
-    spread = left.withColumn("dist", dist).withColumn("c", F.explode(cells)).withColumn("ring", F.explode(F.sequence(F.greatest(F.lit(0), F.col("c.d") - radius), F.col("c.d") + radius)))
-    spread = spread.withColumn("cell", F.col("c.cell")).drop("dist", "c")
-    on = (F.col(block) == F.col(f"{block}_r")) & (spread["cell"] == r["cell"]) & (spread["ring"] == r["ring"])
-    joined = spread.join(r, on).drop("cell", "ring")
-    apart = F.levenshtein(F.col(value), F.col(f"{value}_r"), radius)
-    return joined.withColumn("apart", apart).where(F.col("apart") >= 0)
+    most = CELL if cell is None else cell
+    r = right.select("block", F.col("value").alias("value_r")).where("block is not null and value_r is not null").distinct().withColumn("cell", F.col("block"))
+    r = persisted(r, "cells")
+    pivot_of = r.groupBy("cell").agg(F.min_by("value_r", F.xxhash64("value_r")).alias("pivot"), F.count("*").alias("n"))
+    pivot_of = persisted(pivot_of, "cell-sizes")
+    left = left.select("block", "value").where("block is not null and value is not null").distinct().withColumn("cell", F.col("block"))
+    left = persisted(left.join(pivot_of.select("cell"), "cell", "left_semi"), "asked-cells")
+    full = pivot_of.where(F.col("n") > most).select("cell")
+    whole = pivot_of.where(F.col("n") <= most).select("cell", "pivot")
+    done_r = [r.join(whole, "cell").withColumn("ring", F.levenshtein("value_r", "pivot")).drop("pivot", "block")]
+    done_left = [left.join(whole, "cell").withColumn("far", F.levenshtein("value", "pivot")).drop("pivot")]
+    r = r.drop("block")
+    for level in range(SPLITS):
+        if full.isEmpty():
+            break
+        # at most one pivot for each bucket
+        bucket = F.pmod(F.xxhash64("value_r", F.lit(level)), F.lit(pivots))
+        one = r.join(full, "cell", "left_semi").groupBy("cell", bucket.alias("bucket")).agg(F.min("value_r").alias("pivot"))
+        chosen = persisted(one.groupBy("cell").agg(F.array_sort(F.collect_set("pivot")).alias("pivots")), "pivots")
+        deeper = F.concat_ws("/", "cell", F.col("k").cast("string")).alias("cell")
+
+        def distances(value: str) -> Column:
+            return F.transform("pivots", lambda p: F.levenshtein(F.col(value), p))
+
+        near_r = r.join(chosen, "cell").withColumn("d", distances("value_r")).withColumn("ring", F.array_min("d")).withColumn("k", F.array_position("d", F.col("ring")))
+        near_r = persisted(near_r.select("value_r", deeper, "ring"), "cells")
+        d = left.join(chosen, "cell").withColumn("d", distances("value")).withColumn("least", F.array_min("d"))
+        reached = d.select("block", "value", "cell", "least", F.posexplode("d").alias("place", "far")).where(F.col("far") <= F.col("least") + 2 * radius).withColumn("k", F.col("place") + 1)
+        reached = persisted(reached.select("block", "value", deeper, "far"), "asked-cells")
+        full = persisted(near_r.groupBy("cell").agg(F.count("*").alias("n")).where(F.col("n") > (most if level < SPLITS - 1 else 1 << 62)).select("cell"), "full-cells")
+        done_r.append(near_r.join(full, "cell", "left_anti"))
+        done_left.append(reached.join(full, "cell", "left_anti"))
+        r, left = near_r.select("value_r", "cell"), reached.select("block", "value", "cell")
+    right_cells = reduce(DataFrame.unionByName, done_r)
+    left_cells = reduce(DataFrame.unionByName, done_left)
+    spread = left_cells.withColumn("ring", F.explode(F.sequence(F.greatest(F.lit(0), F.col("far") - radius), F.col("far") + radius))).drop("far")
+    apart = F.levenshtein("value", "value_r", radius)
+    return spread.join(right_cells, ["cell", "ring"]).withColumn("apart", apart).where(F.col("apart") >= 0).select("block", "value", "value_r", "apart")
 
 
 def _edit(a: str, b: str) -> int:
@@ -312,13 +376,21 @@ def _edit(a: str, b: str) -> int:
     return row[-1]
 
 
-def _one_slip(a: Column, b: Column, apart: Column) -> Column:
+def _slip(a: Column, b: Column, apart: Column) -> Column:
     """One edit, or two neighbours exchanged."""
     n = F.length(a)
     swap = F.exists(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: F.concat(a.substr(F.lit(1), i - 1), a.substr(i + 1, F.lit(1)), a.substr(i, F.lit(1)), a.substr(i + 2, n)) == b)
     return (apart == 1) | ((apart == 2) & (n == F.length(b)) & swap)
 
 
+ASKED = ["hint", "surname", "given", "initial"]
+
+
+def _key(kind: str, value: str | None = None, at: str = "at") -> Column:
+    """The block of a kind of people at an organisation, or anywhere if ``at`` is ''."""
+    return F.concat_ws("|", F.lit(kind), F.coalesce(F.col(value), F.lit("?")) if value else F.lit(""), F.col(at))
+
+
 def link(contacts: DataFrame) -> DataFrame:
     """(contact_id, entity): rows with the same entity stand for the same person or organisation."""
     base = contacts.select(F.col("contact_id").cast("long").alias("contact_id"), F.col("name").cast("string").alias("name"), F.col("address").cast("string").alias("address"))
@@ -327,53 +399,80 @@ def link(contacts: DataFrame) -> DataFrame:
     spellings = persisted(rows.groupBy("form").agg(F.min("name").alias("name"), F.min(F.lower("address")).alias("address")), "spellings")
     read = persisted(read_all(spellings, learn(spellings)), "names-read")
 
+    # people and firms as the addresses at organisations tell them
     at_org = read.where("kind = 'p'")
     full = at_org.where("given is not null").select("org", "surname", "given", "initial").distinct()
     by_initial = full.groupBy("org", "surname", "initial").agg(F.count("*").alias("n"), F.min("given").alias("only"))
     by_surname = full.groupBy("org", "surname").agg(F.count("*").alias("n_all"), F.min("given").alias("only_all"))
     some = at_org.where("given is null").join(by_initial, ["org", "surname", "initial"], "left").join(by_surname, ["org", "surname"], "left")
     chosen = F.when(F.col("n") == 1, F.col("only")).when(F.col("initial").isNull() & (F.col("n_all") == 1), F.col("only_all"))
-    settled = at_org.where("given is not null").select("form", "org", "surname", "given", "initial").unionByName(some.select("form", "org", "surname", chosen.alias("given"), "initial"))
+    columns = ["form", "org", "surname", "given", "initial", "typed"]
+    told = at_org.where("given is not null").select(columns).unionByName(some.select("form", "org", "surname", chosen.alias("given"), "initial", "typed"))
     who = F.coalesce(F.col("given"), F.concat(F.lit("~"), F.coalesce("initial", F.lit("?"))))
-    settled = persisted(settled.withColumn("entity", F.concat_ws("|", F.lit("p"), "org", "surname", who)), "settled")
-    people = persisted(settled.select("entity", "org", "surname", "given", "initial").distinct(), "people")
-
-    firms = read.where("kind = 'o'").select("form", "org")
-    known = settled.select("org").unionByName(read.join(spellings.where("address is not null").select("form"), "form", "left_semi").where("kind = 'o'").select("org")).distinct()
-    strays = firms.select("org").distinct().join(known, "org", "left_anti").withColumn("block", F.lit("o"))
-    slips = radius_join(strays, known.withColumn("block", F.lit("o")), "block", "org").where(_one_slip(F.col("org"), F.col("org_r"), F.col("apart")))
-    slips = slips.groupBy("org").agg(F.min("org_r").alias("lo"), F.max("org_r").alias("hi")).where("lo = hi").select("org", F.col("lo").alias("right_org"))
-    firm_of = firms.join(slips, "org", "left").select("form", F.concat(F.lit("o|"), F.coalesce("right_org", "org")).alias("entity"))
-
-    loose = persisted(read.where("kind = 'n' and surname is not null").select("form", F.col("org").alias("hint"), "surname", "given", "initial"), "loose-names")
-    asked = loose.select("hint", "surname", "given", "initial").distinct()
-    ask = [F.col(c).eqNullSafe(F.col(f"{c}_x")) for c in ("hint", "surname", "given", "initial")]
-    # Names are looked up under keys that sum up the people they may mean, so that a surname shared by very many people
-    # makes no pairs: G a given name, N an initial of people without one, Z people with neither, I an initial, A anybody.
-    key = lambda kind, value="": F.concat(F.lit(kind), F.coalesce(F.col(value), F.lit("?")) if value else F.lit(""))
-    with_given = F.array(key("G", "given"), key("I", "initial"), key("A"))
-    without = F.when(F.col("initial").isNotNull(), F.array(key("N", "initial"), key("I", "initial"), key("A"))).otherwise(F.array(key("Z"), key("A")))
-    shown = people.withColumn("key", F.explode(F.when(F.col("given").isNotNull(), with_given).otherwise(without))).withColumn("at", F.explode(F.array(F.col("org"), F.lit(""))))
-    summed = shown.groupBy("surname", "at", "key").agg(F.min("entity").alias("lo"), F.max("entity").alias("hi"))
-    looked = F.when(F.col("given").isNotNull(), F.array(key("G", "given"), key("N", "initial"), key("Z"))).when(F.col("initial").isNotNull(), F.array(key("I", "initial"), key("Z"))).otherwise(F.array(key("A")))
-    lookup = asked.withColumn("key", F.explode(looked)).withColumn("at", F.coalesce("hint", F.lit("")))
-    exact = lookup.join(summed, ["surname", "at", "key"]).groupBy("hint", "surname", "given", "initial").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    exact = persisted(exact, "exact-names")
+    told = persisted(told.withColumn("entity", F.concat_ws("|", F.lit("p"), "org", "surname", who)), "told")
+    people = persisted(told.select("entity", "org", "surname", "given", "initial").distinct(), "people")
+    firms = read.where("kind = 'o'").select("form", "org", "typed")
+    orgs = told.select("org").unionByName(firms.where("org is not null").select("org")).distinct()
+
+    # Loose names are looked up under keys that sum up the people they may mean, so that a surname shared by very many
+    # people makes no pairs: G a given name, N an initial of people without one, Z people with neither, I an initial, A anybody.
+    loose = persisted(read.where("kind = 'n' and surname is not null").select("form", F.col("org").alias("hint"), "surname", "given", "initial").withColumn("at", F.coalesce("hint", F.lit(""))), "loose-names")
+    asked = loose.groupBy(*ASKED, "at").agg(F.count("*").alias("spellings"))
+    with_given = F.array(_key("G", "given"), _key("I", "initial"), _key("A"))
+    without = F.when(F.col("initial").isNotNull(), F.array(_key("N", "initial"), _key("I", "initial"), _key("A"))).otherwise(F.array(_key("Z"), _key("A")))
+    shown = people.withColumn("at", F.explode(F.array(F.col("org"), F.lit("")))).withColumn("block", F.explode(F.when(F.col("given").isNotNull(), with_given).otherwise(without)))
+    summed = persisted(shown.groupBy("block", F.col("surname").alias("value_r")).agg(F.min("entity").alias("lo"), F.max("entity").alias("hi")), "summed")
+    looked = F.when(F.col("given").isNotNull(), F.array(_key("G", "given"), _key("N", "initial"), _key("Z"), _key("L", "given"))).when(F.col("initial").isNotNull(), F.array(_key("I", "initial"), _key("Z"))).otherwise(F.array(_key("A")))
+    lookup = asked.withColumn("block", F.explode(looked)).withColumnRenamed("surname", "value")
+    kin = asked.where("given is not null").withColumn("block", _key("L", "given")).withColumnRenamed("surname", "value_r")  # loose names among themselves
+
+    # everything meets here: typed names and names of entities
+    person_block, firm_block, any_firm = F.concat_ws("|", F.lit("P"), "org"), F.concat_ws("|", F.lit("O"), "org"), F.lit("F")
+    named = told.select(person_block.alias("block"), F.col("typed").alias("value"))
+    named = named.unionByName(firms.select(F.when(F.col("org").isNotNull(), firm_block).otherwise(any_firm).alias("block"), F.col("typed").alias("value"))).unionByName(lookup.select("block", "value"))
+    known = told.select(person_block.alias("block"), F.col("surname").alias("value")).unionByName(orgs.select(F.explode(F.array(firm_block, any_firm)).alias("block"), F.col("org").alias("value")))
+    known = known.unionByName(summed.select("block", F.col("value_r").alias("value"))).unionByName(kin.select("block", F.col("value_r").alias("value")))
+    met = persisted(radius_join(named, known), "met")
+
+    # names at an organisation: the address verifies which of the names met is meant
+    settled = told.withColumn("block", person_block).withColumnRenamed("typed", "value").withColumnRenamed("surname", "value_r").join(met, ["block", "value", "value_r"]).select("form", "entity")
+    of_firm = firms.where("org is not null").select("form", firm_block.alias("block"), F.col("typed").alias("value"), F.col("org").alias("value_r")).join(met, ["block", "value", "value_r"])
+    of_firm = of_firm.select("form", F.concat(F.lit("o|"), "value_r").alias("entity"))
+    strays = firms.where("org is null").select("form", "typed")
+    best = met.where("block = 'F'").where((F.col("apart") == 0) | _slip(F.col("value"), F.col("value_r"), F.col("apart"))).withColumn("rough", F.col("apart") > 0)
+    best = best.groupBy("value", "rough").agg(F.min("value_r").alias("lo"), F.max("value_r").alias("hi"))
+    best = best.groupBy(F.col("value").alias("typed")).agg(F.min_by("lo", "rough").alias("lo"), F.min_by("hi", "rough").alias("hi"))
+    stray_of = strays.join(best, "typed", "left").select("form", F.concat(F.lit("o|"), F.when(F.col("lo") == F.col("hi"), F.col("lo")).otherwise(F.col("typed"))).alias("entity"))
+
+    # loose names: those met exactly count before those met with a slip
+    ask = [F.col(c).eqNullSafe(F.col(f"{c}_x")) for c in ASKED]
 
     def renamed(df: DataFrame) -> DataFrame:
-        return df.select(*(F.col(c).alias(f"{c}_x") for c in ("hint", "surname", "given", "initial")), *(c for c in df.columns if c not in ("hint", "surname", "given", "initial")))
-
-    unmatched = asked.where("given is not null").join(renamed(exact), ask, "left_anti")
-    block = lambda at: F.concat_ws("|", "given", at)
-    clean = people.where("given is not null").withColumn("block", F.explode(F.array(block(F.lit("")), block("org")))).groupBy("block", "surname").agg(F.min("entity").alias("lo"), F.max("entity").alias("hi"))
-    fuzzy = radius_join(unmatched.withColumn("block", block(F.coalesce("hint", F.lit("")))), clean, "block", "surname")
-    fuzzy = fuzzy.where(_one_slip(F.col("surname"), F.col("surname_r"), F.col("apart"))).groupBy("hint", "surname", "given", "initial").agg(F.min("lo_r").alias("lo"), F.max("hi_r").alias("hi"))
-    matched = renamed(exact.unionByName(fuzzy))
-    own = F.when(F.col("lo").isNull(), F.concat_ws("|", F.lit("n"), F.coalesce("hint", F.lit("")), "surname", F.coalesce(F.col("given"), F.concat(F.lit("~"), F.coalesce("initial", F.lit("?"))))))
-    entity = F.when(F.col("lo") == F.col("hi"), F.col("lo")).otherwise(F.coalesce(own, F.concat(F.lit("f|"), F.col("form"))))
-    loose_of = loose.join(matched, ask, "left").select("form", entity.alias("entity"))
-
-    of = settled.select("form", "entity").unionByName(firm_of).unionByName(loose_of)
+        return df.select(*(F.col(c).alias(f"{c}_x") for c in ASKED), *(c for c in df.columns if c not in ASKED))
+
+    is_slip = _slip(F.col("value"), F.col("value_r"), F.col("apart"))
+    may_slip = F.col("given").isNotNull() | ~F.col("known")
+    surnames = people.select(F.col("surname").alias("value")).distinct().withColumn("known", F.lit(True))
+    meant = lookup.join(met, ["block", "value"]).join(summed, ["block", "value_r"]).join(surnames, "value", "left").withColumn("known", F.coalesce("known", F.lit(False)))
+    meant = meant.where((F.col("apart") == 0) | (is_slip & may_slip)).withColumn("rough", F.col("apart") > 0).withColumnRenamed("value", "surname")
+    meant = meant.groupBy(*ASKED, "rough").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    meant = persisted(meant.groupBy(*ASKED).agg(F.min_by("lo", "rough").alias("lo"), F.min_by("hi", "rough").alias("hi")), "meant")
+
+    own = F.concat_ws("|", F.lit("n"), "at", "surname", F.coalesce(F.col("given"), F.concat(F.lit("~"), F.coalesce("initial", F.lit("?")))))
+    alone = asked.where("given is not null").join(renamed(meant), ask, "left_anti").select("given", "at", "surname", "spellings").withColumn("block", _key("L", "given"))
+    other = alone.select("block", F.col("surname").alias("value_r"), F.col("spellings").alias("spellings_r"))
+    pairs = met.where(F.col("block").startswith("L|")).where(is_slip).join(alone.withColumnRenamed("surname", "value"), ["block", "value"]).join(other, ["block", "value_r"])
+    larger = pairs.where(F.struct("spellings_r", "value_r") > F.struct("spellings", "value")).groupBy("block", "value").agg(F.min("value_r").alias("lo"), F.max("value_r").alias("hi")).where("lo = hi")
+    larger = persisted(larger.select("block", F.col("value").alias("surname"), F.col("lo").alias("larger")), "larger")  # a rare spelling joins the only more frequent one beside it
+    twice = larger.select("block", F.col("surname").alias("larger"), F.col("larger").alias("largest"))
+    resolved = larger.join(twice, ["block", "larger"], "left").select("block", "surname", F.coalesce("largest", "larger").alias("meant_surname"))
+
+    entity = F.when(F.col("lo") == F.col("hi"), F.col("lo")).when(F.col("lo").isNotNull(), F.concat(F.lit("f|"), F.col("form"))).otherwise(own)
+    j = loose.join(renamed(meant), ask, "left").withColumn("block", _key("L", "given")).join(resolved, ["block", "surname"], "left")
+    j = j.withColumn("surname", F.when(F.col("lo").isNull() & F.col("given").isNotNull(), F.coalesce("meant_surname", "surname")).otherwise(F.col("surname")))
+    loose_of = j.select("form", entity.alias("entity"))
+
+    of = settled.unionByName(of_firm).unionByName(stray_of).unionByName(loose_of)
     return rows.select("contact_id", "form").distinct().join(of, "form").select("contact_id", "entity").distinct()
 
 

@@ -262,13 +262,29 @@ def test_chains_undo_what_was_done():
 
 def test_radius_join_against_brute_force(spark):
     r = random.Random(5)
-    names = ["".join(r.choice("abcd") for _ in range(r.randint(3, 7))) for _ in range(120)]
-    left = spark.createDataFrame([("x", n) for n in names[:50]], "block string, value string").distinct()
-    right = spark.createDataFrame([("x", n) for n in names[40:]], "block string, value string").distinct()
-    for pivots in (1, 5):
-        got = {(x["value"], x["value_r"]) for x in people.radius_join(left, right, "block", "value", 2, pivots).collect()}
-        assert got == {(a, b) for a in set(names[:50]) for b in set(names[40:]) if people._edit(a, b) <= 2}
-    assert people.radius_join(left.limit(0), right, "block", "value").count() == people.radius_join(left, right.limit(0), "block", "value").count() == 0
+    names = list(dict.fromkeys("".join(r.choice("abcd") for _ in range(r.randint(1, 7))) for _ in range(160)))
+    rows_ = lambda some, other: spark.createDataFrame([("x", n, 1) for n in some] + [("y", n, 1) for n in some[:20]] + [("x", None, 1), (None, "a", 1), (other, "abc", 1)], "block string, value string, cell int")
+    left, right = rows_(names[:90], "l"), rows_(names[60:], "r")
+    wanted = {("x", a, b, people._edit(a, b)) for a in names[:90] for b in names[60:]} | {("y", a, b, people._edit(a, b)) for a in names[:20] for b in names[60:80]}
+    for radius, cell, pivots in ((2, 1000, 16), (2, 10, 3), (1, 5, 4), (2, 1, 2)):
+        got = people.radius_join(left, right, radius, cell, pivots).collect()
+        assert len(got) == len(set(got)) and {tuple(x) for x in got} == {x for x in wanted if x[3] <= radius}, (radius, cell)
+    assert people.radius_join(left.limit(0), right).count() == people.radius_join(left, right.limit(0)).count() == 0
+
+
+def test_names_meet_in_the_radius_join_only(spark, monkeypatch):
+    df = spark.read.parquet(f"{SMALL}/header_contacts.parquet")
+    whole = people.linked_pairs(df).count()
+    real = people.radius_join
+    monkeypatch.setattr(people, "radius_join", lambda left, right: real(left, right.limit(0)))
+    assert people.linked_pairs(df).count() < 0.1 * whole
+
+
+def test_cells_split_while_overfull_change_nothing(spark, monkeypatch):
+    df = spark.read.parquet(f"{SMALL}/header_contacts.parquet")
+    once = rows(people.link(df), "contact_id", "entity")
+    monkeypatch.setattr(people, "CELL", 5)
+    assert rows(people.link(df), "contact_id", "entity") == once
 
 
 def test_links(spark):
@@ -280,11 +296,11 @@ def test_links(spark):
             rows_.append((n, f"{g.title()} Sur{chr(97 + o)}nam", f"{g}.sur{chr(97 + o)}nam@org{chr(97 + o)}.test"))
         n += 1
         rows_.append((n, f"Org{chr(97 + o)} Conseil SARL", f"contact@org{chr(97 + o)}.test"))
-    more = [(1001, "SURANAM Anna", "asuranam@orga.test"), (1002, "A. Suranam", "a.suranam@mail.orga.test"), (1003, None, "anna.suranam@orga.test"), (1004, "Anna Suranma", None), (1005, "Orga Conseil", None), (1006, None, None), (1007, "Anna Suranam", "ANNA.SURANAM@ORGA.TEST"), (1007, "Anna Suranam", "ANNA.SURANAM@ORGA.TEST"), (1008, "", "")]
+    more = [(1001, "SURANAM Anna", "asuranam@orga.test"), (1002, "A. Suranam", "a.suranam@mail.orga.test"), (1003, None, "anna.suranam@orga.test"), (1004, "Anna Suranma", None), (1005, "Orga Conseil", None), (1006, None, None), (1007, "Anna Suranam", "ANNA.SURANAM@ORGA.TEST"), (1007, "Anna Suranam", "ANNA.SURANAM@ORGA.TEST"), (1008, "", ""), (1009, "Anna Lonesome", None), (1010, "Anna LONESOME", None), (1011, "Lonesmoe, Anna", None), (1012, "A. Suranma", None), (1013, "Suranm", None)]
     df = spark.createDataFrame([(i, "raw", a, b, "x") for i, a, b in rows_ + more], "contact_id long, raw string, name string, address string, entity string")
     pairs = set(rows(people.linked_pairs(df), "contact_id_a", "contact_id_b"))
-    anna, firm = [1, 1001, 1002, 1003, 1004, 1007], [6, 1005]
-    assert pairs == {(a, b) for group in (anna, firm) for a in group for b in group if a < b}
+    anna, firm, loose = [1, 1001, 1002, 1003, 1004, 1007, 1012], [6, 1005], [1009, 1010, 1011]
+    assert pairs == {(a, b) for group in (anna, firm, loose) for a in group for b in group if a < b}
     assert people.linked_pairs(df.limit(0)).count() == 0
 
 
