@@ -15,6 +15,7 @@ same rows once; extra columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 import math
 import unicodedata
 import uuid
@@ -27,8 +28,8 @@ from pyspark.sql import functions as F
 from lettrine.llm.base import WORD, _MARKS, words
 
 MIN_WORDS = 12
-#: A broadcast block of items holds at most so many characters, or one item if that is longer.
-BLOCK_CHARS = 4_000_000
+#: A broadcast block of items holds at most so many characters, or one item if that is longer; results don't depend on it.
+BLOCK_CHARS = 1_000_000
 
 
 class Automaton:
@@ -125,14 +126,14 @@ def _automaton(shared, least: int) -> Automaton:
     return _built[name, least]
 
 
-def item_blocks(items: DataFrame, block_chars: int) -> Iterator[list[tuple[int, str]]]:
-    """The items in blocks of bounded size; each block is collected by itself."""
+def item_blocks(items: DataFrame, block_chars: int) -> Iterator[tuple[int, list[tuple[int, str]]]]:
+    """(number of blocks, items) for each block of bounded size; each block is collected by itself."""
     items = items.select("item_id", "text").where(F.col("text").isNotNull() & F.col("item_id").isNotNull()).distinct()
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     n = max(1, math.ceil(total / block_chars))
     block = F.pmod(F.xxhash64("item_id"), F.lit(n))
     for b in range(n):
-        yield [(r[0], r[1]) for r in (items if n == 1 else items.where(block == b)).collect()]
+        yield n, [(r[0], r[1]) for r in (items if n == 1 else items.where(block == b)).collect()]
 
 
 def leaks(documents: DataFrame, items: DataFrame, min_words: int = MIN_WORDS, block_chars: int = BLOCK_CHARS) -> DataFrame:
@@ -140,7 +141,7 @@ def leaks(documents: DataFrame, items: DataFrame, min_words: int = MIN_WORDS, bl
     spark = documents.sparkSession
     out = None
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
-    for block in item_blocks(items, block_chars):
+    for _, block in item_blocks(items, block_chars):
         shared = spark.sparkContext.broadcast((uuid.uuid4().hex, block))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -173,52 +174,94 @@ def _aligned(text: str) -> list[tuple[str, int, int]]:
     return [(m[0], at[m.start()], at[m.end() - 1] + 1) for m in WORD.finditer("".join(chars))]
 
 
+def _spans(automaton: Automaton, tokens: list[str], max_words: int) -> list[tuple[int, int]]:
+    """(first word, word after the last) of the places inside matches of at least ``max_words`` words, in order and apart."""
+    out: list[tuple[int, int]] = []
+    for i, n, _ in automaton.stream(tokens):
+        if n >= max_words:
+            a = i - n + 1
+            while out and out[-1][1] >= a:
+                a = min(a, out.pop()[0])
+            out.append((a, i + 1))
+    return out
+
+
+def _cut(text: str | None, spans: list[tuple[int, int]], max_coverage: float) -> tuple[str | None, int, float]:
+    """(text, removed words, coverage) with the words of ``spans`` taken out; nothing is left beyond ``max_coverage``."""
+    if not spans or not text:
+        return text, 0, 0.0
+    aligned = _aligned(text)
+    inside = bytearray(len(aligned))
+    for a, b in spans:
+        inside[a:b] = b"\x01" * (b - a)
+    removed = sum(inside)
+    share = removed / len(aligned)
+    if share > max_coverage:
+        return "", removed, share
+    keep, last, j = [], 0, 0
+    while j < len(aligned):
+        if inside[j]:
+            keep.append(text[last : aligned[j][1]])
+            while j + 1 < len(aligned) and inside[j + 1]:
+                j += 1
+            last = aligned[j][2]
+        j += 1
+    return "".join([*keep, text[last:]]), removed, share
+
+
 def without_leaks(documents: DataFrame, items: DataFrame, min_words: int = MIN_WORDS, max_words: int = MIN_WORDS, max_coverage: float = 0.5, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """Every document with its leaked spans removed.
 
     Spans of at least ``max_words`` matching words are cut out.  A document whose
-    share of such words exceeds ``max_coverage`` is emptied.  Columns: doc_id, text,
-    removed_words, coverage.
+    share of such words exceeds ``max_coverage`` is emptied.  Several blocks of items
+    first give the spans of each text, which then are cut at once, so the blocks
+    don't show in the result.  Columns: doc_id, text, removed_words, coverage.
     """
     spark = documents.sparkSession
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    for block in item_blocks(items, block_chars):
+    blocks = item_blocks(items, block_chars)
+    n, first = next(blocks)
+    cut_schema, names = "doc_id long, text string, removed_words long, coverage double", ["doc_id", "text", "removed_words", "coverage"]
+
+    def cut_batch(ids: pa.Array, texts: list[str | None], spans: list[list[tuple[int, int]]]) -> pa.RecordBatch:
+        done = [_cut(t, s, max_coverage) for t, s in zip(texts, spans, strict=True)]
+        return pa.RecordBatch.from_arrays([ids, *(pa.array([d[k] for d in done], t) for k, t in enumerate((pa.string(), pa.int64(), pa.float64())))], names=names)
+
+    if n == 1:
+        shared = spark.sparkContext.broadcast((uuid.uuid4().hex, first))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            a = _automaton(shared, min_words)
+            for batch in batches:
+                texts = batch.column(1).to_pylist()
+                yield cut_batch(batch.column(0), texts, [_spans(a, words(t or ""), max_words) for t in texts])
+
+        return docs.mapInArrow(run, cut_schema)
+
+    found = None
+    keyed = docs.withColumn("key", F.md5("text"))
+    for _, block in itertools.chain([(n, first)], blocks):
         shared = spark.sparkContext.broadcast((uuid.uuid4().hex, block))
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+        def find(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             a = _automaton(shared, min_words)
             for batch in batches:
-                cols: list[list] = [[], [], [], []]
-                for doc, text, before in zip(batch.column("doc_id").to_pylist(), batch.column("text"), batch.column("removed_words").to_pylist(), strict=True):
-                    text, removed, share = text.as_py(), 0, 0.0
-                    tokens = words(text or "")
-                    ends = [(i, n) for i, n, _ in a.stream(tokens) if n >= max_words]
-                    if ends:
-                        spans = _aligned(text)
-                        inside = [False] * len(spans)
-                        for i, n in ends:
-                            for j in range(i, i - n, -1):
-                                if inside[j] and j < i:
-                                    break
-                                inside[j] = True
-                        removed, share = sum(inside), sum(inside) / len(spans)
-                        if share > max_coverage:
-                            text = ""
-                        else:
-                            keep, last, j = [], 0, 0
-                            while j < len(spans):
-                                if inside[j]:
-                                    keep.append(text[last : spans[j][1]])
-                                    while j + 1 < len(spans) and inside[j + 1]:
-                                        j += 1
-                                    last = spans[j][2]
-                                j += 1
-                            text = "".join([*keep, text[last:]])
-                    for c, x in zip(cols, (doc, text, before + removed, share), strict=True):
-                        c.append(x)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.string(), pa.int64(), pa.float64()), strict=True)], names=["doc_id", "text", "removed_words", "coverage"])
-
-        if "removed_words" not in docs.columns:
-            docs = docs.withColumn("removed_words", F.lit(0).cast("long"))
-        docs = docs.mapInArrow(run, "doc_id long, text string, removed_words long, coverage double")
-    return docs
+                ids, keys, froms, tos = [], [], [], []
+                for doc, key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                    for x, y in _spans(a, words(text.as_py() or ""), max_words):
+                        ids.append(doc)
+                        keys.append(key)
+                        froms.append(x)
+                        tos.append(y)
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(keys, pa.string()), pa.array(froms, pa.int64()), pa.array(tos, pa.int64())], names=["doc_id", "key", "a", "b"])
+
+        part = keyed.select("doc_id", "key", "text").mapInArrow(find, "doc_id long, key string, a long, b long")
+        found = part if found is None else found.unionByName(part)
+    # under the document's id as well, so that a text that very many documents hold loads no task
+    spans = found.groupBy("doc_id", "key").agg(F.collect_set(F.struct("a", "b")).alias("spans"))  # no more than the words of one text
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield cut_batch(batch.column(0), batch.column(1).to_pylist(), [[(s["a"], s["b"]) for s in x or []] for x in batch.column(2).to_pylist()])
+
+    return keyed.join(spans, ["doc_id", "key"], "left").select("doc_id", "text", "spans").mapInArrow(cut, cut_schema)
