@@ -9,7 +9,9 @@ the lines are joined into paragraphs.
 
 The vocabulary stays a table; what is sent to the executors are only the misread
 forms and the words with hyphens of their own, in blocks of at most ``BLOCK``
-entries, each block a pass over the texts.
+entries.  One block serves in a single pass.  Several blocks each tell the forms that
+a text holds; a last pass reads each text with all of its forms, so results don't
+depend on ``BLOCK``.
 
 Defined results: null and empty texts have no lines; texts without page traces come
 out as they are, their lines joined; a line may have several kinds; repeated rows
@@ -57,12 +59,20 @@ _GOES_ON = re.compile(r"[^\W\d_A-ZÀ-Þ]|[0159!†|][a-zà-ÿ]")
 _SPLIT = re.compile(r"([^\s\-­‐¬]+(?:-[^\s\-]+)*)[\-­‐¬]$")
 
 
+_WIDE = re.compile(r"\s{3,}")
+#: Characters at the end of a line in which its page number is looked for, wide blanks counted as two.
+_TAIL_CHARS = 64
+
+
 def _core(line: str) -> tuple[str, bool]:
     """The line without a page number at its end or beginning; whether there was one."""
-    if len(line) <= 160 and ("  " in line or "\t" in line or any(ch.isdigit() for ch in line)):
-        m = _TAIL.match(line) or _HEAD.match(line)
-        if m and any(ch.isalpha() for ch in m["core"]):
-            return m["core"], True
+    if "  " in line or "\t" in line or any(ch.isdigit() for ch in line):
+        line = _WIDE.sub("  ", line)
+        start = max(0, len(line) - _TAIL_CHARS)
+        m = _TAIL.match(line[start:])
+        core = line[:start] + m["core"] if m else (h["core"] if (h := _HEAD.match(line)) else "")
+        if any(ch.isalpha() for ch in core):
+            return core, True
     return line, False
 
 
@@ -99,6 +109,13 @@ def _alike(a: str, b: str) -> bool:
     return not any(op == "replace" and a[p:q].isdigit() and b[r:s].isdigit() for op, p, q, r, s in m.get_opcodes())
 
 
+def _ends(c: str) -> set[str]:
+    """Keys of which lines that are alike share one: half of the shorter line agrees at both ends together, so a quarter
+    at one of them; a misreading seldom hits both ends of a short line."""
+    sizes = {max(2, (len(c) - d) // 4) for d in range(5)}
+    return {x for q in sizes for x in (c[:q], "$" + c[-q:])}
+
+
 def furniture(lines: list[str]) -> dict[int, str]:
     """``running`` or ``page_number`` for each line that belongs to the page, not to the text."""
     text = [x.strip() for x in lines]
@@ -126,10 +143,15 @@ def furniture(lines: list[str]) -> dict[int, str]:
             else:
                 out[i] = "page_number"
     numbers = {i: _value(text[i]) for i in plain}
+    first_at: dict[int, int] = {}
+    last_at: dict[int, int] = {}
+    for i, v in numbers.items():
+        first_at.setdefault(v, i)
+        last_at[v] = i
     for i in plain:
         k = place[i]
         alone = (i == 0 or not text[i - 1]) and (i + 1 == len(text) or not text[i + 1])
-        steps = any(numbers[j] - numbers[i] == (1 if j > i else -1) for j in plain if j != i)
+        steps = last_at.get(numbers[i] + 1, -1) > i or first_at.get(numbers[i] - 1, i) < i
         if steps or alone or k in (0, len(full) - 1) or fed(k):
             out[i] = "page_number"
 
@@ -139,7 +161,7 @@ def furniture(lines: list[str]) -> dict[int, str]:
             continue
         core, numbered = _core(text[i])
         first = next((ch for ch in core if ch.isalnum()), "")
-        if len(core) >= 3 and first and not first.islower() and core[-1] not in ".,;:" and len(core) <= 120:
+        if len(core) >= 3 and first and not first.islower() and core[-1] not in ".,;:":
             cores[i] = (core.lower(), numbered)
     if len(cores) < 2:
         return out
@@ -159,7 +181,7 @@ def furniture(lines: list[str]) -> dict[int, str]:
             k = form_of[c] = len(forms)
             forms.append(c)
             parent.append(k)
-            for e in (c[:2], "$" + c[-2:]):  # a misreading seldom hits both ends of a line
+            for e in _ends(c):
                 near = near_by.setdefault(e, [])
                 for other in near:
                     if root(other) != root(k) and _alike(forms[other], c):
@@ -325,19 +347,31 @@ def lexicon(vocab: DataFrame) -> tuple[DataFrame, DataFrame]:
     return misread, counted.where(F.col("n_with") > F.coalesce("n_without", F.lit(0))).select("word", "right")
 
 
-def _blocks(df: DataFrame, size: int) -> Iterator[list]:
-    n = -(-df.count() // size) or 1
+#: Forms as they are sent: (word, right, place, repair); a word with a hyphen of its own has no place and no repair.
+FORMS = "word string, right string, place int, repair string"
+
+
+def learned(texts: DataFrame) -> DataFrame:
+    """The forms of the corpus."""
+    misread, own = lexicon(persisted(vocabulary(texts), "vocabulary"))
+    none = F.lit(None)
+    return persisted(misread.unionByName(own.select("word", "right", none.cast("int").alias("place"), none.cast("string").alias("repair"))), "forms")
+
+
+def _blocks(forms: DataFrame, size: int) -> Iterator[tuple[int, list]]:
+    """(number of blocks, forms) for each block."""
+    n = -(-forms.count() // size) or 1
     for b in range(n):
-        part = df if n == 1 else df.where(F.pmod(F.xxhash64("word", "right"), F.lit(n)) == b)
-        yield part.collect()
+        part = forms if n == 1 else forms.where(F.pmod(F.xxhash64("word", "right"), F.lit(n)) == b)
+        yield n, [tuple(r) for r in part.collect()]
 
 
 class Repairer:
     """Kinds of lines and repaired text, by the learned forms."""
 
-    def __init__(self, misread: list, own: list):
-        self.misread = {(r["word"], r["right"]): (r["place"], r["repair"]) for r in misread}
-        self.own = {(r["word"], r["right"]) for r in own}
+    def __init__(self, forms: list[tuple]):
+        self.misread = {(w, r): (place, repair) for w, r, place, repair in forms if place is not None}
+        self.own = {(w, r) for w, r, place, _ in forms if place is None}
         self.after: dict[str, set[str]] = {}
         self.before: dict[str, set[str]] = {}
         for left, right in self.own:
@@ -361,6 +395,22 @@ class Repairer:
             return True
         return any(_alike(x, right) for x in self.after.get(left, ()) if len(x) > 3) or any(_alike(x, left) for x in self.before.get(right, ()) if len(x) > 3)
 
+    def forms_of(self, text: str) -> set[tuple]:
+        """The forms that bear on a text."""
+        lines = text.split("\n")
+        page = furniture(lines)
+        found = set()
+        for _, _, left, right in splits(lines, page):
+            if (hit := self.misread.get((left, right))) is not None:
+                found.add((left, right, *hit))
+            if self.own_hyphen(left, right):
+                found.add((left, right, None, None))
+        for t in {t for i, x in enumerate(lines) if i not in page for t in x.split()}:
+            w = word_of(t)
+            if w is not None and (hit := self.misread.get((w, ""))) is not None:
+                found.add((w, "", *hit))
+        return found
+
     def kinds(self, text: str) -> list[tuple[int, str]]:
         lines = text.split("\n")
         page = furniture(lines)
@@ -384,99 +434,128 @@ class Repairer:
         out.extend((i, "misread") for i in misread)
         return out
 
-    def _mended(self, token: str) -> str:
-        w = word_of(token)
-        hit = self.misread.get((w, "")) if w else None
-        if not hit:
+    @staticmethod
+    def _in_place(token: str, word: str, fixed: str) -> str:
+        """The token with its word replaced, in the word's letter case."""
+        at = token.lower().find(word)
+        if at < 0:
             return token
-        at = token.lower().find(w)
-        bare = token[at : at + len(w)]
-        fixed = hit[1]
-        if _BAD_ELISION.match(w):
+        bare = token[at : at + len(word)]
+        if _BAD_ELISION.match(word):
             fixed = "l'" + fixed
-        if bare.isupper():
+        if bare.isupper() and len(bare) > 1:
             fixed = fixed.upper()
         elif bare[:1].isupper():
             fixed = fixed[:1].upper() + fixed[1:]
-        return token[:at] + fixed + token[at + len(w) :]
+        return token[:at] + fixed + token[at + len(word) :]
+
+    def _mended(self, token: str) -> str:
+        w = word_of(token)
+        hit = self.misread.get((w, "")) if w else None
+        return self._in_place(token, w, hit[1]) if hit else token
+
+    def _joined(self, head: str, tail: str, left: str, right: str) -> str:
+        """The two halves of a split word as one word, mended."""
+        whole = head + tail if self.own_hyphen(left, right) else head[:-1] + tail
+        hit = self.misread.get((left, right))
+        if hit is None:
+            return whole if self.own_hyphen(left, right) else self._mended(whole)
+        plain = self._in_place(whole, left + right, hit[1])
+        return plain if plain != whole else self._in_place(whole, f"{left}-{right}", hit[1])
 
     def repaired(self, text: str) -> str:
         """The text without page furniture, split words joined, misread words mended, one line for each paragraph."""
         lines = text.split("\n")
         page = furniture(lines)
         joins = {i: (left, right) for i, _, left, right in splits(lines, page)}
-        paragraphs: list[str] = []
-        now, glue, gap = "", False, False
+        paragraphs: list[list[str]] = []  # each a list of words
+        cut: tuple[str, str] | None = None
+        glue = gap = False
         for i, x in enumerate(lines):
-            t = x.strip()
             if i in page:
                 continue
-            if not t:
+            tokens = x.split()
+            if not tokens:
                 gap = True
                 continue
-            t = " ".join(map(self._mended, t.split()))
-            going_on = now and (glue or t[:1].islower() or not gap and now[-1] not in ".!?:")
+            first, last = tokens[0], tokens[-1]
+            mended = [self._mended(t) for t in tokens]
+            if i in joins:
+                mended[-1] = last  # mended with its other half
+            now = paragraphs[-1] if paragraphs else None
+            going_on = now and (cut or glue or first[:1].islower() or not gap and now[-1][-1] not in ".!?:")
             if now and (not gap or going_on):
-                now += t if glue else " " + t
+                if cut:
+                    now[-1] = self._joined(now[-1], first, *cut)
+                    now.extend(mended[1:])
+                elif glue:
+                    now[-1] += mended[0]
+                    now.extend(mended[1:])
+                else:
+                    now.extend(mended)
             else:
-                if now:
-                    paragraphs.append(now)
-                now = t
-            glue = False
-            if i in joins:
-                glue = True
-                if not self.own_hyphen(*joins[i]):
-                    now = now[:-1]
-            elif len(now) > 1 and now[-1] == "-" and now[-2].isalnum():
-                glue = True  # a reference with a hyphen of its own goes on
+                paragraphs.append(mended)
+            end = paragraphs[-1][-1]
+            cut = joins.get(i)
+            glue = cut is None and len(end) > 1 and end[-1] == "-" and end[-2].isalnum()  # a reference with a hyphen of its own goes on
             gap = False
-        if now:
-            paragraphs.append(now)
-        return "\n\n".join(paragraphs)
+        return "\n\n".join(" ".join(p) for p in paragraphs)
 
 
-def _learned(texts: DataFrame) -> tuple[DataFrame, list]:
-    misread, own = lexicon(persisted(vocabulary(texts), "vocabulary"))
-    # words with hyphens of their own that were split just there: a few for each such word of the language
-    return persisted(misread, "misread"), [r for block in _blocks(own, BLOCK) for r in block]
+def _with_forms(texts: DataFrame) -> tuple[DataFrame, object | None]:
+    """(texts with a column ``forms``, broadcast of the only block or None): a text's own forms where there are several blocks."""
+    spark = texts.sparkSession
+    found = shared = None
+    for n, block in _blocks(learned(texts), BLOCK):
+        shared = spark.sparkContext.broadcast(Repairer(block))
+        if n == 1:
+            return texts.withColumn("forms", F.lit(None).cast(f"array<struct<{FORMS.replace(' ', ':')}>>".replace(",:", ","))), shared
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                rows = [(r, a, *f) for r, a, t in zip(*(c.to_pylist() for c in batch.columns), strict=True) for f in shared.value.forms_of(t)]
+                cols = list(zip(*rows, strict=True)) if rows else [[]] * 6
+                types = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int32(), pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=["record_id", "att_pos", "word", "right", "place", "repair"])
+
+        part = texts.mapInArrow(run, f"record_id long, att_pos long, {FORMS}")
+        found = part if found is None else found.unionByName(part)
+    each = found.groupBy("record_id", "att_pos").agg(F.collect_set(F.struct("word", "right", "place", "repair")).alias("forms"))  # no more than the words of one text
+    return texts.join(each, ["record_id", "att_pos"], "left"), None
+
+
+def _repairers(batch: pa.RecordBatch, shared) -> Iterator[tuple[int, int, str, Repairer]]:
+    """(record_id, att_pos, text, its repairer)."""
+    only = shared.value if shared is not None else None
+    for r, a, t, forms in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        yield r, a, t, only or Repairer([(f["word"], f["right"], f["place"], f["repair"]) for f in forms or []])
 
 
 def line_kinds(emails: DataFrame) -> DataFrame:
     """(record_id, att_pos, line_no, kind) of the noisy lines."""
-    texts = scanned(emails)
-    misread, own = _learned(texts)
-    out = None
-    for block in _blocks(misread, BLOCK):
-        shared = emails.sparkSession.sparkContext.broadcast(Repairer(block, own))
+    texts, shared = _with_forms(scanned(emails))
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            kinds = shared.value.kinds
-            for batch in batches:
-                rec, pos, no, kind = [], [], [], []
-                for r, a, t in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                    found = kinds(t)
-                    rec.extend([r] * len(found))
-                    pos.extend([a] * len(found))
-                    no.extend(i for i, _ in found)
-                    kind.extend(k for _, k in found)
-                yield pa.RecordBatch.from_arrays([pa.array(rec, pa.int64()), pa.array(pos, pa.int64()), pa.array(no, pa.int64()), pa.array(kind, pa.string())], names=["record_id", "att_pos", "line_no", "kind"])
-
-        found = texts.mapInArrow(run, "record_id long, att_pos long, line_no long, kind string")
-        out = found if out is None else out.unionByName(found).distinct()
-    return out
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rec, pos, no, kind = [], [], [], []
+            for r, a, t, repairer in _repairers(batch, shared):
+                found = repairer.kinds(t)
+                rec.extend([r] * len(found))
+                pos.extend([a] * len(found))
+                no.extend(i for i, _ in found)
+                kind.extend(k for _, k in found)
+            yield pa.RecordBatch.from_arrays([pa.array(rec, pa.int64()), pa.array(pos, pa.int64()), pa.array(no, pa.int64()), pa.array(kind, pa.string())], names=["record_id", "att_pos", "line_no", "kind"])
+
+    return texts.mapInArrow(run, "record_id long, att_pos long, line_no long, kind string")
 
 
 def repaired_texts(emails: DataFrame) -> DataFrame:
     """(record_id, att_pos, text): continuous readable paragraphs."""
-    out = scanned(emails)
-    misread, own = _learned(out)
-    for block in _blocks(misread, BLOCK):
-        shared = emails.sparkSession.sparkContext.broadcast(Repairer(block, own))
+    texts, shared = _with_forms(scanned(emails))
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                fixed = [shared.value.repaired(t) if t else t for t in batch.column(2).to_pylist()]
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fixed, pa.string())], names=["record_id", "att_pos", "text"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fixed = [repairer.repaired(t) for _, _, t, repairer in _repairers(batch, shared)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fixed, pa.string())], names=["record_id", "att_pos", "text"])
 
-        out = out.mapInArrow(run, "record_id long, att_pos long, text string")
-    return out
+    return texts.mapInArrow(run, "record_id long, att_pos long, text string")

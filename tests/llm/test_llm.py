@@ -226,11 +226,28 @@ def test_scan_lines(spark):
     assert scans.line_kinds(e.limit(0)).count() == 0
 
 
-def test_blocks_of_the_misread_list_change_nothing(spark, monkeypatch):
+def test_blocks_of_the_forms_change_nothing(spark, monkeypatch):
     e = spark.read.parquet(f"{SMALL}/parsed_emails.parquet")
-    once = rows(scans.line_kinds(e), "record_id", "att_pos", "line_no", "kind")
-    monkeypatch.setattr(scans, "BLOCK", 5)
-    assert {x[:3] for x in rows(scans.line_kinds(e), "record_id", "att_pos", "line_no", "kind")} == {x[:3] for x in once}
+    kinds = rows(scans.line_kinds(e), "record_id", "att_pos", "line_no", "kind")
+    texts = rows(scans.repaired_texts(e), "record_id", "att_pos", "text")
+    n = scans.learned(scans.scanned(e)).count()
+    assert n > 10
+    for block in (-(-n // 12), -(-n // 2)):
+        monkeypatch.setattr(scans, "BLOCK", block)
+        assert rows(scans.line_kinds(e), "record_id", "att_pos", "line_no", "kind") == kinds
+        assert rows(scans.repaired_texts(e), "record_id", "att_pos", "text") == texts
+
+
+def test_split_words_are_mended_whole():
+    r = scans.Repairer([("copie5", "", 5, "copies"), ("pos", "sib1e", 6, "possible"), ("rendez", "v0us", 7, "rendez-vous"), ("rendez", "vous", None, None), ("rendez", "v0us", None, None)])
+    assert r.repaired("deux copie5.\nIl est Pos-\nsib1e, au rendez-\nv0us de mardi") == "deux copies. Il est Possible, au rendez-vous de mardi"
+    assert scans.Repairer([]).repaired("") == "" and scans.Repairer([]).repaired("a-\n\n") == "a-"
+
+
+def test_running_lines_of_any_length():
+    head = "Cabinet " + "de Monsieur et Madame " * 12 + "Notaires"
+    lines = f"{head}\nLe contrat est\n\n{head}   12\nprolongé d'un an\n\n{head.replace('Madame', 'Madarne', 1)}\net le reste suit".split("\n")
+    assert scans.furniture(lines) == {0: "running", 3: "running", 6: "running"}
 
 
 # ------------------------------------------------------------------ 6
@@ -343,6 +360,17 @@ def test_cut_spans_keep_the_rest(spark):
     assert got == {1: "Before this: , after.", 2: ""}
 
 
+def test_blocks_of_items_do_not_show_in_the_cut(spark):
+    one, two = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda my", "one two three four five six seven eight nine ten eleven twelve thirteen"
+    d = spark.createDataFrame([(1, f"{one}. Own words stand in the middle of it here, as they should. {two}", "s", 1), (2, f"{two} and more words of its own, so that nothing is emptied here at all", "s", 1), (3, None, "s", 1), (2, "another text under the same id", "s", 1)], DOCS)
+    e = spark.createDataFrame([(1, one), (2, two), (3, "never seen anywhere in these documents, whatever one may look for")], "item_id long, text string")
+    for coverage in (0.5, 0.9):
+        whole = sorted(map(tuple, leak.without_leaks(d, e, max_coverage=coverage).collect()), key=str)
+        for size in (1, 80):
+            assert sorted(map(tuple, leak.without_leaks(d, e, max_coverage=coverage, block_chars=size).collect()), key=str) == whole
+    assert {r["doc_id"]: r["text"] for r in leak.without_leaks(d, e).where("removed_words > 0").collect()}[1] == ""
+
+
 # ------------------------------------------------------------------ 9
 
 
@@ -420,8 +448,8 @@ def test_very_long_texts(text):
     began = time.time()
     private.find(text, NAMES)
     replies.not_own(text, frozenset())
-    scans.Repairer([], []).kinds(text)
-    scans.Repairer([], []).repaired(text)
+    scans.Repairer([]).kinds(text)
+    scans.Repairer([]).repaired(text)
     garble.Model(garble.counts([text])).judged([text])
     assert time.time() - began < 20
 
