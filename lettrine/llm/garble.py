@@ -4,7 +4,8 @@ Character n-gram models (orders 1 to 3, smoothed by interpolation) are trained o
 clean values.  For a value with characters beyond ASCII every chain of encoding and
 decoding that fits is undone; the likeliest candidate is accepted if its
 log-likelihood exceeds that of the value as it stands by a margin.  The margin is
-validated on clean values and on the same values garbled on purpose.
+validated on all clean values and on the same values garbled on purpose: each task
+counts their gains in a grid, the sums of the grids decide.
 
 Training takes several passes over all values: the first leaves out what decodes as
 UTF-8 after re-encoding, each later one what the model before would change.  Counts
@@ -21,6 +22,7 @@ any length are read whole.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -41,8 +43,8 @@ ROUNDS = 3
 CLEANING = 2.0
 #: ASCII characters kept on either side of others when a value is judged.
 NEAR = 2
-#: At most so many clean values are garbled on purpose to validate the margin.
-VALIDATED = 600
+#: Margins among which the validation chooses.
+GRID = np.arange(0.5, 15.1, 0.5)
 
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 _SHIFT = np.uint64(64 - 18)
@@ -318,20 +320,57 @@ def _garbled_on_purpose(text: str) -> Iterator[str]:
                     yield bad
 
 
-def validated_margin(model: Model, clean: list[str]) -> float:
+def gain_counts(model: Model, clean: dict[str, int]) -> np.ndarray:
+    """Two rows of counts: gains of clean surroundings, and of the same garbled on purpose, by how many margins they exceed."""
+    out = np.zeros((2, len(GRID) + 1), dtype=np.int64)
+    bad = [(b, n) for t, n in clean.items() for b in _garbled_on_purpose(t)]
+    for k, asked in enumerate((list(clean.items()), bad)):
+        for i in range(0, len(asked), 20_000):
+            part = asked[i : i + 20_000]
+            gains = np.array([g for *_, g in model.judged([t for t, _ in part])])
+            np.add.at(out[k], np.searchsorted(GRID, gains, side="left"), [n for _, n in part])
+    return out
+
+
+def margin_of(gains: np.ndarray) -> float:
     """The margin with the least error, clean values counting thirty times as often as garbled ones."""
-    clean = [t for t in clean if not t.isascii()]
-    if not clean:
+    good, bad = gains
+    if not good.sum():
         return 5.0
-    bad = [b for t in clean for b in _garbled_on_purpose(t)]
-    good_gain = np.array([g for *_, g in model.judged(clean)])
-    bad_gain = np.array([g for *_, g in model.judged(bad)] or [0.0])
-    grid = np.arange(0.5, 15.1, 0.5)
-    loss = [30 * float((good_gain > m).mean()) + float((bad_gain <= m).mean()) for m in grid]
-    best = grid[[x <= min(loss) + 1e-9 for x in loss]]
+    above = lambda row: row.sum() - np.cumsum(row)[:-1]  # noqa: E731 - values whose gain exceeds each margin
+    loss = 30 * above(good) / good.sum() + (1 - above(bad) / bad.sum() if bad.sum() else 0)
+    best = GRID[loss <= loss.min() + 1e-9]
     return float((best[0] + best[-1]) / 2)
 
 
+def validated_margin(values: DataFrame, model: Model) -> float:
+    """The margin by all values of the single string column that ``model``, with its own margin, finds clean."""
+    shared = values.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((2, len(GRID) + 1), dtype=np.int64)
+        clean: Counter = Counter()
+
+        def counted() -> None:
+            total[:] += gain_counts(shared.value, clean)
+            clean.clear()
+
+        for batch in batches:
+            texts = [t for t in batch.column(0).to_pylist() if t and not t.isascii()]
+            # verdicts depend on the surroundings only
+            clean.update(surroundings(t) for t, (bad, *_) in zip(texts, shared.value.judged(texts), strict=True) if not bad)
+            if len(clean) > 100_000:
+                counted()
+        counted()
+        kinds, bins = np.nonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(kinds.astype(np.int32)), pa.array(bins.astype(np.int32)), pa.array(total[kinds, bins])], names=["kind", "bin", "n"])
+
+    gains = np.zeros((2, len(GRID) + 1), dtype=np.int64)
+    for r in values.mapInArrow(run, "kind int, bin int, n long").groupBy("kind", "bin").agg(F.sum("n").alias("n")).collect():  # two grids
+        gains[r["kind"], r["bin"]] = r["n"]
+    return margin_of(gains)
+
+
 def train(values: DataFrame) -> Model:
     """The model of the clean values in the single string column of ``values``."""
     column = values.columns[0]
@@ -345,12 +384,8 @@ def train(values: DataFrame) -> Model:
             return ([t for t, (bad, *_) in zip(texts, shared.value.judged(texts), strict=True) if not bad],)
 
         table = _trained(others, clean)[0]
-    model = Model(ascii_table + table)
-    rows = others.where(F.col(column).isNotNull()).orderBy(F.xxhash64(column), column).limit(VALIDATED).collect()
-    sample = [r[0] for r in rows]
-    judge_now = Model(ascii_table + table, CLEANING)
-    model.margin = validated_margin(model, [t for t, (bad, *_) in zip(sample, judge_now.judged(sample), strict=True) if not bad])
-    return model
+    margin = validated_margin(others, Model(ascii_table + table, CLEANING))
+    return Model(ascii_table + table, margin)
 
 
 def fields(emails: DataFrame) -> DataFrame:
@@ -367,18 +402,21 @@ def fields(emails: DataFrame) -> DataFrame:
 
 
 def judge(emails: DataFrame) -> DataFrame:
-    """(record_id, field_path, value, restored, chain, gain) of the garbled values."""
+    """(record_id, field_path, value, restored, chain, gain) of the garbled values.
+
+    The model is trained on distinct values; then every field is judged where it
+    stands, so a value that fills very many rows moves nowhere.
+    """
     told = fields(emails)
+    model = emails.sparkSession.sparkContext.broadcast(train(persisted(told.select("value").distinct(), "values")))
     beyond = told.where(~F.col("value").rlike(r"^[\x00-\x7f]*$"))
-    values = persisted(told.select("value").distinct(), "values")
-    model = values.sparkSession.sparkContext.broadcast(train(values))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            found = [(t, r, c, g) for t, (bad, r, c, g) in zip(texts, model.value.judged(texts), strict=True) if bad]
-            cols = list(zip(*found, strict=True)) if found else [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.string(), pa.string(), pa.float64()), strict=True)], names=["value", "restored", "chain", "gain"])
+            ids, paths, texts = (c.to_pylist() for c in batch.columns)
+            found = [(i, p, t, r, c, g) for i, p, t, (bad, r, c, g) in zip(ids, paths, texts, model.value.judged(texts), strict=True) if bad]
+            cols = list(zip(*found, strict=True)) if found else [[]] * 6
+            types = (pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.float64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=["record_id", "field_path", "value", "restored", "chain", "gain"])
 
-    bad = values.where(~F.col("value").rlike(r"^[\x00-\x7f]*$")).mapInArrow(run, "value string, restored string, chain string, gain double")
-    return beyond.join(bad, "value").select("record_id", "field_path", "value", "restored", "chain", "gain")
+    return beyond.mapInArrow(run, "record_id long, field_path string, value string, restored string, chain string, gain double")

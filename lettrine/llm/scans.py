@@ -112,8 +112,8 @@ def _alike(a: str, b: str) -> bool:
 def _ends(c: str) -> set[str]:
     """Keys of which lines that are alike share one: half of the shorter line agrees at both ends together, so a quarter
     at one of them; a misreading seldom hits both ends of a short line."""
-    sizes = {max(2, (len(c) - d) // 4) for d in range(5)}
-    return {x for q in sizes for x in (c[:q], "$" + c[-q:])}
+    a, b = max(2, len(c) // 4), max(2, len(c) // 4 - 1)  # the other line may be four characters shorter
+    return {c[:a], "$" + c[-a:], c[:b], "$" + c[-b:]}
 
 
 def furniture(lines: list[str]) -> dict[int, str]:

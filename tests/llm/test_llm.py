@@ -264,6 +264,24 @@ def test_garbled(spark):
     assert {r["field_path"] for r in garble.judge(df).collect()} == {"subject"} and garble.judge(df.limit(0)).count() == 0
 
 
+def test_margin_by_all_values(spark):
+    import numpy as np
+
+    r = random.Random(4)
+    clean = ["".join(r.choice("abc éèà çô") for _ in range(12)) for _ in range(300)]
+    model = garble.Model(garble.counts(clean), garble.CLEANING)
+    df = spark.createDataFrame([(t,) for t in [*clean, None, "", "ascii"]], "value string")
+    kept = [t for t, (bad, *_) in zip(clean, model.judged(clean), strict=True) if not bad and not t.isascii()]
+    good = np.array([g for *_, g in model.judged(kept)])
+    bad = np.array([g for *_, g in model.judged([b for t in kept for b in garble._garbled_on_purpose(t)])])
+    loss = np.array([30 * (good > m).mean() + (bad <= m).mean() for m in garble.GRID])
+    best = garble.GRID[loss <= loss.min() + 1e-9]
+    assert abs(garble.validated_margin(df.repartition(3), model) - (best[0] + best[-1]) / 2) < 1.01
+    assert garble.validated_margin(df.limit(0), model) == 5.0
+    table = garble.gain_counts(model, {t: 1 for t in kept})
+    assert table[0].sum() == len(kept) and table[1].sum() == len(bad) and garble.margin_of(table) == (best[0] + best[-1]) / 2
+
+
 def test_chains_undo_what_was_done():
     r = random.Random(1)
     for _ in range(300):
