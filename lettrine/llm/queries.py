@@ -82,13 +82,18 @@ def p10_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.SharedSpans(table(spark, sf_dir, "documents")).maximal()
 
 
+def p10_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The text that stands for each document in the spans: whole copies have the same."""
+    return spans.classes(table(spark, sf_dir, "documents"))
+
+
 def p10_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return spans.SharedSpans(documents).shared_chars(documents)
 
 
 def queries() -> dict[str, Query]:
-    named = (p2_found, p2_redacted, p4_found, p4_own, p5_found, p5_repaired, p6_found, p6_restored, p7_found, p7_entities, p8_found, p8_leaks, p8_clean, p9_mix, p9_shares, p10_found, p10_spans, p10_shared)
+    named = (p2_found, p2_redacted, p4_found, p4_own, p5_found, p5_repaired, p6_found, p6_restored, p7_found, p7_entities, p8_found, p8_leaks, p8_clean, p9_mix, p9_shares, p10_found, p10_spans, p10_members, p10_shared)
     return {f.__name__: f for f in named}
 
 

@@ -14,6 +14,12 @@ each of the windows of 400 characters around the anchor becomes a key, and the t
 under one key share it; a short boilerplate that a third of all texts hold thus
 makes no pairs unless 400 characters agree.
 
+Spans are told without pairs: all windows of 400 characters that are equal form a
+class, and successive windows whose classes hold the same texts in step form one span,
+which is named by its first place.  A window's class follows from the one anchor that
+its winnowing picks, so each window is looked at under a single anchor: the few texts
+of a rare anchor in one small group, those of a frequent one by the window's key.
+
 Defined results: null texts and texts under the least length share nothing;
 positions count code points; repeated rows count once by ``doc_id``; extra columns
 are ignored.  A span repeated within a single text is not shared.
@@ -73,8 +79,8 @@ def fingerprints(chars: np.ndarray, k: int) -> np.ndarray:
     return _mixed((sums[k:] - sums[:-k]) * _power("down", _INVERSE, n - k + 1))
 
 
-def _least(values: np.ndarray, width: int) -> np.ndarray:
-    """The places that are the leftmost least of some ``width`` neighbours."""
+def _picked(values: np.ndarray, width: int) -> np.ndarray:
+    """The place of the leftmost least of each ``width`` neighbours."""
     at = np.arange(len(values), dtype=np.int64)
     best = values
     have = 1
@@ -85,7 +91,7 @@ def _least(values: np.ndarray, width: int) -> np.ndarray:
         at = np.where(take, at[step:], at[:-step])
         best = np.where(take, right, left)
         have += step
-    return np.unique(at)
+    return at
 
 
 def anchors(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -97,7 +103,7 @@ def anchors(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     prints = fingerprints(np.concatenate(each), SEED)
     whole = owner[: len(prints)] == owner[SEED - 1 :]
     prints = np.where(whole, prints, _U(0xFFFFFFFFFFFFFFFF))
-    at = _least(prints, WINDOW)
+    at = np.unique(_picked(prints, WINDOW))
     at = at[whole[at]]
     return owner[at], at - starts[owner[at]], prints[at].view(np.int64)
 
@@ -184,6 +190,89 @@ def _windowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.binary())], names=["rep", "start", "window"])
 
 
+def owned(contexts: list[tuple[int, str]]) -> list[tuple[int, int]]:
+    """For each (place of an anchor, text around it) the windows of the least length that pick this anchor: (first, last); last < first if none."""
+    each = [codes(t) for _, t in contexts]
+    lengths = np.array([len(c) for c in each])
+    starts = np.concatenate(([0], np.cumsum(lengths)))[:-1]
+    owner = np.repeat(np.arange(len(each)), lengths)
+    prints = fingerprints(np.concatenate(each), SEED)
+    picked = _picked(prints, WINDOW)
+    whole = owner[: len(picked)] == owner[LEAST - 1 : LEAST - 1 + len(picked)]
+    place = starts + np.array([at for at, _ in contexts])
+    mine = np.flatnonzero(whole & (picked == place[owner[: len(picked)]]))
+    first, last = np.zeros(len(each), dtype=np.int64), np.full(len(each), -1, dtype=np.int64)
+    who = owner[mine]
+    last[who] = mine - starts[who]
+    first[who[::-1]] = (mine - starts[who])[::-1]
+    return list(zip(first.tolist(), last.tolist(), strict=True))
+
+
+def _class_runs(occurrences: list[tuple[int, int, int, str]]) -> Iterator[tuple[int, int, int, int, int]]:
+    """(rep, start, windows, first rep, first start) for each place in a run of equal windows around one anchor.
+
+    An occurrence is (rep, place of the anchor in its text, place in the context, context).
+    """
+    ranges = owned([(at, text) for _, _, at, text in occurrences])
+    open_runs: dict[tuple[int, ...], tuple[int, int]] = {}
+
+    def told(members: tuple[int, ...], since: int, n: int) -> Iterator[tuple[int, int, int, int, int]]:
+        places = [(occurrences[k][0], occurrences[k][1] + since) for k in members]
+        first = min(places)
+        for rep, start in places:
+            yield rep, start, n, *first
+
+    for o in range(-REACH, 1):
+        alike: dict[str, list[int]] = {}
+        for k, ((_, _, at, text), (lo, hi)) in enumerate(zip(occurrences, ranges, strict=True)):
+            if lo <= at + o <= hi:
+                alike.setdefault(text[at + o : at + o + LEAST], []).append(k)
+        now = {}
+        for m in alike.values():
+            if len({occurrences[k][0] for k in m}) > 1:
+                members = tuple(m)
+                since, n = open_runs.pop(members, (o, 0))
+                now[members] = (since, n + 1)
+        for members, (since, n) in open_runs.items():
+            yield from told(members, since, n)
+        open_runs = now
+    for members, (since, n) in open_runs.items():
+        yield from told(members, since, n)
+
+
+RUNS = "rep long, start long, windows long, first_rep long, first_start long"
+
+
+def _runs_of_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = []
+        for group in batch.column(0).to_pylist():
+            by_seed: dict[str, list[tuple[int, int, int, str]]] = {}
+            for g in group:
+                by_seed.setdefault(g["seed"], []).append((g["rep"], g["at"], len(g["before"]), g["before"] + g["seed"] + g["after"]))
+            for same in by_seed.values():
+                if len(same) > 1:
+                    rows.extend(_class_runs(same))
+        cols = list(zip(*rows, strict=True)) if rows else [[]] * 5
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["rep", "start", "windows", "first_rep", "first_start"])
+
+
+def _owned_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The windows that pick each anchor, by the MD5 of their text."""
+    import hashlib
+
+    for batch in batches:
+        out: list[list] = [[], [], []]
+        rows = list(zip(*(batch.column(n).to_pylist() for n in ("rep", "at", "before", "seed", "after")), strict=True))
+        for (rep, at, before, seed, after), (lo, hi) in zip(rows, owned([(len(r[2]), r[2] + r[3] + r[4]) for r in rows]) if rows else [], strict=True):
+            text = before + seed + after
+            for i in range(lo, hi + 1):
+                out[0].append(rep)
+                out[1].append(at - len(before) + i)
+                out[2].append(hashlib.md5(text[i : i + LEAST].encode("utf-8", "surrogatepass")).digest())
+        yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.binary())], names=["rep", "start", "window"])
+
+
 class SharedSpans:
     """The shared spans of documents, computed once and read in several ways."""
 
@@ -210,19 +299,28 @@ class SharedSpans:
         return self.seeds.where(F.col("texts") > MANY).mapInArrow(_windowed, "rep long, start long, window binary").dropDuplicates(["window", "rep", "start"])
 
     def maximal(self) -> DataFrame:
-        """Maximal repeats of two different texts: (rep_a, rep_b, start_a, start_b, chars)."""
+        """The places of the maximal shared spans: (span_rep, span_start, rep, start, chars, texts).
+
+        One row for each place of each span; a span is named by its first place, and
+        ``texts`` counts the different texts that hold it.  Two texts share exactly the
+        spans that both have.  No pairs are made.
+        """
         from pyspark.sql import Window as W
 
-        w = self.windows()
-        b = w.select("window", F.col("rep").alias("rep_b"), F.col("start").alias("start_b"))
-        hot = w.join(b, "window").where("rep < rep_b").select(F.col("rep").alias("rep_a"), "rep_b", F.col("start").alias("start_a"), "start_b", F.lit(LEAST).cast("long").alias("chars"))
-        m = self.matches().unionByName(hot).withColumn("diagonal", F.col("start_a") - F.col("start_b"))
-        line = W.partitionBy("rep_a", "rep_b", "diagonal").orderBy("start_a")
-        end = F.col("start_a") + F.col("chars")
-        m = m.withColumn("before", F.max(end).over(line.rowsBetween(W.unboundedPreceding, -1)))
-        m = m.withColumn("run", F.sum((F.col("before").isNull() | (F.col("start_a") > F.col("before"))).cast("int")).over(line))
-        out = m.groupBy("rep_a", "rep_b", "diagonal", "run").agg(F.min("start_a").alias("start_a"), F.min("start_b").alias("start_b"), F.max(end).alias("end"))
-        return out.withColumn("chars", F.col("end") - F.col("start_a")).where(F.col("chars") >= LEAST).select("rep_a", "rep_b", "start_a", "start_b", "chars")
+        few = self.seeds.where(F.col("texts") <= MANY).groupBy("print").agg(F.collect_list(F.struct("rep", "at", "before", "seed", "after")).alias("group"))  # at most MANY
+        runs = few.select("group").mapInArrow(_runs_of_groups, RUNS)
+        w = persisted(self.seeds.where(F.col("texts") > MANY).mapInArrow(_owned_windows, "rep long, start long, window binary"), "windows")
+        firsts = w.groupBy("window").agg(F.min(F.struct("rep", "start")).alias("first"), F.max("rep").alias("hi")).where("first.rep <> hi")
+        hot = w.join(firsts, "window").select("rep", "start", F.lit(1).cast("long").alias("windows"), F.col("first.rep").alias("first_rep"), F.col("first.start").alias("first_start"))
+        runs = persisted(runs.unionByName(hot), "span-runs")
+        # what a class holds, in step with its first place
+        step = F.xxhash64("rep", F.col("start") - F.col("first_start"))
+        held = runs.groupBy("first_rep", "first_start").agg(F.bit_xor(step).alias("held"), F.countDistinct("rep").alias("texts"))
+        line = W.partitionBy("rep", "first_rep", "held", "texts", "ahead").orderBy("start")
+        r = runs.join(held, ["first_rep", "first_start"]).withColumn("ahead", F.col("start") - F.col("first_start"))
+        r = r.withColumn("fresh", F.coalesce(F.lag(F.col("start") + F.col("windows")).over(line) != F.col("start"), F.lit(True)).cast("int")).withColumn("run", F.sum("fresh").over(line))
+        out = r.groupBy("rep", "first_rep", "held", "texts", "ahead", "run").agg(F.min("start").alias("start"), F.min("first_start").alias("span_start"), F.sum("windows").alias("n"))
+        return out.select(F.col("first_rep").alias("span_rep"), "span_start", "rep", "start", (F.col("n") + LEAST - 1).alias("chars"), "texts")
 
     def text_pairs(self) -> DataFrame:
         """Pairs of different texts that share a span: (rep_a, rep_b)."""

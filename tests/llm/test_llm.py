@@ -440,8 +440,22 @@ def test_shared_spans_against_brute_force(spark, monkeypatch, many):
     assert set(rows(s.document_pairs(), "doc_id_a", "doc_id_b")) == _brute_pairs(docs)
     text = {i: t for i, t, *_ in docs}
     found = s.maximal().collect()
-    assert all(text[r["rep_a"]][r["start_a"] : r["start_a"] + r["chars"]] == text[r["rep_b"]][r["start_b"] : r["start_b"] + r["chars"]] for r in found)
-    assert max(r["chars"] for r in found if (r["rep_a"], r["rep_b"]) == (0, 1)) >= 900
+    reps = {r["rep"] for r in s.members.collect()}
+    holders = {}
+    for r in found:
+        assert r["chars"] >= 400 and text[r["rep"]][r["start"] : r["start"] + r["chars"]] == text[r["span_rep"]][r["span_start"] : r["span_start"] + r["chars"]]
+        holders.setdefault((r["span_rep"], r["span_start"], r["chars"]), set()).add((r["rep"], r["start"]))
+        assert len({x for x, _ in holders[r["span_rep"], r["span_start"], r["chars"]]}) <= r["texts"]
+    assert all(len({x for x, _ in h}) > 1 and min(h) == k[:2] for k, h in holders.items())
+    # each window that two texts share lies in one span of both, at the same place of it, and in no other
+    where = {}
+    for i in reps:
+        for k in range(len(text[i]) - 399):
+            where.setdefault(text[i][k : k + 400], set()).add((i, k))
+    wanted = {(x, y) for h in where.values() if len({i for i, _ in h}) > 1 for x in h for y in h}
+    got = [((a, p + k), (b, q + k)) for (_, _, n), h in holders.items() for a, p in h for b, q in h for k in range(n - 399)]
+    assert set(got) == wanted and len(got) == len(wanted)
+    assert max(r["chars"] for r in found if r["span_rep"] == 0) >= 900
     shared = {r["doc_id"]: r["shared_chars"] for r in s.shared_chars(df).collect()}
     for i, t, *_ in docs:
         others = {u[k : k + 400] for j, u, *_ in docs if j != i and u for k in range(len(u) - 399)}
