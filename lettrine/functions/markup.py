@@ -17,11 +17,15 @@ BLOCKS = "p|div|section|article|tr|table|li|ul|ol|h[1-6]"
 BODY_CHARS, BODY_PART_CHARS = 24_000, 12_000
 
 
+def noise_pattern(flags: str = "(?is)") -> str:
+    """Matches whole elements that hold no text, meta elements and comments, whichever begins first."""
+    whole = "|".join(rf"<\s*{tag}\b[^>]*>.*?</\s*{tag}\s*>" for tag in NOISE)
+    return rf"{flags}{whole}|<\s*meta\b[^>]*>|<!--.*?-->"
+
+
 def strip_noise(c: Column) -> Column:
-    """Without elements that hold no text, meta elements and comments; each becomes a blank."""
-    for tag in NOISE:
-        c = F.regexp_replace(c, rf"(?is)<\s*{tag}\b[^>]*>.*?</\s*{tag}\s*>", " ")
-    return F.regexp_replace(F.regexp_replace(c, r"(?is)<\s*meta\b[^>]*>", " "), r"(?is)<!--.*?-->", " ")
+    """One scan that leaves a blank for each part without text."""
+    return F.regexp_replace(c, noise_pattern(), " ")
 
 
 #: Each step's pattern and replacement, in order; None stands for decoding character references.
@@ -52,7 +56,8 @@ def html_to_markdown(x: Column | str, entities: bool = True) -> Column:
     return F.concat(X.trim(out), F.when(size > HTML_BYTES, F.lit(CUT_NOTICE)).otherwise(F.lit("")))
 
 
-_CONTENT = r"(?s)<content\b([^>]*)><!\[CDATA\[(.*?)\]\]></content>"
+#: How the stored messages enclose a body, and a block.
+_END, _OPEN = "]]></content>", r"(?s)<content\b([^>]*)><!\[CDATA\[(.*)\z"
 
 
 def body_for_prompt(xml: Column | str) -> Column:
@@ -61,8 +66,9 @@ def body_for_prompt(xml: Column | str) -> Column:
     Parts are numbered with the empty ones, which are left out.
     """
     c = F.col(xml) if isinstance(xml, str) else xml
-    attributes = F.regexp_extract_all(c, F.lit(_CONTENT), F.lit(1))
-    bodies = F.regexp_extract_all(c, F.lit(_CONTENT), F.lit(2))
+    # each piece but the last ends where a body ends; its first opening tag begins that body
+    pieces = F.split(c, "\\Q" + _END + "\\E", -1)
+    opened = F.filter(F.slice(pieces, 1, F.greatest(F.size(pieces) - 1, F.lit(0))), lambda p: p.rlike(_OPEN))
 
     def label(attrs: Column, i: Column) -> Column:
         form = F.regexp_extract(attrs, r'(?<![\w-])format="([^"]*)"', 1)
@@ -70,21 +76,33 @@ def body_for_prompt(xml: Column | str) -> Column:
         told = F.when(source != "", F.concat(form, F.lit(" from "), source)).otherwise(form)
         return F.concat(F.lit("Part "), (i + 1).cast("string"), F.lit(" ["), told, F.lit("]"))
 
-    parts = F.transform(F.arrays_zip(attributes.alias("a"), bodies.alias("b")), lambda z, i: F.struct(label(z["a"], i).alias("label"), X.trim(z["b"]).alias("body")))
+    parts = F.transform(opened, lambda p, i: F.struct(label(F.regexp_extract(p, _OPEN, 1), i).alias("label"), X.trim(F.regexp_extract(p, _OPEN, 2)).alias("body")))
     kept = F.transform(F.filter(parts, lambda p: p["body"] != ""), lambda p: F.concat(p["label"], F.lit("\n"), X.truncate_chars(p["body"], BODY_PART_CHARS)))
     return F.when(F.size(kept) > 0, F.array_join(kept, "\n\n")).otherwise(X.truncate_chars(c, BODY_CHARS))
 
 
+def _last(c: Column, word: str) -> Column:
+    """Where the last ``word`` begins, 0 if there is none."""
+    back = F.instr(F.reverse(c), word[::-1])
+    return F.when(back > 0, F.length(c) - back - len(word) + 2).otherwise(0)
+
+
 def embed_block(xml: Column | str, payload: Column, tag: str = "enrichment", root: str = "email-content") -> Column:
     """The XML with a CDATA block before its last closing root tag; an older block is replaced.
 
     ``tag`` is the name that the stored messages use.
     """
     c = F.col(xml) if isinstance(xml, str) else xml
-    block = F.concat(F.lit(f"  <{tag}><![CDATA["), X.wrap_cdata(payload), F.lit(f"]]></{tag}>\n"))
-    clean = F.regexp_replace(c, rf"(?s)\s*<{tag}><!\[CDATA\[.*?\]\]></{tag}>\s*", "\n")
-    closing = f"</{root}>"
-    from_end = F.instr(F.reverse(clean), closing[::-1])
-    at = F.length(clean) - from_end - len(closing) + 2
-    inside = F.concat(clean.substr(F.lit(1), at - 1), block, clean.substr(at, F.length(clean)))
-    return F.when(from_end > 0, inside).otherwise(F.concat(clean, F.lit("\n"), block))
+    begin, end = f"<{tag}><![CDATA[", f"]]></{tag}>"
+    # what stands between an old block and its neighbours shrinks to one line end
+    pieces = F.split(c, "\\Q" + begin + "\\E", -1)
+
+    def appended(done: Column, piece: Column) -> Column:
+        at = F.instr(piece, end)
+        after = F.regexp_replace(piece.substr(at + len(end), F.length(piece)), r"\A\s+", "")
+        return F.when(at > 0, F.concat(F.regexp_replace(done, r"\s+\z", ""), F.lit("\n"), after)).otherwise(F.concat(done, F.lit(begin), piece))
+
+    clean = F.aggregate(F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(1))), pieces[0], appended)
+    block = F.concat(F.lit(f"  {begin}"), X.wrap_cdata(payload), F.lit(f"{end}\n"))
+    at = _last(clean, f"</{root}>")
+    return F.when(at > 0, F.concat(F.substring(clean, F.lit(1), at - 1), block, F.substring(clean, at, F.length(clean)))).otherwise(F.concat(clean, F.lit("\n"), block))

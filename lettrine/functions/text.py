@@ -224,12 +224,18 @@ def year_folder(proposed: ColumnLike, date: ColumnLike) -> Column:
     return F.coalesce(*(F.nullif(extract_year(F.coalesce(_c(x), F.lit(""))), F.lit("")) for x in (proposed, date)))
 
 
+#: How names of embedded parts begin, what they hold, how they end.
+TEMPORARY_STARTS = ("tmp", "image", "part", "att", "inline")
+TEMPORARY_PARTS = (".tmp", "unnamed", "unknown", "noname")
+TEMPORARY_END = r"\.(?:tmp|dat|bin)\.\d+\z"
+
+
 def looks_temporary(name: ColumnLike) -> Column:
     """Names that mail programs give to embedded parts. Real names with such a beginning count, too."""
     n = F.lower(trim(name))
-    starts = reduce(lambda a, b: a | b, (n.startswith(p) for p in ("tmp", "image", "part", "att", "inline")))
-    holds = reduce(lambda a, b: a | b, (n.contains(p) for p in (".tmp", "unnamed", "unknown", "noname")))
-    return F.coalesce((n != "") & (starts | holds | n.rlike(r"\.(tmp|dat|bin)\.\d+\z")), F.lit(False))
+    starts = reduce(lambda a, b: a | b, (n.startswith(p) for p in TEMPORARY_STARTS))
+    holds = reduce(lambda a, b: a | b, (n.contains(p) for p in TEMPORARY_PARTS))
+    return F.coalesce((n != "") & (starts | holds | n.rlike(TEMPORARY_END)), F.lit(False))
 
 
 EMBEDDED_IMAGE_MAX = 30_720

@@ -13,11 +13,15 @@ from pyspark.sql import functions as F
 from lettrine.operators import ordering
 
 
-def first_wins(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
-    """The first row of each key. Partial aggregation leaves one row of a hot key for each task."""
-    rest = [c for c in df.columns if c != key]
-    best = df.groupBy(key).agg(F.min_by(F.struct(*(F.col(c) for c in rest)), F.struct(*order)).alias("_row"))
-    return best.select(*(F.col(key) if c == key else F.col(f"_row.{c}").alias(c) for c in df.columns))
+def first_wins(df: DataFrame, key: str | list[str], order: list[Column]) -> DataFrame:
+    """The first row of each key. Partial aggregation leaves one row of a hot key for each task.
+
+    Whole rows pass through the aggregate: choose keys on narrow rows and join what is wide back.
+    """
+    keys = [key] if isinstance(key, str) else key
+    rest = [c for c in df.columns if c not in keys]
+    best = df.groupBy(*keys).agg(F.min_by(F.struct(*(F.col(c) for c in rest)), F.struct(*order)).alias("_row"))
+    return best.select(*(F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns))
 
 
 def ranked(df: DataFrame, key: str, order: list[str]) -> DataFrame:

@@ -11,8 +11,9 @@ from lettrine.functions import hashes, markup, responses
 from lettrine.functions import text as X
 from lettrine.operators import dedup, documents, ordering
 from lettrine.operators.upsert import message_key
+from lettrine.plans import enrich
 from lettrine.sources import archive
-from lettrine.workspace import table
+from lettrine.workspace import fresh_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -62,10 +63,17 @@ def input_hash(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", hashes.content_md5("text").alias("content_md5"), hashes.input_hash(F.col("text"), F.col("source")).alias("input_hash"))
 
 
-@_query("SELECT doc_id, sha256(unhex(sha256(text))) AS content_hash FROM documents WHERE length(text) > 0")
+_BLOCK = 512
+
+
+@_query(f"""
+SELECT doc_id, CASE WHEN octet_length(b) = 0 THEN sha256('') ELSE sha256(unhex(array_to_string(list_transform(range(0, octet_length(b), {_BLOCK}), lambda i: sha256(b[i + 1 : i + {_BLOCK}])), ''))) END AS content_hash
+FROM (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents)
+""")
 def content_hash(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "documents").where("length(text) > 0").withColumn("content", F.encode("text", "UTF-8"))
-    return rows.select("doc_id", hashes.block_hash("content").alias("content_hash"))
+    """With small blocks, so that most texts have several."""
+    rows = table(spark, d, "documents").withColumn("content", F.encode(F.coalesce("text", F.lit("")), "UTF-8"))
+    return rows.select("doc_id", hashes.block_hash("content", _BLOCK).alias("content_hash"))
 
 
 @_query("SELECT doc_id, CASE WHEN length(text) > 120 THEN substring(text, 1, 120) || chr(10) || '...[truncated]' ELSE text END AS cut FROM documents")
@@ -84,25 +92,17 @@ def extract_year(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("record_id", "pos", X.extract_year("a.original_name").alias("name_year"), X.year_folder("a.original_name", "expedition_date").alias("year_folder"))
 
 
-_HTML = "'<html><head><title>T</title><style>p{}</style></head><body><!-- x --><p class=\"a\">' || replace(replace(text, chr(10) || chr(10), '</p><p>'), chr(10), '<br/>') || '</p><ul><li>one</li><LI id=\"2\">two</LI></ul><a href=\"http://x.test\">link</a></body></html>'"
-
+_ESCAPED = "replace(replace(replace(coalesce(text, ''), '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+_HTML = f"'<html><head><title>T</title><style>p{{}}</style></head><body><!-- x --><p class=\"a\">' || replace(replace({_ESCAPED}, chr(10) || chr(10), '</p><p>'), chr(10), '<br/>') || '</p><SCRIPT>a<b</SCRIPT ><ul><li>one &eacute;</li><LI id=\"2\">two</LI></ul><a href=\"http://x.test\">link</a></body></html>'"
+#: What the engine should make of it, by the rules in words: blank lines between blocks, one blank between words.
+_MARKDOWN = "replace(coalesce(text, ''), chr(10) || chr(10), chr(10) || chr(10) || ' ') || chr(10) || chr(10) || ' - one é' || chr(10) || chr(10) || '- two' || chr(10) || chr(10) || '[link](http://x.test)'"
+_MARKDOWN = _trim(f"regexp_replace(regexp_replace(regexp_replace({_MARKDOWN}, '\\r\\n?', chr(10), 'g'), '[ \\t]+', ' ', 'g'), '\\n{{3,}}', chr(10) || chr(10), 'g')")
 
-def _sql_steps(x: str) -> str:
-    for tag in markup.NOISE:
-        x = f"regexp_replace({x}, '(?is)<\\s*{tag}\\b[^>]*>.*?</\\s*{tag}\\s*>', ' ', 'g')"
-    x = f"regexp_replace(regexp_replace({x}, '(?is)<\\s*meta\\b[^>]*>', ' ', 'g'), '(?is)<!--.*?-->', ' ', 'g')"
-    for step in markup.STEPS:
-        if step:
-            new = step[1].replace("\n", "' || chr(10) || '").replace("$2", "\\2").replace("$1", "\\1")
-            pattern = step[0].replace("'", "''")
-            x = f"regexp_replace({x}, '{pattern}', '{new}', 'g')"
-    return _trim(x)
 
-
-@_query(f"SELECT doc_id, {_sql_steps(_HTML)} AS markdown FROM documents WHERE text IS NOT NULL")
+@_query(f"SELECT doc_id, {_MARKDOWN} AS markdown FROM documents")
 def html_to_markdown(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "documents").where("text is not null").withColumn("html", F.expr(_HTML.replace("chr(10)", "'\\n'")))
-    return rows.select("doc_id", markup.html_to_markdown("html", entities=False).alias("markdown"))
+    rows = table(spark, d, "documents").withColumn("html", F.expr(_HTML.replace("chr(10)", "'\\n'")))
+    return rows.select("doc_id", markup.html_to_markdown("html").alias("markdown"))
 
 
 @_query("SELECT contact_id, coalesce(first_value(CASE WHEN trim(coalesce(name, '')) <> '' THEN name END IGNORE NULLS) OVER (PARTITION BY lower(address) ORDER BY contact_id ROWS UNBOUNDED PRECEDING), '') AS sticky_name FROM header_contacts WHERE address IS NOT NULL")
@@ -111,29 +111,41 @@ def running_contact_name(spark: SparkSession, d: str) -> DataFrame:
     return dedup.sticky_name(rows, "email", "name", "contact_id").select("contact_id", "sticky_name")
 
 
+_SIDES = "('.ai.meta.json', '.ai.error.json', '.ai.request.json', '.dropbox.json', '.dropbox.error.json')"
 _LISTING = f"""
 SELECT email_folder || '/' || record_id AS folder, name FROM (
-  SELECT record_id, email_folder, unnest([stem || '.json', stem || '.xml', CASE WHEN record_id % 3 = 0 THEN stem || '.ai.json' END, CASE WHEN pos > 0 THEN full_name END]) AS name FROM (
-    SELECT record_id, email_folder, pos, a.original_name AS full_name, regexp_replace(a.original_name, '^(.+)\\.[^.]*$', '\\1', 's') AS stem FROM ({_ATT}) WHERE a.original_name IS NOT NULL AND NOT contains(a.original_name, '/')
-      AND lower(regexp_extract(a.original_name, '\\.([^.]*)$', 1)) NOT IN ('json', 'xml')))
+  SELECT record_id, email_folder, unnest([stem || '.json', stem || '.xml', CASE WHEN record_id % 3 = 0 THEN stem || '.ai.json' END, CASE WHEN record_id % 5 = 0 THEN stem || '.dropbox.json' END, CASE WHEN pos > 0 THEN full_name END]) AS name FROM (
+    SELECT *, regexp_replace(full_name, '^(.+)\\.[^.]*$', '\\1', 's') AS stem FROM (SELECT record_id, email_folder, pos, replace(a.original_name, '/', '_') AS full_name FROM ({_ATT}) WHERE a.original_name IS NOT NULL)))
 WHERE name IS NOT NULL
 """
-_BUNDLES = f"""
+
+
+def _bundles_sql(need_ai: bool) -> str:
+    return f"""
 SELECT folder, stem, max(CASE WHEN role = 'json' THEN name END) AS json, max(CASE WHEN role = 'xml' THEN name END) AS xml, max(CASE WHEN role = 'ai' THEN name END) AS ai, max(CASE WHEN role = 'attachment' THEN name END) AS attachment FROM (
   SELECT folder, name, CASE WHEN ends_with(name, '.ai.json') THEN regexp_replace(name, '(\\.ai\\.json)+$', '') ELSE regexp_replace(name, '^(.+)\\.[^.]*$', '\\1', 's') END AS stem,
-         CASE WHEN ends_with(name, '.ai.json') THEN 'ai' WHEN lower(regexp_extract(name, '\\.([^.]*)$', 1)) = 'json' THEN 'json' WHEN lower(regexp_extract(name, '\\.([^.]*)$', 1)) = 'xml' THEN 'xml' ELSE 'attachment' END AS role
-  FROM ({_LISTING}))
-GROUP BY folder, stem HAVING json IS NOT NULL AND xml IS NOT NULL
+         CASE WHEN ends_with(name, '.ai.json') THEN 'ai' WHEN lower(regexp_extract(name, '.\\.([^.]*)$', 1, 's')) = 'json' THEN 'json' WHEN lower(regexp_extract(name, '.\\.([^.]*)$', 1, 's')) = 'xml' THEN 'xml' ELSE 'attachment' END AS role
+  FROM ({_LISTING}) WHERE NOT list_bool_or(list_transform({_SIDES.replace("(", "[").replace(")", "]")}, lambda s: ends_with(name, s))))
+GROUP BY folder, stem HAVING json IS NOT NULL AND xml IS NOT NULL{" AND ai IS NOT NULL" if need_ai else ""}
 """
 
 
-@_query(_BUNDLES)
+def _listing(spark: SparkSession, d: str) -> DataFrame:
+    a = _attachments(spark, d).select("record_id", "pos", "email_folder", F.replace(F.col("a.original_name"), F.lit("/"), F.lit("_")).alias("full_name")).where("full_name is not null")
+    a = a.withColumn("stem", F.regexp_replace("full_name", r"(?s)(?<=.)\.[^.]*\z", ""))
+    side = lambda n, suffix: F.when(F.col("record_id") % n == 0, F.concat("stem", F.lit(suffix)))
+    names = F.array(F.concat("stem", F.lit(".json")), F.concat("stem", F.lit(".xml")), side(3, ".ai.json"), side(5, ".dropbox.json"), F.when(F.col("pos") > 0, F.col("full_name")))
+    return a.select(F.concat(F.col("email_folder"), F.lit("/"), F.col("record_id").cast("string")).alias("folder"), F.explode(names).alias("name")).where("name is not null")
+
+
+@_query(_bundles_sql(False))
 def bundle_assembly(spark: SparkSession, d: str) -> DataFrame:
-    a = _attachments(spark, d).select("record_id", "pos", "email_folder", F.col("a.original_name").alias("full_name")).where("full_name is not null and not contains(full_name, '/')")
-    a = a.where(~X.extension("full_name").isin("json", "xml")).withColumn("stem", F.regexp_replace("full_name", r"(?s)(?<=.)\.[^.]*\z", ""))
-    names = F.array(F.concat("stem", F.lit(".json")), F.concat("stem", F.lit(".xml")), F.when(F.col("record_id") % 3 == 0, F.concat("stem", F.lit(".ai.json"))), F.when(F.col("pos") > 0, F.col("full_name")))
-    listing = a.select(F.concat_ws("/", "email_folder", F.col("record_id").cast("string")).alias("folder"), F.explode(names).alias("name")).where("name is not null")
-    return documents.bundles(listing)
+    return documents.bundles(_listing(spark, d))
+
+
+@_query(_bundles_sql(True))
+def bundles_with_answers(spark: SparkSession, d: str) -> DataFrame:
+    return documents.bundles(_listing(spark, d), need_ai=True)
 
 
 _ID = "regexp_replace({}, '^[\\s\\p{{Z}}<>]+|[\\s\\p{{Z}}<>]+$', '', 'g')"
@@ -170,16 +182,19 @@ def path_component_sort(spark: SparkSession, d: str) -> DataFrame:
     return ordering.placed(folders, [X.path_order("email_folder")], "place").select("email_folder", "place")
 
 
+def _numbered_sql(name: str) -> str:
+    return f"CASE WHEN n = 1 THEN {name} ELSE regexp_replace({name}, '^(.+)\\.[^.]*$', '\\1', 's') || '_' || (n - 1) || regexp_extract({name}, '^.+(\\.[^.]*)$', 1, 's') END"
+
+
 @_query(f"""
-SELECT record_id, pos, CASE WHEN n = 0 THEN name ELSE regexp_replace(name, '^(.+)\\.[^.]*$', '\\1', 's') || '_' || n || regexp_extract(name, '^.+(\\.[^.]*)$', 1, 's') END AS numbered FROM (
-  SELECT record_id, pos, a.original_name AS name, row_number() OVER (PARTITION BY email_folder, a.original_name ORDER BY record_id, pos) - 1 AS n FROM ({_ATT}) WHERE a.original_name IS NOT NULL)
+WITH once AS (
+  SELECT record_id, pos, email_folder, n AS first, {_numbered_sql("name")} AS shown FROM (
+    SELECT record_id, pos, email_folder, a.original_name AS name, row_number() OVER (PARTITION BY email_folder, a.original_name ORDER BY record_id, pos) AS n FROM ({_ATT}) WHERE a.original_name IS NOT NULL))
+SELECT record_id, pos, {_numbered_sql("shown")} AS numbered FROM (SELECT *, row_number() OVER (PARTITION BY email_folder, shown ORDER BY first, record_id, pos) AS n FROM once)
 """)
 def collision_suffix(spark: SparkSession, d: str) -> DataFrame:
-    """One pass of numbering; the second pass is covered by tests."""
     rows = _attachments(spark, d).select("record_id", "pos", "email_folder", F.col("a.original_name").alias("name")).where("name is not null")
-    rows = ordering.numbered(rows, ["email_folder", "name"], ["record_id", "pos"], "n")
-    stem, suffix = F.regexp_replace("name", r"(?s)(?<=.)\.[^.]*\z", ""), F.regexp_extract("name", r"(?s).(\.[^.]*)\z", 1)
-    return rows.select("record_id", "pos", F.when(F.col("n") == 1, F.col("name")).otherwise(F.concat(stem, F.lit("_"), (F.col("n") - 1).cast("string"), suffix)).alias("numbered"))
+    return dedup.number_collisions(rows, "email_folder", "name", ["record_id", "pos"], "numbered").select("record_id", "pos", "numbered")
 
 
 def _note(k: str) -> str:
@@ -191,7 +206,7 @@ SELECT record_id, pos, mode, note, CASE WHEN length(t) > 12000 THEN substring(t,
   SELECT record_id, pos,
     CASE WHEN coalesce(a.is_email_body, false) THEN 'email_body' WHEN a.extracted_text IS NOT NULL THEN 'pre_extracted_text' WHEN NOT coalesce(a.size > 20000, false) THEN 'metadata_only' WHEN a.size > 500000 THEN 'skipped'
          WHEN ext IN ('txt','md','csv','json','xml','html','htm') THEN 'inline_text' ELSE 'metadata_only' END AS mode,
-    CASE WHEN coalesce(a.is_email_body, false) THEN {_note("email_body")} WHEN a.extracted_text IS NOT NULL THEN 'Attachment text extracted via ' || a.extracted_text_method || CASE WHEN coalesce(a.extracted_text_truncated, false) THEN ' and truncated before AI enrichment' ELSE '' END
+    CASE WHEN coalesce(a.is_email_body, false) THEN {_note("email_body")} WHEN a.extracted_text IS NOT NULL THEN 'Text read by ' || a.extracted_text_method || CASE WHEN coalesce(a.extracted_text_truncated, false) THEN ', its end was cut off' ELSE '' END
          WHEN NOT coalesce(a.size > 20000, false) THEN {_note("missing")} WHEN a.size > 500000 THEN {_note("skipped")} WHEN ext IN ('txt','md','csv','json','xml','html','htm') THEN NULL WHEN ext = 'pdf' THEN {_note("pdf")} ELSE {_note("other")} END AS note,
     CASE WHEN coalesce(a.is_email_body, false) THEN NULL WHEN a.extracted_text IS NOT NULL THEN a.extracted_text WHEN NOT coalesce(a.size > 20000, false) OR a.size > 500000 THEN NULL WHEN ext IN ('txt','md','csv','json','xml','html','htm') THEN coalesce(a.original_name, '') END AS t
   FROM (SELECT *, lower(regexp_extract(a.original_name, '.\\.([^.]*)$', 1, 's')) AS ext FROM ({_ATT})))
@@ -223,10 +238,10 @@ def _taxonomy():
 
 @_query("""
 SELECT upload_id, error, issues FROM (SELECT upload_id,
-  CASE WHEN main IS NULL THEN 'model response missing `main_folder` for attachment `' || name || '`' WHEN sub IS NULL THEN 'model response missing `sub_folder` for attachment `' || name || '`'
-       WHEN main NOT IN ('A', 'B') THEN 'model returned unsupported main_folder `' || main || '` for attachment `' || name || '`' END AS error,
-  CASE WHEN main = 'A' AND sub NOT IN ('X', 'Y') THEN 'model returned unsupported sub_folder `' || sub || '` for main_folder `A` on attachment `' || name || '`; allowed values are: X, Y'
-       WHEN main = 'B' AND sub <> 'Z' THEN 'model returned unsupported sub_folder `' || sub || '` for main_folder `B` on attachment `' || name || '`; allowed values are: Z' ELSE '' END AS issues
+  CASE WHEN main IS NULL THEN 'no `main_folder` (document `' || name || '`)' WHEN sub IS NULL THEN 'no `sub_folder` (document `' || name || '`)'
+       WHEN main NOT IN ('A', 'B') THEN 'unknown main_folder `' || main || '` (document `' || name || '`)' END AS error,
+  CASE WHEN main = 'A' AND sub NOT IN ('X', 'Y') THEN '`' || sub || '` is no sub_folder of `A` (document `' || name || '`); allowed values are: X, Y'
+       WHEN main = 'B' AND sub <> 'Z' THEN '`' || sub || '` is no sub_folder of `B` (document `' || name || '`); allowed values are: Z' ELSE '' END AS issues
   FROM (SELECT upload_id, source_file_name AS name, ['A', 'B', 'C', NULL][1 + upload_id % 4] AS main, ['X', 'Z', NULL][1 + upload_id % 3] AS sub FROM dropbox_uploads))
 """)
 def taxonomy_validation(spark: SparkSession, d: str) -> DataFrame:
@@ -255,24 +270,23 @@ _SAFE = lambda x: _trim(f"regexp_replace({x}, '[:\\\\/*?|!#$%^<>\"\\r\\n\\t]', '
 @_query(f"""
 SELECT upload_id, final_name, '/Archives/A_TRAITER/' || final_name AS path, regexp_replace(final_name, '^(.+)\\.[^.]*$', '\\1', 's') || '.xml' AS xml_name FROM (
   SELECT upload_id, CASE WHEN p IS NULL OR p = '' THEN CASE WHEN o IS NULL OR o = '' THEN 'attachment.bin' ELSE o END WHEN suffix = '' THEN p ELSE regexp_replace(p, '^(.+)\\.[^.]*$', '\\1', 's') || suffix END AS final_name FROM (
-    SELECT upload_id, p, o, regexp_extract(o, '^.+(\\.[^.]+)$', 1, 's') AS suffix FROM (SELECT upload_id, {_SAFE("attachment_summary[1:40]")} AS p, {_SAFE("source_file_name")} AS o FROM dropbox_uploads)))
+    SELECT upload_id, p, o, regexp_extract(o, '^.+(\\.[^.]+)$', 1, 's') AS suffix FROM (SELECT upload_id, {_SAFE("attachment_summary")} AS p, {_SAFE("source_file_name")} AS o FROM dropbox_uploads)))
 """)
 def ensure_extension(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "dropbox_uploads").select("upload_id", X.ensure_extension(F.substring("attachment_summary", 1, 40), "source_file_name").alias("final_name"))
+    rows = table(spark, d, "dropbox_uploads").select("upload_id", X.ensure_extension("attachment_summary", "source_file_name").alias("final_name"))
     return rows.select("upload_id", "final_name", X.store_path(F.lit("/Archives"), "final_name").alias("path"), X.xml_name("final_name").alias("xml_name"))
 
 
-_XML = "'<email-content><part>' || '<content format=\"plain\"><![CDATA[' || replace(CASE WHEN doc_id % 4 = 0 THEN '  ' ELSE text END, ']]>', ']]]]><![CDATA[>') || ']]></content>' || '<content format=\"markdown\" source-format=\"html\"><![CDATA[' || coalesce(source, '') || ']]></content></part></email-content>'"
+_XML = "'<email-content><part>' || '<content format=\"plain\"><![CDATA[' || replace(coalesce(text, ''), ']]>', ']]]]><![CDATA[>') || ']]></content>' || '<content format=\"markdown\" source-format=\"html\"><![CDATA[' || coalesce(source, '') || ']]></content></part></email-content>'"
+_BLOCK_SQL = "'  <enrichment><![CDATA[' || replace('{{\"n\": \"$1 \\\"}}]]>' || coalesce(source, ''), ']]>', ']]]]><![CDATA[>') || ']]></enrichment>' || chr(10)".replace("{{", "{").replace("}}", "}")
 
 
-@_query(f"""
-SELECT doc_id, CASE WHEN place = 0 THEN xml || chr(10) || block ELSE substring(xml, 1, place - 1) || block || substring(xml, place) END AS enriched FROM (
-  SELECT doc_id, xml, '  <enrichment><![CDATA[' || replace('{{"n": "$1 \\"}}' || coalesce(source, ''), ']]>', ']]]]><![CDATA[>') || ']]></enrichment>' || chr(10) AS block, strpos(xml, '</email-content>') AS place FROM (SELECT doc_id, source, {_XML} AS xml FROM documents WHERE text IS NOT NULL AND NOT contains(text, '</email-content>')))
-""")
+@_query(f"SELECT doc_id, {_XML[: -len('</email-content>') - 1]}' || chr(10) || {_BLOCK_SQL} || '</email-content>' AS enriched FROM documents")
 def ai_block_embed(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "documents").where("text is not null and not contains(text, '</email-content>')").withColumn("xml", F.expr(_XML))
-    once = rows.withColumn("xml", markup.embed_block("xml", F.concat(F.lit('{"n": "$1 \\"}'), F.coalesce("source", F.lit("")))))
-    return once.select("doc_id", F.col("xml").alias("enriched"))
+    """A block is embedded, then replaced by another."""
+    rows = table(spark, d, "documents").withColumn("xml", F.expr(_XML))
+    once = rows.withColumn("xml", markup.embed_block("xml", F.coalesce("text", F.lit(""))))
+    return once.select("doc_id", markup.embed_block("xml", F.concat(F.lit('{"n": "$1 \\"}]]>'), F.coalesce("source", F.lit("")))).alias("enriched"))
 
 
 _PART = "CASE WHEN length({0}) > 12000 THEN substring({0}, 1, 12000) || chr(10) || '...[truncated]' ELSE {0} END"
@@ -280,11 +294,10 @@ _PART = "CASE WHEN length({0}) > 12000 THEN substring({0}, 1, 12000) || chr(10)
 
 @_query(f"""
 SELECT doc_id, CASE WHEN one = '' AND two = '' THEN xml WHEN one = '' THEN 'Part 2 [markdown from html]' || chr(10) || two WHEN two = '' THEN 'Part 1 [plain]' || chr(10) || {_PART.format("one")} ELSE 'Part 1 [plain]' || chr(10) || {_PART.format("one")} || chr(10) || chr(10) || 'Part 2 [markdown from html]' || chr(10) || two END AS body
-FROM (SELECT doc_id, {_XML} AS xml, {_trim("CASE WHEN doc_id % 4 = 0 THEN '  ' ELSE text END")} AS one, {_trim("coalesce(source, '')")} AS two FROM documents WHERE text IS NOT NULL AND NOT contains(text, ']]>'))
+FROM (SELECT doc_id, {_XML} AS xml, {_trim("replace(coalesce(text, ''), ']]>', ']]]]><![CDATA[>')")} AS one, {_trim("coalesce(source, '')")} AS two FROM documents)
 """)
 def xml_body_parts(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "documents").where("text is not null and not contains(text, ']]>')").withColumn("xml", F.expr(_XML))
-    return rows.select("doc_id", markup.body_for_prompt("xml").alias("body"))
+    return table(spark, d, "documents").select("doc_id", markup.body_for_prompt(F.expr(_XML)).alias("body"))
 
 
 _CASES = """VALUES (1, 429, '{"error":{"code":"insufficient_quota"}}', NULL, NULL), (2, 429, '{"error":{"type":"insufficient_quota"}}', NULL, '7'), (3, 429, '{"error":{"message":"Please try again in 20ms"}}', NULL, NULL),
@@ -298,20 +311,21 @@ def error_classification(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("case_id", responses.is_retryable(F.col("status"), F.col("body")).alias("retryable"), F.coalesce(responses.retry_after_ms(F.col("after_ms"), F.col("after_s"), message), F.lit(-1)).alias("wait_ms"), responses.is_conflict(F.col("body")).alias("conflict"))
 
 
-_ROWS_SQL = {
-    "layout_version": "'5'", "uploaded_at": "'2026-01-01T00:00:00+00:00'", "md5": "coalesce(a.md5, '')", "source_file_name": "coalesce(a.original_name, '')", "email_dossier_path": "coalesce(email_folder, '')",
-    "message_id": "coalesce(message_id, '')", "expedition_date": "coalesce(expedition_date, '')", "attachment_mime_type": "coalesce(a.mime_type, '')", "email_subject": "coalesce(subject, email_folder, '')",
-}
+@_query("SELECT " + ", ".join("'5' AS layout_version" if c == "layout_version" else "'2026-01-01T00:00:00+00:00' AS uploaded_at" if c == "uploaded_at" else c for c in documents.ARCHIVE_COLUMNS) + " FROM dropbox_uploads")
+def archive_rows(spark: SparkSession, d: str) -> DataFrame:
+    """The rows of the archive made again from their values; what was missing is a null first."""
+    given = {c: F.nullif(F.col(c), F.lit("")) for c in documents.ARCHIVE_COLUMNS if c not in ("layout_version", "uploaded_at")}
+    return documents.archive_rows(table(spark, d, "dropbox_uploads"), given, F.lit("2026-01-01T00:00:00+00:00"))
 
 
-@_query("SELECT " + ", ".join(f"{_ROWS_SQL.get(c, chr(39) * 2)} AS {c}" for c in documents.ARCHIVE_COLUMNS) + " FROM (SELECT subject, email_folder, message_id, expedition_date, unnest(attachments) AS a FROM parsed_emails)")
-def archive_rows(spark: SparkSession, d: str) -> DataFrame:
-    rows = _attachments(spark, d, "message_id", "expedition_date", "subject")
-    given = {
-        "md5": F.col("a.md5"), "source_file_name": F.col("a.original_name"), "email_dossier_path": F.col("email_folder"), "message_id": F.col("message_id"),
-        "expedition_date": F.col("expedition_date"), "attachment_mime_type": F.col("a.mime_type"), "email_subject": F.coalesce("subject", "email_folder"),
-    }
-    return documents.archive_rows(rows, given, F.lit("2026-01-01T00:00:00+00:00"))
+@_query("SELECT md5, upload_id::VARCHAR AS source_file_name FROM (SELECT md5, upload_id, row_number() OVER (PARTITION BY md5 ORDER BY email_dossier_path, email_stem, upload_id::VARCHAR) AS n FROM dropbox_uploads) WHERE n = 1")
+def archive_append(spark: SparkSession, d: str) -> DataFrame:
+    """An archive to which the uploads are added twice: one row for each document."""
+    path = fresh_path(spark, "archive")
+    rows = table(spark, d, "dropbox_uploads").withColumn("source_file_name", F.col("upload_id").cast("string"))
+    for _ in range(2):
+        archive.append(spark, path, rows)
+    return archive.load(spark, path).select("md5", "source_file_name")
 
 
 @_query("SELECT main_folder, year_folder, attachment_importance, count(*) AS n, count(DISTINCT md5) AS documents FROM dropbox_uploads GROUP BY ALL")
@@ -330,9 +344,9 @@ def archive_counts(spark: SparkSession, d: str) -> DataFrame:
     return archive.load(spark, f"{d}/dropbox_uploads.parquet").agg(F.count("*").alias("records"), F.countDistinct("md5").alias("distinct_md5"), F.count_if(F.col("md5") == "").alias("without_md5"))
 
 
-@_query("SELECT upload_id FROM dropbox_uploads WHERE account_name = 'ALPHA'")
+@_query("SELECT upload_id FROM dropbox_uploads WHERE account_name IN ('ALPHA', 'BETA')")
 def account_filter(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "dropbox_uploads").where(F.col("account_name") == "ALPHA").select("upload_id")
+    return enrich.jobs(table(spark, d, "dropbox_uploads"), ["ALPHA", "BETA"], None).select("upload_id")
 
 
 @_query(f"SELECT DISTINCT id FROM (SELECT {_ID.format('m')} AS id FROM (SELECT unnest(message_ids) AS m FROM message_index) UNION ALL SELECT {_ID.format('message_id')} FROM parsed_emails) WHERE id <> ''")
@@ -366,15 +380,19 @@ def subject_prefix(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "parsed_emails").select("record_id", X.mark_direction("subject", F.col("record_id") % 2 == 0).alias("marked"), X.normalize_subject("subject").alias("bare"))
 
 
-@_query(f"SELECT record_id, pos, CASE ext {' '.join(f'WHEN {chr(39)}{k}{chr(39)} THEN {chr(39)}{v}{chr(39)}' for k, v in X.MIME_TYPES.items())} ELSE 'application/octet-stream' END AS mime, ext IN ('txt','md','csv','json','xml','html','htm') AS text_like FROM (SELECT record_id, pos, lower(regexp_extract(a.original_name, '.\\.([^.]*)$', 1, 's')) AS ext FROM ({_ATT}) WHERE a.original_name IS NOT NULL)")
+@_query(f"""
+SELECT record_id, pos, CASE WHEN ext = 'txt' THEN 'text/plain' WHEN ext = 'md' THEN 'text/markdown' WHEN ext IN ('html', 'htm') THEN 'text/html' WHEN ext = 'csv' THEN 'text/csv' WHEN ext IN ('json', 'xml', 'pdf') THEN 'application/' || ext
+  WHEN ext IN ('png', 'gif', 'webp', 'jpeg') THEN 'image/' || ext WHEN ext = 'jpg' THEN 'image/jpeg' WHEN ext = 'svg' THEN 'image/svg+xml' ELSE 'application/octet-stream' END AS mime,
+  ext IN ('txt','md','csv','json','xml','html','htm') AS text_like FROM (SELECT record_id, pos, lower(regexp_extract(coalesce(a.original_name, ''), '.\\.([^.]*)$', 1, 's')) AS ext FROM ({_ATT}))
+""")
 def mime_guess(spark: SparkSession, d: str) -> DataFrame:
-    rows = _attachments(spark, d).where("a.original_name is not null")
-    return rows.select("record_id", "pos", X.guess_mime_type("a.original_name").alias("mime"), X.is_text_like("a.original_name").alias("text_like"))
+    name = F.coalesce("a.original_name", F.lit(""))
+    return _attachments(spark, d).select("record_id", "pos", X.guess_mime_type(name).alias("mime"), X.is_text_like(name).alias("text_like"))
 
 
-@_query("SELECT doc_id, substring(t, 1, 500) AS text, length(t) > 500 AS truncated, CASE WHEN length(" + _trim("text") + ") = 0 THEN '<empty body>' ELSE substring(" + _trim("text") + ", 1, 400) END AS body FROM (SELECT doc_id, text, " + _trim("regexp_replace(text, '\\r\\n?', chr(10), 'g')") + " AS t FROM documents WHERE text IS NOT NULL)")
+@_query("SELECT doc_id, substring(t, 1, 80000) AS text, length(t) > 80000 AS truncated, CASE WHEN length(" + _trim("text") + ") = 0 THEN '<empty body>' ELSE substring(" + _trim("text") + ", 1, 400) END AS body FROM (SELECT doc_id, text, " + _trim("regexp_replace(text, '\\r\\n?', chr(10), 'g')") + " AS t FROM documents)")
 def finalize_extraction(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "documents").where("text is not null").select("doc_id", X.finalize_extraction("text", 500).alias("e"), X.compact_body("text").alias("body"))
+    rows = table(spark, d, "documents").select("doc_id", X.finalize_extraction("text").alias("e"), X.compact_body("text").alias("body"))
     return rows.select("doc_id", "e.text", "e.truncated", "body")
 
 
@@ -398,7 +416,10 @@ def header_dates(spark: SparkSession, d: str) -> DataFrame:
     from lettrine.functions import dates
 
     rows = table(spark, d, "parsed_emails").where(F.col("expedition_date").rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\+00:00\z"))
-    header = F.concat(F.lit("Mon, "), F.date_format(F.to_timestamp("expedition_date"), "d MMM yyyy HH:mm:ss"), F.lit(" +0000"))
+    at = F.to_timestamp("expedition_date")
+    weekday = F.element_at(F.array(*map(F.lit, ("Sun", "Mon", "Tue", "Wed", "Thu", "Fri", "Sat"))), F.dayofweek(at))
+    zoned = F.when(F.col("record_id") % 2 == 0, F.concat(F.date_format(at + F.expr("INTERVAL 5 HOURS 30 MINUTES"), "d MMM yyyy HH:mm:ss"), F.lit(" +0530"))).otherwise(F.concat(F.date_format(at, "d MMM yyyy HH:mm:ss"), F.lit(" +0000")))
+    header = F.when(F.col("record_id") % 2 == 0, zoned).otherwise(F.concat(weekday, F.lit(", "), zoned))
     return rows.select("record_id", dates.message_date(header).alias("sent"))
 
 
@@ -436,11 +457,11 @@ def folder_names(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("record_id", F.concat(F.lit("["), F.array_join(F.filter(X.path_order("email_folder"), lambda p: p != ""), "|"), F.lit("]")).alias("parts"), X.last_component("email_folder").alias("last"))
 
 
-@_query("SELECT md5, upload_id, rank FROM (SELECT md5, upload_id, row_number() OVER (PARTITION BY md5 ORDER BY uploaded_at, upload_id) AS rank FROM dropbox_uploads) WHERE rank <= 3")
+@_query("SELECT md5, upload_id, row_number() OVER (PARTITION BY md5 ORDER BY uploaded_at, upload_id) AS rank FROM dropbox_uploads")
 def retry_ranks(spark: SparkSession, d: str) -> DataFrame:
-    """The first three candidates of each document, for sinks that try the next one when an upload fails."""
+    """The candidates of each document, for sinks that try the next one when an upload fails."""
     rows = table(spark, d, "dropbox_uploads").select("md5", "upload_id", "uploaded_at")
-    return dedup.ranked(rows, "md5", ["uploaded_at", "upload_id"]).where("rank <= 3").select("md5", "upload_id", "rank")
+    return dedup.ranked(rows, "md5", ["uploaded_at", "upload_id"]).select("md5", "upload_id", "rank")
 
 
 @_query("SELECT count_if(md5 <> '') AS processed, count_if(md5 = '') AS failed, bool_or(uploaded_at <> '') AS dirty FROM dropbox_uploads")
@@ -449,11 +470,55 @@ def run_counters(spark: SparkSession, d: str) -> DataFrame:
     return documents.outcome_counts(rows)
 
 
-@_query("SELECT record_id, to_json({'original_name': a.original_name, 'mime_type': a.mime_type, 'md5': a.md5}) AS pruned FROM (SELECT record_id, unnest(attachments) AS a FROM parsed_emails) WHERE a.original_name IS NOT NULL AND a.mime_type IS NOT NULL AND a.md5 IS NOT NULL")
+@_query(f"SELECT record_id, pos, json_merge_patch('{{}}'::JSON, to_json({{'original_name': a.original_name, 'mime_type': a.mime_type, 'md5': a.md5}}))::VARCHAR AS pruned FROM ({_ATT})")
 def prompt_pruning(spark: SparkSession, d: str) -> DataFrame:
     """Metadata for a prompt without extracted text; the scan reads only the kept fields."""
-    rows = _attachments(spark, d).where("a.original_name is not null and a.mime_type is not null and a.md5 is not null")
-    return rows.select("record_id", F.to_json(F.struct("a.original_name", "a.mime_type", "a.md5")).alias("pruned"))
+    return _attachments(spark, d).select("record_id", "pos", F.to_json(F.struct("a.original_name", "a.mime_type", "a.md5")).alias("pruned"))
+
+
+_BINARY = "sha256(coalesce(text, ''))"
+_PARTS = (
+    "'From: A <a@x.test>' || nl || 'Subject: S' || nl || 'MIME-Version: 1.0' || nl || 'Content-Type: multipart/mixed; boundary=\"b\"' || nl || nl"
+    " || '--b' || nl || 'Content-Type: text/plain; charset=utf-8' || nl || 'Content-Transfer-Encoding: 8bit' || nl || nl || 'body ' || doc_id || nl"
+    f" || '--b' || nl || 'Content-Type: application/pdf' || nl || 'Content-Disposition: attachment; filename=\"scan.pdf\"' || nl || nl || {_BINARY} || nl"
+    " || '--b' || nl || 'Content-Type: application/pdf' || nl || 'Content-Disposition: attachment; filename=\"scan.pdf\"' || nl || nl || 'x' || doc_id || nl"
+    " || '--b' || nl || 'Content-Type: image/png; name=\"image001.png\"' || nl || 'Content-Disposition: inline; filename=\"image001.png\"' || nl || nl || 'y' || nl"
+    " || '--b--' || nl"
+)
+
+
+@_query(f"""
+SELECT doc_id, 0 AS pos, 'scan.pdf' AS name, 'application/pdf' AS mime, md5({_BINARY}) AS md5, 64 AS size FROM documents
+UNION ALL SELECT doc_id, 1, 'scan_1.pdf', 'application/pdf', md5('x' || doc_id), length('x' || doc_id) FROM documents
+""")
+def mime_attachments(spark: SparkSession, d: str) -> DataFrame:
+    """Messages with two equally named documents and an image of the layout: names, hashes and sizes of the documents."""
+    from lettrine.plans import mime
+
+    sql = _PARTS.replace("nl", "char(13) || char(10)").replace("sha256(", "sha2(").replace("'')) ||", "''), 256) ||")
+    rows = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("path"), F.encode(F.expr(sql), "UTF-8").alias("content"))
+    a = mime.parse(rows).select(F.col("path").cast("long").alias("doc_id"), F.posexplode("attachments").alias("pos", "a"))
+    return a.select("doc_id", "pos", F.col("a.meta.original_name").alias("name"), F.col("a.meta.mime_type").alias("mime"), F.col("a.meta.md5").alias("md5"), F.col("a.meta.size").alias("size"))
+
+
+_PROPOSED = "year_folder || ' ' || source_file_name"
+
+
+@_query(rf"""
+SELECT upload_id, final_file_name, xml_file_name, '/Archives/A_TRAITER/' || final_file_name AS dropbox_path, year_folder, CASE WHEN main IS NULL THEN 'missing folder' WHEN year_folder IS NULL THEN 'no year in the proposed name or the date' END AS error FROM (
+  SELECT *, regexp_replace(final_file_name, '^(.+)\.[^.]*$', '\1', 's') || '.xml' AS xml_file_name,
+    coalesce(nullif(regexp_extract(proposed, '\b((?:19|20)\d{{2}})\b', 1), ''), nullif(regexp_extract(expedition_date, '\b((?:19|20)\d{{2}})\b', 1), '')) AS year_folder FROM (
+    SELECT upload_id, proposed, expedition_date, CASE WHEN upload_id % 7 = 0 THEN NULL ELSE 'M' END AS main,
+      CASE WHEN p = '' THEN CASE WHEN o = '' THEN 'attachment.bin' ELSE o END WHEN suffix = '' THEN p ELSE regexp_replace(p, '^(.+)\.[^.]*$', '\1', 's') || suffix END AS final_file_name FROM (
+      SELECT upload_id, expedition_date, proposed, p, o, regexp_extract(o, '^.+(\.[^.]+)$', 1, 's') AS suffix FROM (
+        SELECT upload_id, expedition_date, {_PROPOSED} AS proposed, {_SAFE(_PROPOSED)} AS p, {_SAFE("CASE WHEN upload_id % 3 = 0 THEN 'email-body.xml' ELSE source_file_name END")} AS o FROM dropbox_uploads))))
+""")
+def filing_plan(spark: SparkSession, d: str) -> DataFrame:
+    """Where each upload would go again: names, path, year and error; every third is the body of its message."""
+    u = F.col("upload_id")
+    item = F.struct(F.expr(_PROPOSED).alias("proposed_file_name"), F.when(u % 7 != 0, "M").alias("main_folder"), F.lit("S").alias("sub_folder"), F.lit(None).cast("string").alias("mime_type"))
+    rows = table(spark, d, "dropbox_uploads").select("upload_id", "source_file_name", (u % 3 == 0).alias("is_email_body"), "md5", F.col("attachment_mime_type").alias("parsed_mime"), "expedition_date", F.lit("<email-content></email-content>").alias("xml_content"), F.lit("{}").alias("ai_content"), item.alias("item"))
+    return documents.plan(rows, "/Archives").select("upload_id", "final_file_name", "xml_file_name", "dropbox_path", "year_folder", "error")
 
 
 def queries() -> dict[str, Query]:

@@ -21,6 +21,7 @@ JSON_CHARS = 16_000
 PREFIX = "enrich"
 #: A document: its message's folder and stem, and its position in the message.
 KEY = ["folder", "stem", "position"]
+#: A model answers a request; ``request["files"]`` holds (name, bytes) of what it is to look at itself.
 Model = Callable[[dict], dict]
 
 
@@ -68,7 +69,7 @@ def requests(rows: DataFrame, spec: Spec, model: str, send_images: bool = False,
         F.lit("\n\nBody:\n"), X.truncate_chars(markup.body_for_prompt("xml"), markup.BODY_CHARS), F.lit("\n\nAttachments:\n"), inputs, F.lit("\n"),
     )
     request = F.struct(F.lit(model).alias("model"), F.lit(spec.instructions).alias("instructions"), prompt.alias("prompt"), F.lit(json.dumps(spec.schema)).alias("schema"), F.lit(cache_key(PREFIX, model, spec.fingerprint)).alias("cache_key"))
-    return out.withColumn("request", F.to_json(request)).drop("r")
+    return out.withColumn("request", F.to_json(request)).withColumn("file", F.when(F.col("r.mode") == "raw_file", F.struct(a["original_name"].alias("name"), F.col("content").alias("bytes")))).drop("r")
 
 
 def answer_of(payload: dict) -> object:
@@ -94,16 +95,17 @@ def problems(value: object, spec: Spec) -> list[str]:
     for item in value["attachment_summaries"]:
         allowed = spec.taxonomy.get(item["main_folder"])
         if allowed is None:
-            return [f"unsupported main_folder `{item['main_folder']}`"]
+            return [f"unknown main_folder `{item['main_folder']}`"]
         if item["sub_folder"] not in allowed:
-            out.append(f"unsupported sub_folder `{item['sub_folder']}` for main_folder `{item['main_folder']}`; allowed values are: {', '.join(allowed)}")
+            out.append(f"`{item['sub_folder']}` is no sub_folder of `{item['main_folder']}`; allowed values are: {', '.join(allowed)}")
     return out
 
 
 def repair_request(request: dict, error: str, current: object) -> dict:
     """The request with the error and the current JSON; files are not sent again."""
     told = f"{request['prompt']}\n\nProblems:\n{error}\n\nCurrent JSON:\n{json.dumps(current, ensure_ascii=False, indent=2)}\n"
-    return request | {"prompt": told, "cache_key": request["cache_key"] + ":repair"}
+    kept = {k: v for k, v in request.items() if k != "files"}
+    return kept | {"prompt": told, "cache_key": request["cache_key"] + ":repair"}
 
 
 class Pacer:
@@ -158,16 +160,20 @@ def run(rows: DataFrame, spec: Spec, model_factory: Callable[[], Model], retries
             asked = batch.column("request").to_pylist()
             answers: list[str | None] = []
             errors: list[str | None] = []
-            for text in asked:
+            for text, file in zip(asked, batch.column("file"), strict=True):
                 try:
-                    answers.append(json.dumps(enrich_one(model, json.loads(text), spec, retries, pacer), ensure_ascii=False))
+                    request = json.loads(text)
+                    if (f := file.as_py()) is not None:
+                        request["files"] = [(f["name"], f["bytes"])]
+                    answers.append(json.dumps(enrich_one(model, request, spec, retries, pacer), ensure_ascii=False))
                     errors.append(None)
                 except Exception as e:  # noqa: BLE001 - the error is the result
                     answers.append(None)
                     errors.append(f"{type(e).__name__}: {e}")
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(answers, pa.string()), pa.array(errors, pa.string())], names=[*KEY, "input_hash", "ai", "error"])
 
-    asked = rows.select(*KEY, "input_hash", "request")
+    file = F.col("file") if "file" in rows.columns else F.lit(None).cast("struct<name:string,bytes:binary>").alias("file")
+    asked = rows.select(*KEY, "input_hash", "request", file)
     done = persisted((asked.coalesce(1) if one_at_a_time else asked).mapInArrow(each, "folder string, stem string, position int, input_hash string, ai string, error string"), "answers")
     outputs = done.where("error is null").drop("error").withColumn("completed_at", F.current_timestamp())
     failures = done.where("error is not null").select(F.lit("enrich").alias("stage"), F.concat_ws("/", "folder", "stem", F.col("position").cast("string")).alias("key"), "error", F.current_timestamp().alias("failed_at"))

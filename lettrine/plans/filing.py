@@ -78,9 +78,14 @@ def planned(bundles: DataFrame, outputs: DataFrame, root: str) -> tuple[DataFram
     return out.where("error is null"), failed
 
 
+PLACE = ["folder", "stem", "position"]
+
+
 def to_file(plans: DataFrame, known: DataFrame) -> DataFrame:
-    """Plans whose document is neither archived nor an earlier plan's."""
-    return dedup.first_wins(dedup.not_in(plans, known, ["md5"]), "md5", [X.path_order("folder"), F.col("stem"), F.col("position")])
+    """(folder, stem, position, md5, rank) of the plans whose document is not archived: the copies of a document in the
+    order in which they are tried."""
+    narrow = dedup.not_in(plans.select(*PLACE, "md5"), known, ["md5"]).withColumn("place", X.path_order("folder"))
+    return dedup.ranked(narrow, "md5", ["place", "stem", "position"]).drop("place")
 
 
 def upload(plans: DataFrame, store_factory: Callable[[], Store]) -> DataFrame:
@@ -106,14 +111,37 @@ def upload(plans: DataFrame, store_factory: Callable[[], Store]) -> DataFrame:
     return persisted(plans.select("md5", "xml_only", "dropbox_path", "xml_dropbox_path", "content", "enriched_xml").mapInArrow(each, "md5 string, error string"), "uploads")
 
 
+def upload_first(plans: DataFrame, ranks: DataFrame, store_factory: Callable[[], Store]) -> tuple[DataFrame, DataFrame]:
+    """(copies that were uploaded, errors of the others): of each document the first copy that the store takes.
+
+    Every round tries one copy of each document that has none yet, so no task holds the copies of one document.
+    """
+    done: DataFrame | None = None
+    errors: DataFrame | None = None
+    rank, left = 1, ranks.where("rank = 1")
+    while True:
+        tried = left.select(*PLACE, "md5")
+        sent = upload(plans.join(tried, [*PLACE, "md5"], "left_semi"), store_factory)
+        good, bad = tried.join(sent.where("error is null").select("md5"), "md5", "left_semi"), sent.where("error is not null")
+        done = good if done is None else done.unionByName(good)
+        errors = bad if errors is None else errors.unionByName(bad)
+        rank += 1
+        left = ranks.where(F.col("rank") == rank).join(bad.select("md5"), "md5", "left_semi")
+        if left.isEmpty():
+            return done, errors
+
+
 def file_documents(spark: SparkSession, bundles: DataFrame, outputs: DataFrame, root: str, archive_path: str, store_factory: Callable[[], Store], dry_run: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(plans, failures). Archive rows are added only for documents that were uploaded."""
+    """(plans, failures): the plans that were carried out, or would be first. Archive rows are added only for documents that
+    were uploaded; a copy that the store refuses gives way to the next one."""
     plans, failed = planned(bundles, outputs, root)
-    plans = persisted(to_file(plans, archive.load(spark, archive_path)), "plans")
+    plans = persisted(plans, "plans")
+    ranks = persisted(to_file(plans, archive.load(spark, archive_path)), "ranks")
     if dry_run:
-        return plans, failed
-    sent = upload(plans, store_factory)
-    good = plans.join(sent.where("error is null").select("md5"), "md5", "left_semi").withColumn("blob", F.when(F.col("xml_only"), F.encode("enriched_xml", "UTF-8")).otherwise(F.col("content")))
+        return plans.join(ranks.where("rank = 1").select(*PLACE, "md5"), [*PLACE, "md5"], "left_semi"), failed
+    done, errors = upload_first(plans, ranks, store_factory)
+    plans = plans.join(done, [*PLACE, "md5"], "left_semi")
+    good = plans.withColumn("blob", F.when(F.col("xml_only"), F.encode("enriched_xml", "UTF-8")).otherwise(F.col("content")))
     c = F.col
     values = {
         "md5": c("md5"), "source_file_name": c("source_file_name"), "final_file_name": F.when(c("xml_only"), c("xml_file_name")).otherwise(c("final_file_name")), "dropbox_root_folder": F.lit(root), "dropbox_path": F.when(c("xml_only"), c("xml_dropbox_path")).otherwise(c("dropbox_path")),
@@ -122,5 +150,5 @@ def file_documents(spark: SparkSession, bundles: DataFrame, outputs: DataFrame,
         "email_subject": F.coalesce(c("subject"), c("email_folder")), "expedition_date": c("expedition_date"), "email_summary": c("c.email_summary"), "email_importance": c("c.email_importance"), "attachment_summary": c("item.summary"), "attachment_importance": c("item.importance"), "attachment_mime_type": c("mime_type"),
     }
     archive.append(spark, archive_path, documents.archive_rows(good, values, dates.rfc3339(F.current_timestamp())))
-    lost = sent.where("error is not null").select(F.lit("file").alias("stage"), F.col("md5").alias("key"), "error")
+    lost = errors.select(F.lit("file").alias("stage"), F.col("md5").alias("key"), "error")
     return plans, failed.unionByName(lost)

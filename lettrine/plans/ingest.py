@@ -8,39 +8,52 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lettrine.functions import text as X
 from lettrine.operators import dedup
 from lettrine.plans import mime
 
 
+#: Columns of a message that its headers keep, and those that are read from it.
+KEPT, TOLD = ("path", "direction", "folder", "seq"), ("id", "subject", "date", "contact")
+
+
 def headers(messages: DataFrame) -> DataFrame:
-    """Messages with id, subject, date and contact; unreadable ones and those without an id are left out."""
+    """Messages with id, subject, date and contact, without their contents; unreadable ones and those without an id are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from email import message_from_bytes
 
         for batch in batches:
-            rows: list[tuple] = []
-            for path, raw, direction in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            places: list[int] = []
+            rows: list[list] = []
+            for i, (direction, raw) in enumerate(zip(batch.column("direction").to_pylist(), batch.column("content"), strict=True)):
+                raw = raw.as_py()
                 try:
                     m = message_from_bytes(raw, policy=mime.POLICY)
                     found = [mime._header(m, h) for h in ("Message-ID", "Subject", "Date", "From" if direction == "in" else "To")]
                 except Exception:  # noqa: BLE001
                     continue
-                rows.append((path, *found))
-            cols = list(zip(*rows, strict=True)) if rows else [[]] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in cols], names=["path", "id", "subject", "date", "contact"])
+                places.append(i)
+                rows.append(found)
+            cols = list(zip(*rows, strict=True)) if rows else [[]] * 4
+            kept = [batch.column(c).take(pa.array(places, pa.int64())) for c in KEPT]
+            yield pa.RecordBatch.from_arrays([*kept, *(pa.array(c, pa.string()) for c in cols)], names=[*KEPT, *TOLD])
 
-    told = messages.select("path", "content", "direction").mapInArrow(run, "path string, id string, subject string, date string, contact string")
-    return messages.join(told, "path").withColumn("id", X.blank_to_null("id")).where("id is not null")
+    asked = messages.select(*KEPT, "content")
+    schema = T.StructType([*(asked.schema[c] for c in KEPT), *(T.StructField(c, T.StringType()) for c in TOLD)])
+    return asked.mapInArrow(run, schema).withColumn("id", X.blank_to_null("id")).where("id is not null")
 
 
 def to_save(messages: DataFrame, index: DataFrame, on_disk: DataFrame, recover: bool = False) -> DataFrame:
-    """New messages once each, outgoing folders first; recovered ones with every copy."""
+    """New messages once each, outgoing folders first; recovered ones with every copy.
+
+    The choice is made on headers; the contents join what is chosen.
+    """
     rows = dedup.new_or_recoverable(headers(messages), index, on_disk, recover)
-    fresh = dedup.first_wins(rows.where(~F.col("recovered")), "id", [F.col("seq")])
-    return fresh.unionByName(rows.where("recovered"))
+    fresh = dedup.first_wins(rows.where(~F.col("recovered")), "id", [F.col("seq"), F.col("path")])
+    return fresh.unionByName(rows.where("recovered")).join(messages.select("path", "content"), "path")
 
 
 def named(rows: DataFrame, group: bool = True) -> DataFrame:

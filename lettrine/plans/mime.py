@@ -20,12 +20,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lettrine.functions.text import decode_entities_text
+from lettrine.functions.text import TEMPORARY_END, TEMPORARY_PARTS, TEMPORARY_STARTS, decode_entities_text
 from lettrine.schemas import ATTACHMENT, CONTACT
 
 #: Fixed values as in the column functions; here they work on one message at a time.
 _REFUSED = re.compile(r'[:/*?|!#$%^<>"\r\n\t]')
-_TEMP = re.compile(r"^(?:tmp|image|part|att|inline)|\.tmp|unnamed|unknown|noname|\.(?:tmp|dat|bin)\.\d+\Z")
+_TEMP = re.compile("^(?:{})|{}|{}".format("|".join(TEMPORARY_STARTS), "|".join(map(re.escape, TEMPORARY_PARTS)), TEMPORARY_END.replace("\\z", "\\Z")))
 EMBEDDED_IMAGE_MAX = 30_720
 HTML_BYTES = 250_000
 
@@ -183,13 +183,11 @@ def part_rows(part: Message, path: str = "1", depth: int = 2) -> Iterator[str]:
 
 def html_text(value: str) -> str:
     """HTML as Markdown: the steps of the column function, for one value."""
-    from lettrine.functions.markup import CUT_NOTICE, NOISE, STEPS
+    from lettrine.functions.markup import CUT_NOTICE, STEPS, noise_pattern
 
     data = value.encode("utf-8", "replace")
     text = data[:HTML_BYTES].decode("utf-8", "ignore") if len(data) > HTML_BYTES else value
-    for tag in NOISE:
-        text = re.sub(rf"(?is)<\s*{tag}\b[^>]*>.*?</\s*{tag}\s*>", " ", text)
-    text = re.sub(r"(?is)<!--.*?-->", " ", re.sub(r"(?is)<\s*meta\b[^>]*>", " ", text))
+    text = re.sub(noise_pattern(), " ", text)
     for step in STEPS:
         text = decode_entities_text(text) if step is None else re.sub(step[0], step[1].replace("$2", r"\2").replace("$1", r"\1"), text)
     return text.strip() + (CUT_NOTICE if len(data) > HTML_BYTES else "")

@@ -8,18 +8,19 @@ from pyspark.sql import functions as F
 from lettrine.functions import dates
 from lettrine.functions import text as X
 from lettrine.operators import dedup
-from lettrine.plans import mime
+from lettrine.plans import mime, pdf
 
 STATE = ["folder", "stem"]
 
 
 def pending(listing: DataFrame, parsed: DataFrame) -> DataFrame:
-    """Files whose bundle does not exist yet; of files whose names clean alike the first.
+    """Files whose bundle does not exist yet; of those of a folder whose names clean alike the first by name.
 
-    Only paths take part; contents are read for what is left.
+    Only names and paths take part: a ``content`` in the listing is left out, and
+    ``mailbox.contents`` reads the bytes of what is left.
     """
-    named = listing.withColumn("stem", X.stem_or("name", "email"))
-    return dedup.first_wins(dedup.not_in(named, parsed, STATE), "path", [F.col("name")])
+    named = listing.drop("content").withColumn("stem", X.stem_or("name", "email"))
+    return dedup.first_wins(dedup.not_in(named, parsed, STATE), STATE, [F.col("name"), F.col("path")])
 
 
 def _attr(name: str, value: Column) -> Column:
@@ -27,8 +28,8 @@ def _attr(name: str, value: Column) -> Column:
     return F.when(value.isNotNull(), F.concat(F.lit(f' {name}="'), escaped, F.lit('"'))).otherwise(F.lit(""))
 
 
-def bundles(files: DataFrame, parsing_folder: str = "") -> tuple[DataFrame, DataFrame]:
-    """(bundles, failures) of files with folder, stem, name, path and content.
+def bundles(files: DataFrame, parsing_folder: str = "", native: pdf.Extractor = pdf.none, ocr: pdf.Extractor = pdf.none) -> tuple[DataFrame, DataFrame]:
+    """(bundles, failures) of files with folder, stem, name, path and content; ``native`` and ``ocr`` read PDF documents.
 
     A bundle row has the record's columns with a single attachment, the position
     of the document in its message, its bytes, the JSON and the XML.  A message
@@ -41,6 +42,8 @@ def bundles(files: DataFrame, parsing_folder: str = "") -> tuple[DataFrame, Data
         F.lit(parsing_folder).alias("parsing_folder"), F.col("folder").alias("email_folder"), F.col("name").alias("email_file_name"), "message_id", X.normalize_subject(F.coalesce("subject", "stem")).alias("subject"),
         dates.message_date("date", obsolete_zones=True).alias("expedition_date"), "author", "targets", "cc", "bcc", F.array(F.col("a.meta")).alias("attachments"), "position", F.col("a.content").alias("content"), "folder", "stem", "body_xml",
     )
+    if native is not pdf.none or ocr is not pdf.none:
+        rows = pdf.with_text(rows, native, ocr)
     record = F.to_json(F.struct("parsing_folder", "email_folder", "email_file_name", "message_id", "subject", "expedition_date", "author", "targets", "cc", "bcc", "attachments"), {"ignoreNullFields": "true"})
     rows = rows.withColumn("json", record).withColumn("bundle_stem", X.stem_or(F.col("attachments")[0]["original_name"], "attachment"))
     head = F.concat(F.lit('<?xml version="1.0" encoding="UTF-8"?>\n<email-content'), *(_attr(a, F.col(c)) for a, c in (("parsing-folder", "parsing_folder"), ("email-folder", "email_folder"), ("email-file-name", "email_file_name"), ("message-id", "message_id"), ("expedition-date", "expedition_date"), ("subject", "subject"))), F.lit(">\n"))

@@ -20,6 +20,31 @@ def none(_: bytes) -> str | None:
     return None
 
 
+#: Fixed value: pages of a document that are recognised.
+OCR_PAGES = 20
+
+
+def by_pages(render: Callable[[bytes, int], dict[str, bytes]], recognise: Callable[[bytes], str | None]) -> Extractor:
+    """An OCR of page images: ``render(document, pages)`` names the images of the first pages, ``recognise`` reads one.
+
+    Pages are joined in the order of their names; a page that can't be read or holds nothing is left out.
+    """
+
+    def extract(data: bytes) -> str | None:
+        found = []
+        for _, image in sorted(render(data, OCR_PAGES).items())[:OCR_PAGES]:
+            try:
+                text = recognise(image)
+            except Exception:  # noqa: BLE001 - the other pages still count
+                continue
+            text = (text or "").replace("\r\n", "\n").replace("\r", "\n").strip()
+            if text:
+                found.append(text)
+        return "\n\n".join(found) or None
+
+    return extract
+
+
 def with_text(rows: DataFrame, native: Extractor = none, ocr: Extractor = none) -> DataFrame:
     """Rows of documents with text, method and truncation set in their attachment.
 

@@ -18,15 +18,15 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p1_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shred.contacts(shred.shred(table(spark, sf_dir, "raw_bundles"))).drop("doc")
+    return shred.contacts(shred.shred(table(spark, sf_dir, "raw_bundles"))).drop("doc", "node", "parent")
 
 
 def p1_attachments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shred.attachments(shred.shred(table(spark, sf_dir, "raw_bundles"))).drop("doc")
+    return shred.attachments(shred.shred(table(spark, sf_dir, "raw_bundles"))).drop("doc", "node", "parent")
 
 
 def p1_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shred.messages(shred.shred(table(spark, sf_dir, "raw_bundles"))).drop("doc")
+    return shred.messages(shred.shred(table(spark, sf_dir, "raw_bundles"))).drop("doc", "node", "parent")
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,7 +53,7 @@ def _list(v: str) -> str:
     return f"CASE json_type({v}) WHEN 'ARRAY' THEN json_extract({v}, '$[*]') WHEN 'OBJECT' THEN [{v}] WHEN 'VARCHAR' THEN CASE json_type({inner}) WHEN 'ARRAY' THEN json_extract({inner}, '$[*]') WHEN 'OBJECT' THEN [{inner}] END END"
 
 
-_LINKS = f"""
+_MESSAGES = f"""
 WITH RECURSIVE msg AS (
   SELECT raw_id, '$' AS path, payload::JSON AS j FROM raw_bundles WHERE json_valid(payload) AND json_type(payload::JSON) = 'OBJECT'
   UNION ALL
@@ -66,15 +66,37 @@ WITH RECURSIVE msg AS (
     UNION ALL SELECT raw_id, path, 'cc', {_list("json_extract(j, '$.cc')")} FROM msg
     UNION ALL SELECT raw_id, path, 'attachments', {_list("json_extract(j, '$.attachments')")} FROM msg)
 )
+"""
+_LINKS = f"""{_MESSAGES}
 SELECT raw_id, path AS parent_path, path || '.' || field || '[' || i || ']' AS child_path FROM objects WHERE json_type(x) = 'OBJECT'
 UNION ALL SELECT raw_id, regexp_replace(path, '\\.embedded$', ''), path FROM msg WHERE path <> '$'
 """
 
 
+def _scalars(v: str, fields: tuple[str, ...]) -> str:
+    """SQL: fields of an object as text, other JSON values as they are written."""
+    return ", ".join(f"CASE WHEN json_type({v}, '$.{f}') = 'NULL' THEN NULL ELSE {v} ->> '$.{f}' END AS {f}" for f in fields)
+
+
+_CONTACTS = f"""{_MESSAGES}
+SELECT DISTINCT raw_id, parent_path, path, field, i AS ordinal, {_scalars("x", shred.CONTACT_FIELDS)} FROM (
+  SELECT raw_id, path AS parent_path, path || '.' || field || '[' || i || ']' AS path, field, i, x FROM objects WHERE field IN ('targets', 'cc')
+  UNION ALL SELECT raw_id, path, path || '.bcc[' || i || ']', 'bcc', i, x FROM (SELECT raw_id, path, unnest(l) AS x, generate_subscripts(l, 1) - 1 AS i FROM (SELECT raw_id, path, {_list("json_extract(j, '$.bcc')")} AS l FROM msg))
+  UNION ALL SELECT raw_id, path, path || '.author', 'author', 0, json_extract(j, '$.author') FROM msg)
+WHERE json_type(x) = 'OBJECT'
+"""
+_ATTACHMENTS = f"""{_MESSAGES}
+SELECT DISTINCT raw_id, path AS parent_path, path || '.attachments[' || i || ']' AS path, field, i AS ordinal, {_scalars("x", shred.ATTACHMENT_FIELDS)} FROM objects WHERE field = 'attachments' AND json_type(x) = 'OBJECT'
+"""
+_MESSAGE_ROWS = f"""{_MESSAGES}
+SELECT DISTINCT raw_id, CASE WHEN path <> '$' THEN regexp_replace(path, '\\.embedded$', '') END AS parent_path, path, CASE WHEN path <> '$' THEN 'embedded' ELSE '' END AS field, 0 AS ordinal, {_scalars("j", shred.MESSAGE_FIELDS)} FROM msg
+"""
+
+
 def queries() -> dict[str, Query]:
     own = (p1_found, p1_contacts, p1_attachments, p1_messages, p3_found)
     return pipeline_queries.queries() | {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
-    return pipeline_queries.oracle_sql() | {"p1_found": _LINKS, "p3_found": _KEYED + "SELECT record_id FROM ranked WHERE old OR n > 1"}
+    return pipeline_queries.oracle_sql() | {"p1_found": _LINKS, "p1_contacts": _CONTACTS, "p1_attachments": _ATTACHMENTS, "p1_messages": _MESSAGE_ROWS, "p3_found": _KEYED + "SELECT record_id FROM ranked WHERE old OR n > 1"}

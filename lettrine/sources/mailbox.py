@@ -23,7 +23,9 @@ import json
 import os
 from collections.abc import Iterator
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 SCHEMA = "account string, direction string, folder string, path string, name string, size bigint, modified double, seq bigint, content binary"
@@ -151,5 +153,23 @@ class MailboxSource(DataSource):
         return _Stream(self._named())
 
 
+def contents(rows: DataFrame) -> DataFrame:
+    """The rows with the bytes of the files under ``path``; files that can't be read have no row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                try:
+                    with open(batch.column(at)[i].as_py(), "rb") as f:
+                        data = f.read()
+                except OSError:
+                    continue
+                yield pa.RecordBatch.from_arrays([*(c.slice(i, 1) for c in batch.columns), pa.array([data], pa.binary())], names=names)
+
+    rows = rows.drop("content")
+    at, names = rows.columns.index("path"), [*rows.columns, "content"]
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("content", T.BinaryType())]))
+
+
 def register(spark: SparkSession) -> None:
     spark.dataSource.register(MailboxSource)

@@ -25,10 +25,10 @@ def start(spark: SparkSession, mail_root: str, out: str, checkpoint: str, once:
     mailbox.register(spark)
 
     def batch(df: DataFrame, _: int) -> None:
-        files = parse.pending(df, known(spark, f"{out}/bundles"))
+        files = mailbox.contents(parse.pending(df, known(spark, f"{out}/bundles")))
         rows, failed = parse.bundles(files, mail_root)
         rows.write.mode("append").parquet(f"{out}/bundles")
         failed.write.mode("append").parquet(f"{out}/failures")
 
-    w = spark.readStream.format("mailbox").option("path", mail_root).option("log", f"{checkpoint}/names").load().writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
+    w = spark.readStream.format("mailbox").option("path", mail_root).option("content", "false").option("log", f"{checkpoint}/names").load().writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     return (w.trigger(availableNow=True) if once else w.trigger(processingTime="30 seconds")).start()

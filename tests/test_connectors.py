@@ -45,7 +45,7 @@ def _bundles(spark, tmp_path, body):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.eml").write_bytes(raw(body))
     listing = spark.read.format("mailbox").option("path", str(tmp_path)).load()
-    return parse.bundles(parse.pending(listing, spark.createDataFrame([], "folder string, stem string")))[0]
+    return parse.bundles(mailbox.contents(parse.pending(listing, spark.createDataFrame([], "folder string, stem string"))))[0]
 
 
 def test_pdf_text(spark, tmp_path):
@@ -57,6 +57,18 @@ def test_pdf_text(spark, tmp_path):
     assert all(r["attachments"][0]["extracted_text"] is None for r in pdf.with_text(rows).collect())
 
 
+def test_pages_in_the_order_of_their_names():
+    render = lambda data, n: {f"page-{k:02d}.png": b"%d" % k for k in range(25, 0, -1)}
+
+    def recognise(image):
+        if image == b"3":
+            raise ValueError("unreadable")
+        return None if image == b"4" else f" page {int(image)}\r\n"
+
+    assert pdf.by_pages(render, recognise)(b"x") == "\n\n".join(f"page {k}" for k in range(1, 21) if k not in (3, 4))
+    assert pdf.by_pages(lambda data, n: {}, recognise)(b"x") is None
+
+
 def test_export(spark, tmp_path):
     rows = _bundles(spark, tmp_path, MIXED)
     assert export.write(rows, str(tmp_path / "out")).where("error is not null").count() == 0

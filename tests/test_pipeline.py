@@ -6,8 +6,10 @@ import textwrap
 import pytest
 from pyspark.sql import functions as F
 
-from lettrine.plans import enrich, filing, mime, spec
+from lettrine.functions import markup
+from lettrine.plans import enrich, filing, ingest, mime, parse, spec
 from lettrine.plans.pipeline import Run
+from lettrine.schemas import ATTACHMENT
 from lettrine.sources import archive, config, index, mailbox
 from lettrine.streaming import ingest as stream
 
@@ -269,6 +271,73 @@ def test_local_store(tmp_path):
         s.put("/a/b/f", b"other")
 
 
+def test_the_next_copy_is_tried_when_an_upload_fails(spark):
+    class Picky:
+        def ensure_folder(self, path):
+            pass
+
+        def put(self, path, data):
+            if "no" in path:
+                raise filing.Conflict(path)
+
+    plans = spark.createDataFrame([("A", f"s{i}", 0, md5, False, path, f"{path}.xml", b"x", "<x/>") for i, (md5, path) in enumerate([("m", "/no1"), ("m", "/no2"), ("m", "/yes"), ("m", "/later"), ("n", "/no"), ("o", "/fine")])], "folder string, stem string, position int, md5 string, xml_only boolean, dropbox_path string, xml_dropbox_path string, content binary, enriched_xml string")
+    ranks = filing.to_file(plans, spark.createDataFrame([("z",)], "md5 string"))
+    assert "content" not in ranks.columns
+    done, errors = filing.upload_first(plans, ranks, Picky)
+    assert sorted((r["md5"], r["stem"]) for r in done.collect()) == [("m", "s2"), ("o", "s5")]
+    assert sorted(r["md5"] for r in errors.collect()) == ["m", "m", "n"]
+
+
+def test_files_whose_names_clean_alike_are_parsed_once(spark):
+    listing = spark.createDataFrame([("f", "x.eml", "/f/x.eml", b"1"), ("f", "x.EML", "/f/x.EML", b"2"), ("g", "x.eml", "/g/x.eml", b"3"), ("f", "y.eml", "/f/y.eml", b"4")], "folder string, name string, path string, content binary")
+    got = parse.pending(listing, spark.createDataFrame([("f", "y")], "folder string, stem string"))
+    assert "content" not in got.columns and sorted(r["path"] for r in got.collect()) == ["/f/x.EML", "/g/x.eml"]
+
+
+def test_no_contents_in_aggregates(spark, tmp_path):
+    mailbox.register(spark)
+    (tmp_path / "1.eml").write_bytes(raw(PLAIN))
+    mails = spark.read.format("mailbox").option("path", str(tmp_path)).load()
+    none = spark.createDataFrame([], "id string")
+    saved = ingest.to_save(mails, none, none)
+    assert saved.count() == 1 and saved.first()["content"] == raw(PLAIN)
+    pending = parse.pending(mails, spark.createDataFrame([], "folder string, stem string"))
+    for df in (saved, pending):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert all("content" not in line for line in plan.split("\n") if "Aggregate" in line), plan
+    assert mailbox.contents(pending).first()["content"] == raw(PLAIN)
+
+
+def test_the_model_gets_the_files_that_it_is_to_look_at(spark, run):
+    s = spec.read(SPEC)
+    row = ("A", "f", "s", 0, [("scan.png", None, "image/png", 3, "m", None, None, None)], b"png", "{}", "<x/>", "h")
+    df = spark.createDataFrame([row], f"account_name string, folder string, stem string, position int, attachments array<{ATTACHMENT}>, content binary, json string, xml string, input_hash string")
+    for c in ("parsing_folder", "email_folder", "email_file_name", "message_id", "subject", "expedition_date", "author", "targets", "cc", "bcc"):
+        df = df.withColumn(c, F.lit(None).cast("string"))
+    asked = enrich.requests(df, s, "m", send_images=True)
+
+    def factory():
+        def model(request):
+            if request.get("files") != [("scan.png", b"png")]:
+                raise enrich.ServiceError(400, "no file")
+            return enrich.stub_model(s)()(request)
+
+        return model
+
+    good, bad = enrich.run(asked, s, factory)
+    assert (good.count(), bad.count()) == (1, 0)
+    assert enrich.requests(df, s, "m").first()["file"] is None
+
+
+def test_embedding_and_bodies(one):
+    xml = "<email-content>\n<content format=\"plain\"><![CDATA[a <content format=\"x\"><![CDATA[ b]]></content><content><![CDATA[ ]]></content>]]></content></email-content>\n"
+    assert one(markup.body_for_prompt(F.lit(xml))) == 'Part 1 [plain]\na <content format="x"><![CDATA[ b'
+    first = one(markup.embed_block(F.lit(xml), F.lit("1]]>2")))
+    assert first.endswith("<enrichment><![CDATA[1]]]]><![CDATA[>2]]></enrichment>\n</email-content>\n")
+    assert one(markup.embed_block(F.lit(first), F.lit("3"))) == first.replace("  <enrichment>", "\n  <enrichment>").replace("1]]]]><![CDATA[>2", "3")
+    assert one(markup.embed_block(F.lit("x"), F.lit("3"))) == "x\n  <enrichment><![CDATA[3]]></enrichment>\n" and one(markup.embed_block(F.lit(None).cast("string"), F.lit("3"))) is None
+
+
 def test_header_json():
     assert filing.header_json({"path": "/é🔴"}) == '{"path":"/\\u00e9\\ud83d\\udd34"}'
 
