@@ -139,14 +139,14 @@ def shred(df: DataFrame, id_col: str = "raw_id", payload: str = "payload") -> Da
     return df.select(F.col(id_col).cast("long").alias("raw_id"), F.xxhash64(F.col(payload)).alias("doc"), F.col(payload).alias("payload")).mapInArrow(run, ADJACENCY)
 
 
-def entities(adjacency: DataFrame, role: str, fields: tuple[str, ...]) -> DataFrame:
-    """Object nodes of a role joined with their scalar children, pivoted into columns.
+def entities(adjacency: DataFrame, roles: str | tuple[str, ...], fields: tuple[str, ...]) -> DataFrame:
+    """Object nodes of one role or several joined with their scalar children, pivoted into columns.
 
     Objects and their scalars meet under the key of the object.  Both sit in one
     input partition, so partial aggregation leaves one row for each object before
     the shuffle, and no group is larger than the fields of one object.
     """
-    is_object = F.col("role") == role
+    is_object = F.col("role").isin(*((roles,) if isinstance(roles, str) else roles))
     owner = F.when(is_object, F.col("node")).otherwise(F.col("parent"))
     rows = adjacency.where(is_object | ((F.col("role") == "scalar") & F.col("label").isin(*fields)))
 
@@ -154,7 +154,8 @@ def entities(adjacency: DataFrame, role: str, fields: tuple[str, ...]) -> DataFr
         return F.max(F.when(is_object, F.col(c))).alias(c if c != "label" else "field")
 
     pivoted = [F.max(F.when(~is_object & (F.col("label") == f), F.col("scalar"))).alias(f) for f in fields]
-    out = rows.groupBy("raw_id", "doc", owner.alias("node")).agg(*(own(c) for c in ("parent", "label", "ordinal", "path", "parent_path")), *pivoted)
+    described = ["parent", "label", "ordinal", "path", "parent_path", *([] if isinstance(roles, str) else ["role"])]
+    out = rows.groupBy("raw_id", "doc", owner.alias("node")).agg(*map(own, described), *pivoted)
     return out.where(F.col("path").isNotNull())
 
 
@@ -171,11 +172,10 @@ def messages(adjacency: DataFrame) -> DataFrame:
 
 
 def parent_links(adjacency: DataFrame) -> DataFrame:
-    """(raw_id, parent_path, child_path) of contacts in targets and cc, of attachments and of embedded messages."""
-    parts = [
-        contacts(adjacency).where(F.col("field").isin("targets", "cc")),
-        attachments(adjacency),
-        messages(adjacency).where(F.col("parent_path").isNotNull()),
-    ]
-    links = [p.select("raw_id", "parent_path", F.col("path").alias("child_path")) for p in parts]
-    return links[0].unionByName(links[1]).unionByName(links[2]).distinct()
+    """(raw_id, parent_path, child_path) of contacts in targets and cc, of attachments and of embedded messages.
+
+    All three entity tables come from one aggregate, so the payloads are read once.
+    """
+    all_of = entities(adjacency, ("contact", "attachment", "message"), (*CONTACT_FIELDS, *ATTACHMENT_FIELDS, *MESSAGE_FIELDS))
+    linked = F.when(F.col("role") == "contact", F.col("field").isin("targets", "cc")).otherwise(F.col("parent_path").isNotNull())
+    return all_of.where(linked).select("raw_id", "parent_path", F.col("path").alias("child_path")).distinct()
