@@ -9,9 +9,10 @@ Three sources of evidence mark lines that the sender did not newly write:
   whose union is exactly what an automaton of all earlier messages would match;
 * the layout of quoting: quote marks, introducing lines and header blocks.  Most
   quoted messages are not themselves rows, so the automaton alone can't find them;
-* endings: what follows the closing formula or a signature delimiter, mobile footers,
-  and paragraphs whose sentences recur at the end of many messages of their sender, of
-  the sender's domain or of everyone.
+* endings: lines that recur behind the closing formulas, or at the very end, of several
+  messages of their sender; then what follows the closing formula or a signature
+  delimiter, mobile footers, and paragraphs whose sentences recur at the end of many
+  messages of their sender, of the sender's domain or of everyone.
 
 Defined results: null and empty texts have no lines; blank lines belong to nothing;
 closing formulas and a bare given name below them are the sender's; copies of one
@@ -41,6 +42,9 @@ INHERITED = 15
 RUN = 250
 #: A sentence is a recurring ending of a sender, a domain or everyone if it ends this share of their messages, and so many.
 ENDING_SHARE, ENDING_LEAST = 0.001, 8
+#: A line belongs to a sender's ending if it stands behind the closing formula in so many different messages of the sender,
+#: or at the end of so many without a closing formula, and in this share of the sender's messages.
+LINE_CLOSED, LINE_OPEN, LINE_SHARE = 2, 3, 0.02
 FLUSH = 100_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -356,6 +360,55 @@ def learn_endings(texts: DataFrame) -> tuple[frozenset[str], DataFrame]:
     return frozenset(r["sentence"] for r in rows), persisted(theirs.groupBy("sender").agg(F.collect_set("sentence").alias("endings")), "theirs")
 
 
+def ending_lines(text: str) -> Iterator[tuple[int, int, int, str]]:
+    """(part, place, line number, words) of the lines that may be an ending, part by part of what the layout leaves.
+
+    Behind a closing formula, and a bare given name right below it, every line may, place -1.  A part without a closing
+    formula is told from its end, place 0 on.
+    """
+    lines = [x.strip() for x in text.split("\n")]
+    for part, (i, j) in enumerate(_segments(lines, quoted(lines))):
+        full = [k for k in range(i, j) if lines[k]]
+        closed = next((n for n in range(len(full) - 1, -1, -1) if _closing(lines[full[n]], n == 0 and len(full) > 2)), None)
+        if closed is None:
+            spoken = [(k, w) for k in reversed(full) if (w := " ".join(words(lines[k])))]
+            yield from ((part, place, k, w) for place, (k, w) in enumerate(spoken))
+            continue
+        below = full[closed + 1 :]
+        if below and below[0] == full[closed] + 1 and _GIVEN.match(lines[below[0]]) and not _NAME.match(lines[below[0]]):
+            below = below[1:]
+        yield from ((part, -1, k, w) for k in below if (w := " ".join(words(lines[k]))))
+
+
+def sender_endings(texts: DataFrame) -> DataFrame:
+    """(record_id, att_pos, line_no) of the lines that recur at the end of different messages of one sender.
+
+    Lines travel as hashes under (sender, line), never whole texts, and are counted before they meet; a part without a
+    closing formula is an ending as far as its lines, from the end upwards, recur without a gap.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cols: list[list[int]] = [[] for _ in range(8)]
+            for sender, own, r, a, t in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for part, place, k, w in ending_lines(t):
+                    for c, x in zip(cols, (sender, _line_hash(w), own, r, a, part, place, k), strict=True):
+                        c.append(x)
+            types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=["sender", "line", "own", "record_id", "att_pos", "part", "place", "line_no"])
+
+    asked = texts.where("sender != ''").select(F.xxhash64("sender").alias("sender"), F.xxhash64("text").alias("own"), "record_id", "att_pos", "text")
+    totals = asked.groupBy("sender").agg(F.countDistinct("own").alias("messages"))
+    lines = persisted(asked.select("sender", "own", "record_id", "att_pos", "text").mapInArrow(run, "sender long, line long, own long, record_id long, att_pos long, part int, place int, line_no long"), "ending-lines")
+    counted = lines.groupBy("sender", "line").agg(F.countDistinct("own").alias("n")).where(F.col("n") >= LINE_CLOSED)
+    recurring = counted.join(totals, "sender").where(F.col("n") >= F.lit(LINE_SHARE) * F.col("messages")).select("sender", "line", "n")
+    met = lines.join(recurring, ["sender", "line"])
+    closed = met.where("place < 0").select("record_id", "att_pos", "line_no")
+    ends = met.where((F.col("place") >= 0) & (F.col("n") >= LINE_OPEN)).groupBy("record_id", "att_pos", "part").agg(F.array_sort(F.collect_set(F.struct("place", "line_no"))).alias("found"))
+    unbroken = F.filter("found", lambda x, i: x["place"] == i)
+    return closed.unionByName(ends.select("record_id", "att_pos", F.explode(unbroken).alias("x")).select("record_id", "att_pos", "x.line_no"))
+
+
 class WordAutomaton:
     """Generalised suffix automaton over the words of the messages added so far."""
 
@@ -416,6 +469,10 @@ class WordAutomaton:
         return out
 
 
+def _line_hash(line: str) -> int:
+    return int.from_bytes(hashlib.blake2b(line.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
 @lru_cache(100_000)
 def _word_hash(word: str) -> int:
     return int.from_bytes(hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
@@ -535,7 +592,7 @@ def foreign_lines(emails: DataFrame) -> DataFrame:
     keyed = texts.select("record_id", "att_pos", "thread", F.md5("text").alias("key"))
     heads = found.join(keyed, ["record_id", "att_pos"]).select("thread", "key", "line_no")
     passed_on = keyed.join(heads, ["thread", "key"]).select("record_id", "att_pos", "line_no")
-    return by_layout.unionByName(passed_on).distinct()
+    return by_layout.unionByName(passed_on).unionByName(sender_endings(texts)).distinct()
 
 
 def own_texts(emails: DataFrame) -> DataFrame:

@@ -194,6 +194,21 @@ def test_endings_of_a_sender_and_of_a_firm_in_a_large_table(spark):
     assert got == [(n, 0, 5) for n in range(18)]
 
 
+def test_endings_that_recur_with_a_sender(spark):
+    def mail(n, address, text):
+        return email(n, f"s{n}", [att(text, True)], ("raw", "A", address), [("raw", "B", "b@x.fr")])
+
+    sign = "Cordialement,\nJean\n\nau service des jardins et des parcs de la ville depuis cinquante ans,"
+    open_end = "Le compte rendu {} est joint.\nau service des jardins et des parcs de la ville,\nouvert du lundi au jeudi,"
+    mails = [mail(1, "j@a.fr", f"Un mot.\n\n{sign}\nbureau 12"), mail(2, "J@a.fr", f"Deux mots.\n\n{sign}\nbureau 14"), mail(3, "j@a.fr", f"Un mot.\n\n{sign}\nbureau 12"), mail(4, "x@b.fr", f"Un mot.\n\n{sign}"), mail(5, None, f"Un mot.\n\n{sign}")]
+    mails += [mail(n, "o@c.fr", open_end.format(n)) for n in (6, 7, 8)] + [mail(9, "o@c.fr", "au service des jardins et des parcs de la ville,\nsauf demain."), mail(10, None, None), mail(11, "o@c.fr", "")]
+    df = spark.createDataFrame(mails, EMAIL)
+    wanted = [(n, 0, 5) for n in (1, 2, 3)] + [(n, 0, i) for n in (6, 7, 8) for i in (1, 2)]
+    assert sorted(set(rows(replies.sender_endings(replies.bodies(df)), "record_id", "att_pos", "line_no"))) == wanted
+    assert set(wanted) <= set(rows(replies.foreign_lines(df), "record_id", "att_pos", "line_no"))
+    assert replies.sender_endings(replies.bodies(df.limit(0))).count() == 0
+
+
 def test_word_automaton_against_brute_force():
     r = random.Random(3)
     for _ in range(60):
