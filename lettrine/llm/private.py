@@ -8,7 +8,9 @@ back, so what is reported and replaced are exactly the characters of the text.
 
 Given names are learned from the contacts of the corpus: words that pair with several
 different other words and mostly stand before them, or with very many in any order.
-The list holds given names only and is broadcast; the texts are not shuffled.
+The words before and after names are learned from the texts: what stands where known
+given names with surnames stand decides where names in lower case, surnames before
+given names and initials may begin.  The lists are broadcast; the texts are not shuffled.
 
 Defined results: null and empty texts hold nothing and come out as they are; of
 overlapping finds the earlier kind in the order id_number, email, phone,
@@ -19,18 +21,24 @@ repeated rows count once; texts of any length are read whole.
 from __future__ import annotations
 
 import re
+import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lettrine.llm.base import folded
+from lettrine.llm.base import folded, persisted
 
 KINDS = ("id_number", "email", "phone", "street_address", "person_name")
 PLACEHOLDERS = {"id_number": "[ID_NUMBER]", "email": "[EMAIL]", "phone": "[PHONE]", "street_address": "[ADDRESS]", "person_name": "[NAME]"}
 #: A word is a given name if it pairs with so many different words and stands first in as many pairs as last, or holds this share of all pairs.
 PAIRS_LEAST, PAIRS_SHARE = 5, 0.0003
+#: Two words are a context of names if so many full names stand behind them, and this share of the capitalised words there.
+CONTEXT_LEAST, CONTEXT_SHARE = 5, 0.25
+#: A word follows names if it stands behind so many full names, and behind this share of all.
+AFTER_LEAST, AFTER_SHARE = 5, 0.003
 
 # ---------------------------------------------------------------- plain form
 
@@ -157,20 +165,50 @@ _NOT_NAME = frozenset(
     "september october november december cordialement best regards kind many thanks yours sincerely bien salutations cdlt bonne notre sauf par pour selon sous sans suite apres avant des malgre faute comme since after before as if our all page note piece identity document".split()
 )
 _CAPITAL = re.compile(r"(?<![\w@.'’+-])[A-ZÀ-ÖØ-Þ](?:\.-?[A-ZÀ-Þ]\.|[\w'’-]*\.?)")
-_LOWER_CONTEXT = re.compile(
-    rf"(?:au{_WS}nom{_WS}de|prévue{_WS}avec|adressée{_WS}à|remise{_WS}par|\(demander|\(ask{_WS}for|joindre|[Ll]'occupante?,|[Tt]he{_WS}occupant,|dossier{_WS}de|file{_WS}of|can{_WS}reach|name{_WS}of|planned{_WS}with|sent{_WS}to|handed{_WS}in{_WS}by|[:,>|]|^|\.|\n){_WS}?"
-    rf"(?P<name>[a-zà-ÿ][a-zà-ÿ-]+{_WS}[a-zà-ÿ][a-zà-ÿ'’-]{{2,}})(?={_WS}?(?:[.,;)<(\[]|à{_WS}l|at{_WS}the|on{_WS}[+(\d]|au{_WS}[+(\d]|nous{_WS}rappellera|will{_WS}call|$|\r?\n))"
-)
+#: Words in lower case, and marks and words before a name.
+_LOWER = re.compile(r"(?<![\w@.'’-])[a-zà-ÿ][a-zà-ÿ'’-]+(?![\w@'’-])")
+_BEFORE = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?|[:(,]")
+_AFTER = re.compile(r"\s*([^\W\d_]+|[^\w\s])?")
 _INITIALS = re.compile(r"[A-ZÀ-Þ]\.(?:-?[A-ZÀ-Þ]\.)?")
 _SHOWN_BEFORE = re.compile(r"(?:^|[\n:>|]|\d,|\bà|\bto|,)[ \t>|*]*\"?((?:[^\W\d_][\w'’.-]*[ \t]+){1,3}(?:[^\W\d_][\w'’.-]*))\"?[ \t]*$")
 
 
+_ONE_GAP = re.compile(_WS)
+SLOTS = 1 << 20
+
+
+def slot(context: str) -> int:
+    return zlib.crc32(context.encode("utf-8", "surrogatepass")) & (SLOTS - 1)
+
+
+def context_before(text: str, a: int) -> str | None:
+    """The two words or marks before a place, in lower case; None if no two stand there, or no blank after them."""
+    pre = text[max(0, a - 48) : a]
+    stripped = pre.rstrip(" \t\r\n>|")
+    if not stripped or stripped == pre or not (stripped[-1].isalpha() or stripped[-1] in ":(,"):
+        return None
+    tokens = _BEFORE.findall(stripped)[-2:]
+    return " ".join(tokens).lower() if len(tokens) == 2 else None
+
+
 class Names:
-    """Detector of personal names with a list of given names."""
+    """Detector of personal names with a list of given names, slots of the words before names and words after names."""
 
-    def __init__(self, given: frozenset[str]):
-        self.given = given
+    def __init__(self, given: frozenset[str], contexts: frozenset[int] = frozenset(), after: frozenset[str] = frozenset()):
+        self.given, self.contexts, self.after = given, contexts, after
         self._kinds: dict[str, str] = {}
+        self._lower: dict[str, bool] = {}
+
+    def certain(self, text: str) -> Iterator[tuple[int, int, bool]]:
+        """(begin, end, whether it is a given name with a surname) of each capitalised word or name behind a blank."""
+        found = [(m.start(), m.end(), m[0]) for m in _CAPITAL.finditer(text)]
+        for i, (a, b, token) in enumerate(found):
+            sure = False
+            if i + 1 < len(found) and self.kind(token) == "g" and not token.endswith("."):
+                c, d, nxt = found[i + 1]
+                if text[b:c] in (" ", "\n") and self.kind(nxt) == "" and len(nxt.strip(".")) > 1:
+                    sure, b = True, d - nxt.endswith(".")
+            yield a, b, sure
 
     def kind(self, token: str) -> str:
         """g(iven), t(itle), i(nitial), o(rganisation or place), x (never part of a name) or '' of a capitalised word."""
@@ -272,22 +310,40 @@ class Names:
         rest = text[b : len(text) if stop < 0 else stop].strip()
         return not text[start:a].strip(" >|\t") and rest in ("", ",", ".")
 
-    _TOLD = re.compile(r"(?:nom de|avec|adressée à|remise par|demander|ask for|joindre|occupante?,|dossier de|file of|reach|name of|with|sent to|in by|:)\s*$")
-
     def _starts(self, text: str, a: int) -> bool:
         """A name may begin here: after words that name someone, at a line or sentence start."""
         start = text.rfind("\n", 0, a) + 1
         return not text[start:a].strip(" >|\t") or text[max(0, a - 2) : a] == ". " or self._told(text, a)
 
     def _told(self, text: str, a: int) -> bool:
-        return bool(self._TOLD.search(text, max(0, a - 24), a))
+        """Behind words after which names mostly stand in this corpus, or a colon."""
+        context = context_before(text, a)
+        return context is not None and (context.endswith(" :") or slot(context) in self.contexts)
+
+    def _is_given(self, word: str) -> bool:
+        known = self._lower.get(word)
+        if known is None:
+            if len(self._lower) > 300_000:
+                self._lower.clear()
+            known = self._lower[word] = len(word) > 2 and folded(word) in self.given
+        return known
+
+    def in_lower_case(self, text: str) -> Iterator[tuple[int, int]]:
+        """Two words in lower case, one of them a given name, where a name may begin and end."""
+        found = [(m.start(), m.end(), m[0]) for m in _LOWER.finditer(text)]
+        for (a, b, one), (c, d, two) in zip(found, found[1:], strict=False):
+            if len(two) < 3 or not (self._is_given(one) or self._is_given(two)) or not _ONE_GAP.fullmatch(text, b, c):
+                continue
+            ahead = text[max(0, a - 8) : a].rstrip(" \t>|")
+            if ahead and ahead[-1] not in ":,.\n" and not self._told(text, a):
+                continue
+            m = _AFTER.match(text, d)
+            if m[1] is None or "\n" in m[0] or m[1] in ".,;)<([" or m[1].lower() in self.after:
+                yield a, d
 
     def others(self, text: str, emails: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
-        """Names in lower case, with initials, and before an e-mail address in brackets."""
-        for m in _LOWER_CONTEXT.finditer(text):
-            parts = folded(m["name"]).split()
-            if parts[0] in self.given and len(parts[0]) > 2 or parts[-1] in self.given and len(parts[-1]) > 2:
-                yield m.span("name")
+        """Names in lower case, and before an e-mail address in brackets."""
+        yield from self.in_lower_case(text)
         for a, _ in emails:
             if a and text[a - 1] in "<([":
                 m = _SHOWN_BEFORE.search(text, max(0, a - 90), a - 1)
@@ -392,6 +448,48 @@ def learn_given(emails: DataFrame) -> frozenset[str]:
     return frozenset(r["word"] for r in rows if r["word"] not in titles and r["word"] not in _NOT_PERSON)
 
 
+def learn_contexts(texts: DataFrame, given: frozenset[str]) -> Names:
+    """The detector with the words that stand before and after names in the texts.
+
+    Two words are a context of names if, of the capitalised words behind them, so many and such a share are full names
+    (a known given name with a surname).  Contexts are kept as slots of a table of fixed size.  A word follows names if it
+    stands behind such a share of all full names.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast(Names(given))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = shared.value
+        hits: Counter = Counter()
+        total: Counter = Counter()
+
+        def told() -> pa.RecordBatch:
+            keys = list(total)
+            cols = ([k[0] for k in keys], [k[1] for k in keys], [slot(k[1]) for k in keys], [hits[k] for k in keys], [total[k] for k in keys])
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.string(), pa.int32(), pa.int64(), pa.int64()), strict=True)], names=["side", "context", "slot", "hits", "total"])
+
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                for a, b, sure in names.certain(text):
+                    if (c := context_before(text, a)) is not None:
+                        total["before", c] += 1
+                        hits["before", c] += sure
+                    if sure:
+                        m = _AFTER.match(text, b)
+                        key = ("after", m[1].lower() if m[1] and m[1].isalpha() and "\n" not in m[0] else "")
+                        total[key] += 1
+                        hits[key] += 1
+            if len(total) > 200_000:
+                yield told()
+                hits, total = Counter(), Counter()
+        yield told()
+
+    sums = persisted(texts.where(F.length("text") > 0).select("text").mapInArrow(run, "side string, context string, slot int, hits long, total long").groupBy("side", "context", "slot").agg(F.sum("hits").alias("hits"), F.sum("total").alias("total")), "contexts")
+    before = sums.where(f"side = 'before' and hits >= {CONTEXT_LEAST} and hits >= {CONTEXT_SHARE} * total").select("slot").distinct().collect()  # no more than SLOTS
+    full = sums.where("side = 'after'").agg(F.sum("hits")).first()[0] or 0
+    after = sums.where(f"side = 'after' and context <> '' and hits >= {max(AFTER_LEAST, AFTER_SHARE * full)}").select("context").collect()  # no more than 1 / AFTER_SHARE
+    return Names(given, frozenset(r[0] for r in before), frozenset(r[0] for r in after))
+
+
 def texts_of(emails: DataFrame, uploads: DataFrame) -> DataFrame:
     """(origin, row_id, field, text) of all texts."""
     each = F.transform(F.coalesce("attachments", F.array()), lambda a, i: F.struct(F.concat(F.lit("attachments["), i.cast("string"), F.lit("].extracted_text")).alias("field"), a["extracted_text"].alias("text")))
@@ -401,9 +499,9 @@ def texts_of(emails: DataFrame, uploads: DataFrame) -> DataFrame:
     return mails.unionByName(files)
 
 
-def found(texts: DataFrame, given: frozenset[str]) -> DataFrame:
+def found(texts: DataFrame, names: Names) -> DataFrame:
     """(origin, row_id, field, kind, pii_text): one row for each different value in a text."""
-    shared = texts.sparkSession.sparkContext.broadcast(Names(given))
+    shared = texts.sparkSession.sparkContext.broadcast(names)
     schema = "origin string, row_id long, field string, kind string, pii_text string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -420,9 +518,9 @@ def found(texts: DataFrame, given: frozenset[str]) -> DataFrame:
     return texts.where(F.length("text") > 0).mapInArrow(run, schema).distinct()
 
 
-def without_private(texts: DataFrame, given: frozenset[str]) -> DataFrame:
+def without_private(texts: DataFrame, names: Names) -> DataFrame:
     """(origin, row_id, field, text) with placeholders for all values."""
-    shared = texts.sparkSession.sparkContext.broadcast(Names(given))
+    shared = texts.sparkSession.sparkContext.broadcast(names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -12,14 +12,18 @@ from lettrine.llm.base import table
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _private(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, private.Names]:
     emails = table(spark, sf_dir, "parsed_emails")
-    return private.found(private.texts_of(emails, table(spark, sf_dir, "dropbox_uploads")), private.learn_given(emails))
+    texts = private.texts_of(emails, table(spark, sf_dir, "dropbox_uploads"))
+    return texts, private.learn_contexts(texts, private.learn_given(emails))
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return private.found(*_private(spark, sf_dir))
 
 
 def p2_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    emails = table(spark, sf_dir, "parsed_emails")
-    return private.without_private(private.texts_of(emails, table(spark, sf_dir, "dropbox_uploads")), private.learn_given(emails))
+    return private.without_private(*_private(spark, sf_dir))
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -72,6 +72,19 @@ def test_given_names_of_a_large_archive(spark):
     assert "wilfrid" in got and "martin" not in got and "rarissime" not in got
 
 
+def test_contexts_of_names_are_learned(spark):
+    given = ["anna", "paul", "lucie", "marc"]
+    texts = [f"Bilan {n}\nLe registre fut contresigné par {given[n % 4].title()} Sur{chr(97 + n)}no hier. Vu par Anvers et Lille. Le dossier de Bruges suit." for n in range(20)]
+    df = spark.createDataFrame([email(n, atts=[att(t), att(None), att("")]) for n, t in enumerate(texts)], EMAIL)
+    t = private.texts_of(df, spark.createDataFrame([], "upload_id long, email_summary string, attachment_summary string"))
+    names = private.learn_contexts(t, frozenset(given))
+    assert private.slot("contresigné par") in names.contexts and not {private.slot(x) for x in ("vu par", "dossier de", "anvers et")} & names.contexts and names.after == {"hier"}
+    found = lambda x: [x[a:b] for a, b, _ in private.find(x, names)]
+    assert found("Note contresignée.\nL'acte contresigné par marc delorme hier soir, puis contresigné par Delorme Lucie.") == ["marc delorme", "Delorme Lucie"]
+    assert found("L'acte vu par marc delorme hier soir") == [] and found("") == [] == found("contresigné par") and found("acte contresigné par marc delorme demain") == []
+    assert private.learn_contexts(t, frozenset()).contexts == frozenset()
+
+
 @pytest.mark.parametrize(
     "text, wanted",
     [
@@ -113,10 +126,10 @@ def test_redaction(spark):
     e = spark.createDataFrame(rows_, EMAIL)
     u = spark.createDataFrame([(1, "a@b.test, a@b.test", None)], "upload_id long, email_summary string, attachment_summary string")
     t = private.texts_of(e, u)
-    given = frozenset({"x"})
+    given = private.Names(frozenset({"x"}))
     assert rows(private.found(t, given), "origin", "row_id", "field", "kind", "pii_text") == [("dropbox_uploads", 1, "email_summary", "email", "a@b.test"), ("parsed_emails", 1, "attachments[0].extracted_text", "phone", "06 39 98 43 75")]
     assert {(r["field"], r["text"]) for r in private.without_private(t, given).collect()} == {("attachments[0].extracted_text", "T [PHONE]"), ("attachments[1].extracted_text", None), ("attachments[2].extracted_text", ""), ("email_summary", "[EMAIL], [EMAIL]"), ("attachment_summary", None)}
-    assert private.found(t.limit(0), given).count() == 0 and private.learn_given(e.limit(0)) == frozenset()
+    assert private.found(t.limit(0), given).count() == 0 and private.learn_given(e.limit(0)) == frozenset() and private.learn_contexts(t.limit(0), frozenset()).contexts == frozenset()
 
 
 # ------------------------------------------------------------------ 4
