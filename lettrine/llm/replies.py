@@ -323,6 +323,11 @@ def bodies(emails: DataFrame) -> DataFrame:
     return emails.select(F.col("record_id").cast("long").alias("record_id"), F.explode(body).alias("b"), thread.alias("thread"), at.alias("at"), F.lower(F.trim(F.coalesce("author.address", F.lit("")))).alias("sender")).select("record_id", "b.att_pos", "b.text", "thread", "at", "sender")
 
 
+def places(texts: DataFrame) -> DataFrame:
+    """(record_id, att_pos, thread, at, sender, key) of the bodies, without their texts, written once."""
+    return persisted(texts.select("record_id", "att_pos", "thread", "at", "sender", F.md5("text").alias("key")), "bodies")
+
+
 def learn_endings(texts: DataFrame) -> tuple[frozenset[str], DataFrame]:
     """Sentences that end ``ENDING_SHARE`` of all messages, a list bounded by that share; (sender, endings) of the
     other ones that end this share of the messages of the sender or of the sender's domain."""
@@ -380,7 +385,7 @@ def ending_lines(text: str) -> Iterator[tuple[int, int, int, str]]:
         yield from ((part, -1, k, w) for k in below if (w := " ".join(words(lines[k]))))
 
 
-def sender_endings(texts: DataFrame) -> DataFrame:
+def sender_endings(texts: DataFrame, placed: DataFrame | None = None) -> DataFrame:
     """(record_id, att_pos, line_no) of the lines that recur at the end of different messages of one sender.
 
     Lines travel as hashes under (sender, line), never whole texts, and are counted before they meet; a part without a
@@ -398,8 +403,8 @@ def sender_endings(texts: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=["sender", "line", "own", "record_id", "att_pos", "part", "place", "line_no"])
 
     asked = texts.where("sender != ''").select(F.xxhash64("sender").alias("sender"), F.xxhash64("text").alias("own"), "record_id", "att_pos", "text")
-    totals = asked.groupBy("sender").agg(F.countDistinct("own").alias("messages"))
-    lines = persisted(asked.select("sender", "own", "record_id", "att_pos", "text").mapInArrow(run, "sender long, line long, own long, record_id long, att_pos long, part int, place int, line_no long"), "ending-lines")
+    totals = (placed or places(texts)).where("sender != ''").groupBy(F.xxhash64("sender").alias("sender")).agg(F.countDistinct("key").alias("messages"))
+    lines = persisted(asked.mapInArrow(run, "sender long, line long, own long, record_id long, att_pos long, part int, place int, line_no long"), "ending-lines")
     counted = lines.groupBy("sender", "line").agg(F.countDistinct("own").alias("n")).where(F.col("n") >= LINE_CLOSED)
     recurring = counted.join(totals, "sender").where(F.col("n") >= F.lit(LINE_SHARE) * F.col("messages")).select("sender", "line", "n")
     met = lines.join(recurring, ["sender", "line"])
@@ -545,7 +550,7 @@ def _from_earlier_runs(whole: DataFrame) -> DataFrame:
     return held.join(first, ["thread", "seq"]).where("run > first").select("thread", "run", "seq")
 
 
-def inherited(texts: DataFrame) -> DataFrame:
+def inherited(texts: DataFrame, placed: DataFrame | None = None) -> DataFrame:
     """(record_id, att_pos, line_no) of lines inherited from earlier messages of their thread.
 
     The place of a message in its thread comes from a range-partitioned sort with
@@ -553,14 +558,14 @@ def inherited(texts: DataFrame) -> DataFrame:
     sorted by many tasks; it is then handled in runs of ``RUN`` messages, which meet
     all earlier runs through the word sequences that they share.
     """
-    once = texts.groupBy("thread", F.md5("text").alias("key")).agg(F.min(F.struct("at", "record_id", "att_pos")).alias("m"))
+    once = (placed or places(texts)).groupBy("thread", "key").agg(F.min(F.struct("at", "record_id", "att_pos")).alias("m"))
     several = once.groupBy("thread").agg(F.count("*").alias("n")).where("n > 1")
     heads = once.join(several, "thread").select("thread", "m.at", "m.record_id", "m.att_pos", (F.col("n") > RUN).alias("long"))
     ranged = persisted(heads.repartitionByRange("thread", "at", "record_id").sortWithinPartitions("thread", "at", "record_id").withColumn("part", F.spark_partition_id()), "threads")
     sizes = ranged.groupBy("thread", "part").agg(F.count("*").alias("n"))
     before = sizes.withColumn("offset", F.coalesce(F.sum("n").over(W.partitionBy("thread").orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).drop("n")
-    placed = ranged.withColumn("k", F.row_number().over(W.partitionBy("part", "thread").orderBy("at", "record_id", "att_pos"))).join(before, ["thread", "part"]).withColumn("place", F.col("offset") + F.col("k") - 1)
-    runs = placed.select("thread", "record_id", "att_pos", "place", "long", F.floor(F.col("place") / RUN).cast("long").alias("run"))
+    numbered = ranged.withColumn("k", F.row_number().over(W.partitionBy("part", "thread").orderBy("at", "record_id", "att_pos"))).join(before, ["thread", "part"]).withColumn("place", F.col("offset") + F.col("k") - 1)
+    runs = numbered.select("thread", "record_id", "att_pos", "place", "long", F.floor(F.col("place") / RUN).cast("long").alias("run"))
     whole = runs.join(texts.select("record_id", "att_pos", "text"), ["record_id", "att_pos"])
     schema = "record_id long, att_pos long, line_no long"
     if ranged.where("long").isEmpty():
@@ -572,6 +577,7 @@ def inherited(texts: DataFrame) -> DataFrame:
 def foreign_lines(emails: DataFrame) -> DataFrame:
     """(record_id, att_pos, line_no) of the non-blank lines that the sender did not newly write."""
     texts = bodies(emails)
+    placed = places(texts)
     everyone, theirs = learn_endings(texts)
     recurring = emails.sparkSession.sparkContext.broadcast(everyone)
 
@@ -588,11 +594,11 @@ def foreign_lines(emails: DataFrame) -> DataFrame:
 
     by_layout = texts.join(theirs, "sender", "left").select("record_id", "att_pos", "text", "endings").mapInArrow(run, "record_id long, att_pos long, line_no long")
     # heads of threads with equal texts answer for their copies
-    found = inherited(texts)
-    keyed = texts.select("record_id", "att_pos", "thread", F.md5("text").alias("key"))
+    keyed = placed.select("record_id", "att_pos", "thread", "key")
+    found = inherited(texts, placed)
     heads = found.join(keyed, ["record_id", "att_pos"]).select("thread", "key", "line_no")
     passed_on = keyed.join(heads, ["thread", "key"]).select("record_id", "att_pos", "line_no")
-    return by_layout.unionByName(passed_on).unionByName(sender_endings(texts)).distinct()
+    return by_layout.unionByName(passed_on).unionByName(sender_endings(texts, placed)).distinct()
 
 
 def own_texts(emails: DataFrame) -> DataFrame:
