@@ -101,5 +101,24 @@ def queries() -> dict[str, Query]:
     return {f.__name__: f for f in named}
 
 
+def _grams(name: str, key: str) -> str:
+    """SQL: the runs of 12 words of the texts of a table."""
+    return f"SELECT DISTINCT {key}, md5(array_to_string(w[k : k + 11], ' ')) AS g FROM (SELECT {key}, w, unnest(range(1, len(w) - 10)) AS k FROM (SELECT {key}, regexp_extract_all(strip_accents(lower(text)), '[\\p{{L}}\\p{{N}}]+') AS w FROM {name}))"
+
+
+_LEAKS = f"SELECT DISTINCT doc_id, item_id FROM ({_grams('documents', 'doc_id')}) JOIN ({_grams('eval_items', 'item_id')}) USING (g)"
+_WINDOWS = "w AS (SELECT DISTINCT doc_id, md5(substring(text, k, 400)) AS g FROM (SELECT doc_id, text, unnest(range(1, length(text) - 398)) AS k FROM documents WHERE length(text) >= 400))"
+_SHARED = f"WITH {_WINDOWS} SELECT DISTINCT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM w a JOIN w b ON a.g = b.g AND a.doc_id < b.doc_id"
+_SHARED_CHARS = """
+WITH p AS (SELECT doc_id, text, unnest(range(1, length(text) - 398)) AS k FROM documents WHERE length(text) >= 400),
+w AS (SELECT doc_id, k, md5(substring(text, k, 400)) AS g FROM p),
+shared AS (SELECT doc_id, k, lag(k) OVER (PARTITION BY doc_id ORDER BY k) AS before FROM w JOIN (SELECT g FROM w GROUP BY g HAVING count(DISTINCT doc_id) > 1) USING (g)),
+sums AS (SELECT doc_id, sum(CASE WHEN before IS NULL THEN 400 ELSE least(400, k - before) END)::BIGINT AS n FROM shared GROUP BY doc_id)
+SELECT doc_id, n_chars, shared_chars, CASE WHEN n_chars > 0 THEN shared_chars / n_chars ELSE 0.0 END AS shared_share FROM (
+  SELECT doc_id, coalesce(length(text), 0) AS n_chars, coalesce(n, 0) AS shared_chars FROM documents LEFT JOIN sums USING (doc_id))
+"""
+_MEMBERS = "SELECT doc_id, min(doc_id) OVER (PARTITION BY text) AS rep FROM documents WHERE length(text) >= 400"
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"p8_found": _LEAKS, "p10_found": _SHARED, "p10_shared": _SHARED_CHARS, "p10_members": _MEMBERS}
