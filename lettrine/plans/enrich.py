@@ -180,6 +180,33 @@ def run(rows: DataFrame, spec: Spec, model_factory: Callable[[], Model], retries
     return outputs, failures
 
 
+def remote_model(key: str, base: str, transport: Callable[[str, str, dict[str, str], bytes], tuple[int, bytes]]) -> Callable[[], Model]:
+    """A model behind an HTTP service: files are uploaded first and named in the request by their ids."""
+
+    def ask(path: str, headers: dict[str, str], body: bytes) -> dict:
+        status, answer = transport("POST", f"{base.rstrip('/')}/{path}", {"Authorization": f"Bearer {key}"} | headers, body)
+        if not 200 <= status < 300:
+            raise ServiceError(status, answer.decode("utf-8", "replace"))
+        return json.loads(answer)
+
+    def upload(name: str, data: bytes) -> str:
+        mark = f"part-{zlib.crc32(data):08x}-{len(data)}"
+        shown = name.replace('"', "%22").replace("\r", " ").replace("\n", " ")
+        body = f'--{mark}\r\nContent-Disposition: form-data; name="purpose"\r\n\r\nuser_data\r\n--{mark}\r\nContent-Disposition: form-data; name="file"; filename="{shown}"\r\n\r\n'.encode() + data + f"\r\n--{mark}--\r\n".encode()
+        return ask("files", {"Content-Type": f"multipart/form-data; boundary={mark}"}, body)["id"]
+
+    def factory() -> Model:
+        def model(request: dict) -> dict:
+            content = [{"type": "input_text", "text": request["prompt"]}, *({"type": "input_file", "file_id": upload(n, d)} for n, d in request.get("files", ()))]
+            form = {"type": "json_schema", "name": PREFIX, "strict": True, "schema": json.loads(request["schema"])}
+            asked = {"model": request["model"], "instructions": request["instructions"], "input": [{"role": "user", "content": content}], "text": {"format": form}, "prompt_cache_key": request["cache_key"]}
+            return ask("responses", {"Content-Type": "application/json"}, json.dumps(asked).encode())
+
+        return model
+
+    return factory
+
+
 def stub_model(spec: Spec) -> Callable[[], Model]:
     """A model without a network: the first folders, importance by length of the prompt."""
     main = next(iter(spec.taxonomy))

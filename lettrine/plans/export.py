@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lettrine.operators import dedup
+from lettrine.sources.files import Folder
 
 
 def files(rows: DataFrame) -> DataFrame:
@@ -23,28 +24,26 @@ def write(rows: DataFrame, base: str) -> DataFrame:
     """(folder, stem, position, error) after writing. A message whose files can't all be written keeps none of a failed document."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = Folder(base)
         for batch in batches:
             errors = []
             for r in batch.to_pylist():
-                folder = os.path.join(base, r["folder"], r["stem"])
+                folder = f"{r['folder']}/{r['stem']}"
                 done = []
                 try:
-                    os.makedirs(folder, exist_ok=True)
+                    out.make(folder)
                     parts = [(r["file_stem"] + ".json", r["json"].encode()), (r["file_stem"] + ".xml", r["xml"].encode())]
                     if r["content"] is not None:
                         suffix = os.path.splitext(r["name"])[1]
                         # a document named like a sidecar keeps its name under another suffix
                         parts.append((r["name"] + ".bin" if suffix.lower() in (".json", ".xml") else r["file_stem"] + suffix, r["content"]))
                     for name, data in parts:
-                        at = os.path.join(folder, name)
-                        with open(at + ".part", "wb") as f:
-                            f.write(data)
-                        os.replace(at + ".part", at)
-                        done.append(at)
+                        out.write(f"{folder}/{name}", data)
+                        done.append(f"{folder}/{name}")
                     errors.append(None)
                 except OSError as e:
                     for at in done:
-                        os.remove(at)
+                        out.remove(at)
                     errors.append(str(e))
             yield pa.RecordBatch.from_arrays([batch.column("folder"), batch.column("stem"), batch.column("position"), pa.array(errors, pa.string())], names=["folder", "stem", "position", "error"])
 

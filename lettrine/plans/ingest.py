@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from lettrine.functions import text as X
 from lettrine.operators import dedup
 from lettrine.plans import mime
+from lettrine.sources.files import Folder
 
 
 #: Columns of a message that its headers keep, and those that are read from it.
@@ -68,25 +69,24 @@ def named(rows: DataFrame, group: bool = True) -> DataFrame:
 
 
 def save(rows: DataFrame, base: str) -> DataFrame:
-    """(id, error) after writing the files; an id belongs into the index only once its file exists."""
+    """(id, error) after writing the files below ``base``, a mounted folder or a URI; an id belongs into the index only once
+    its file exists. The time of a file is that of its message where the file system can set it."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from email.utils import parsedate_to_datetime
 
+        out = Folder(base)
         for batch in batches:
             ids, errors = [], []
             for i, folder, name, content, date in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 ids.append(i)
                 try:
-                    target = os.path.join(base, folder)
-                    os.makedirs(target, exist_ok=True)
-                    at = os.path.join(target, name)
-                    with open(f"{at}.part", "wb") as f:
-                        f.write(content)
-                    os.replace(f"{at}.part", at)
+                    out.make(folder)
+                    out.write(f"{folder}/{name}", content)
                     try:
                         t = parsedate_to_datetime(date).timestamp()
-                        os.utime(at, (t, t))
+                        if out.local:
+                            os.utime(out.at(f"{folder}/{name}"), (t, t))
                     except (TypeError, ValueError, OverflowError):
                         pass
                     errors.append(None)

@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from lettrine import workspace
 from lettrine.operators import dedup, documents, ordering, shred, upsert
 from tests.conftest import SMALL
 
@@ -85,8 +86,22 @@ def test_upsert_is_idempotent_and_compaction_needs_no_shuffle(spark):
     plan = store.compacted()._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
     new = store.compact()
-    assert new.compacted().count() == 2
-    new.drop()
+    assert new.compacted().count() == 2 and not workspace.exists(spark, store.path)
+    # the next batch opens the store again
+    new.close()
+    again = upsert.RunStore(spark, buckets=9, path=new.path)
+    assert again.buckets == 4 and not again.empty
+    again.upsert(spark.createDataFrame([("a", 0), ("b", 9), ("c", 7)], "id string, v int").select("id", F.struct("v").alias("version")))
+
+    def shown(s):
+        assert "Exchange" not in s.compacted()._jdf.queryExecution().executedPlan().toString()
+        return sorted((r["id"], r["version"]["v"]) for r in s.compacted().collect())
+
+    assert shown(again) == [("a", 0), ("b", 5), ("c", 7)]
+    last = again.compact(f"{new.path}-2")
+    assert shown(last) == [("a", 0), ("b", 5), ("c", 7)] and not workspace.exists(spark, new.path)
+    last.remove()
+    assert not workspace.exists(spark, last.path) and upsert.RunStore(spark, path=last.path).empty
 
 
 # ------------------------------------------------------------------ dedup

@@ -10,7 +10,7 @@ from lettrine.functions import markup
 from lettrine.plans import enrich, filing, ingest, mime, parse, spec
 from lettrine.plans.pipeline import Run
 from lettrine.schemas import ATTACHMENT
-from lettrine.sources import archive, config, index, mailbox
+from lettrine.sources import archive, config, files, index, mailbox
 from lettrine.streaming import ingest as stream
 
 HEAD = "From: Alice <alice@example.org>\r\nTo: Bob <bob@example.org>\r\nSubject: Engagement\r\nDate: Tue, 17 Nov 2026 10:00:00 +0100\r\nMessage-ID: <test{n}@example.org>\r\nMIME-Version: 1.0\r\n"
@@ -338,6 +338,58 @@ def test_embedding_and_bodies(one):
     assert one(markup.embed_block(F.lit("x"), F.lit("3"))) == "x\n  <enrichment><![CDATA[3]]></enrichment>\n" and one(markup.embed_block(F.lit(None).cast("string"), F.lit("3"))) is None
 
 
+def test_remote_store():
+    calls = []
+
+    def transport(method, url, headers, body):
+        calls.append((url.rsplit("/files/", 1)[1], json.loads(headers.get("Dropbox-API-Arg", "null")), body))
+        if "create_folder" in url:
+            return 409, b'{"error_summary": "path/conflict/folder/."}'
+        if b"clash" in body:
+            return 409, b'{"error_summary": "path/conflict/file/."}'
+        return (500, b"") if b"down" in body else (200, b'{"session_id": "s"}')
+
+    s = filing.RemoteStore("t", "http://a", "http://c", transport, single_call=5, chunk=3)
+    s.ensure_folder("/x/y")
+    s.ensure_folder("/x/z")
+    assert [json.loads(c[2])["path"] for c in calls] == ["/x", "/x/y", "/x/z"]
+    calls.clear()
+    s.put("/é", b"12345")
+    s.put("/big", b"0123456789")
+    assert [(c[0], c[2]) for c in calls] == [("upload", b"12345"), ("upload_session/start", b"012"), ("upload_session/append_v2", b"345"), ("upload_session/append_v2", b"678"), ("upload_session/finish", b"9")]
+    assert [c[1]["cursor"]["offset"] for c in calls[2:]] == [3, 6, 9] and calls[-1][1]["commit"]["path"] == "/big"
+    with pytest.raises(filing.Conflict):
+        s.put("/a", b"clash")
+    with pytest.raises(OSError, match="status 500"):
+        s.put("/a", b"down")
+
+
+def test_remote_model():
+    calls = []
+
+    def transport(method, url, headers, body):
+        calls.append((url, body))
+        return (200, b'{"id": "f1"}') if url.endswith("/files") else (200, b'{"output_text": "{}"}') if len(calls) < 3 else (503, b"busy")
+
+    model = enrich.remote_model("k", "http://m/v1/", transport)()
+    request = {"model": "m", "instructions": "i", "prompt": "p", "schema": "{}", "cache_key": "c"}
+    assert model(request | {"files": [("a.png", b"\x00png")]}) == {"output_text": "{}"}
+    assert calls[0][0] == "http://m/v1/files" and b"\x00png" in calls[0][1] and json.loads(calls[1][1])["input"][0]["content"][1] == {"type": "input_file", "file_id": "f1"}
+    with pytest.raises(enrich.ServiceError) as e:
+        model(request)
+    assert e.value.retryable
+
+
+def test_folders_by_uri(tmp_path):
+    f = files.Folder(f"file://{tmp_path}/u")
+    f.make("a")
+    f.write("a/x", b"0123", chunk=3)
+    f.write("a/x", b"0123")
+    assert f.local and f.read("a/x") == b"0123" and f.exists("a") and not f.exists("b") and os.listdir(tmp_path / "u" / "a") == ["x"]
+    f.remove("a/x")
+    assert not f.exists("a/x")
+
+
 def test_header_json():
     assert filing.header_json({"path": "/é🔴"}) == '{"path":"/\\u00e9\\ud83d\\udd34"}'
 
