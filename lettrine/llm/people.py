@@ -311,10 +311,33 @@ def read_all(spellings: DataFrame, w: Words) -> DataFrame:
 
 #: A cell with more strings than this is split by pivots of its own, so many at a time, so often at most.
 CELL, PIVOTS, SPLITS = 4000, 16, 6
+#: Where names meet by halves a cell may be larger, as its names are not compared with each other.
+HALVED_CELL = 200_000
 #: Names within this edit distance meet.
 RADIUS = 2
 
 
+def _halves(value: Column, size: Column, n: Column) -> list[Column]:
+    """The first and the last letters of a string, of half the length ``n``, less one or two letters in the middle."""
+    h = F.floor((n - 1) / 2).cast("int")
+    return [F.struct(F.lit(side).alias("side"), n.cast("int").alias("n"), part.alias("half")) for side, part in (("a", F.substring(value, F.lit(1), h)), ("z", F.substring(value, size - h + 1, h)))]
+
+
+def slip_join(left: DataFrame, right: DataFrame, cell: int | None = None, pivots: int = PIVOTS) -> DataFrame:
+    """The pairs of ``radius_join`` that are equal, one edit apart or differ by two neighbours exchanged.
+
+    Such strings agree in the first or in the last half of the right one, whichever the slip spares, so inside a cell
+    they meet under that half and the length and large cells make no pairs of all their strings.
+    """
+    left_cells, right_cells = _cells(left, right, RADIUS, HALVED_CELL if cell is None else cell, pivots)
+    m, n = F.length("value"), F.length("value_r")
+    asked = left_cells.drop("far").withColumn("k", F.explode(F.flatten(F.array(*(F.array(*_halves(F.col("value"), m, F.greatest(m + d, F.lit(0)))) for d in (-1, 0, 1))))))
+    held = right_cells.drop("ring").withColumn("k", F.explode(F.array(*_halves(F.col("value_r"), n, n))))
+    met = asked.select("cell", "block", "value", "k.*").join(held.select("cell", "value_r", "k.*"), ["cell", "side", "n", "half"]).select("block", "value", "value_r").distinct()
+    apart = met.withColumn("apart", F.levenshtein("value", "value_r", RADIUS)).where("apart >= 0")
+    return apart.where((F.col("apart") == 0) | _slip(F.col("value"), F.col("value_r"), F.col("apart")))
+
+
 def radius_join(left: DataFrame, right: DataFrame, radius: int = RADIUS, cell: int | None = None, pivots: int = PIVOTS) -> DataFrame:
     """(block, value, value_r, apart): the pairs of equal ``block`` whose ``value`` strings lie within an edit distance of ``radius``.
 
@@ -327,7 +350,14 @@ def radius_join(left: DataFrame, right: DataFrame, radius: int = RADIUS, cell: i
     block's pivot in a cell that was never split), and a left string meets the rings
     within the radius.  Which pivots they are changes the work, never the result.
     """
-    most = CELL if cell is None else cell
+    left_cells, right_cells = _cells(left, right, radius, CELL if cell is None else cell, pivots)
+    spread = left_cells.withColumn("ring", F.explode(F.sequence(F.greatest(F.lit(0), F.col("far") - radius), F.col("far") + radius))).drop("far")
+    apart = F.levenshtein("value", "value_r", radius)
+    return spread.join(right_cells, ["cell", "ring"]).withColumn("apart", apart).where(F.col("apart") >= 0).select("block", "value", "value_r", "apart")
+
+
+def _cells(left: DataFrame, right: DataFrame, radius: int, most: int, pivots: int) -> tuple[DataFrame, DataFrame]:
+    """((block, value, cell, far), (value_r, cell, ring)): the cells of both sides, each with the distance to the cell's pivot."""
     r = right.select("block", F.col("value").alias("value_r")).where("block is not null and value_r is not null").distinct().withColumn("cell", F.col("block"))
     r = persisted(r, "cells")
     pivot_of = r.groupBy("cell").agg(F.min_by("value_r", F.xxhash64("value_r")).alias("pivot"), F.count("*").alias("n"))
@@ -360,11 +390,7 @@ def radius_join(left: DataFrame, right: DataFrame, radius: int = RADIUS, cell: i
         done_r.append(near_r.join(full, "cell", "left_anti"))
         done_left.append(reached.join(full, "cell", "left_anti"))
         r, left = near_r.select("value_r", "cell"), reached.select("block", "value", "cell")
-    right_cells = reduce(DataFrame.unionByName, done_r)
-    left_cells = reduce(DataFrame.unionByName, done_left)
-    spread = left_cells.withColumn("ring", F.explode(F.sequence(F.greatest(F.lit(0), F.col("far") - radius), F.col("far") + radius))).drop("far")
-    apart = F.levenshtein("value", "value_r", radius)
-    return spread.join(right_cells, ["cell", "ring"]).withColumn("apart", apart).where(F.col("apart") >= 0).select("block", "value", "value_r", "apart")
+    return reduce(DataFrame.unionByName, done_left), reduce(DataFrame.unionByName, done_r)
 
 
 def _edit(a: str, b: str) -> int:
@@ -428,18 +454,21 @@ def link(contacts: DataFrame) -> DataFrame:
 
     # everything meets here: typed names and names of entities
     person_block, firm_block, any_firm = F.concat_ws("|", F.lit("P"), "org"), F.concat_ws("|", F.lit("O"), "org"), F.lit("F")
-    named = told.select(person_block.alias("block"), F.col("typed").alias("value"))
-    named = named.unionByName(firms.select(F.when(F.col("org").isNotNull(), firm_block).otherwise(any_firm).alias("block"), F.col("typed").alias("value"))).unionByName(lookup.select("block", "value"))
-    known = told.select(person_block.alias("block"), F.col("surname").alias("value")).unionByName(orgs.select(F.explode(F.array(firm_block, any_firm)).alias("block"), F.col("org").alias("value")))
-    known = known.unionByName(summed.select("block", F.col("value_r").alias("value"))).unionByName(kin.select("block", F.col("value_r").alias("value")))
+    typed, org = F.col("typed").alias("value"), F.col("org").alias("value")
+    named = told.select(person_block.alias("block"), typed).unionByName(firms.where("org is not null").select(firm_block.alias("block"), typed))
+    known = told.select(person_block.alias("block"), F.col("surname").alias("value")).unionByName(orgs.select(firm_block.alias("block"), org))
     met = persisted(radius_join(named, known), "met")
+    # names without an organisation meet very many, so only those a slip apart
+    named = firms.where("org is null").select(any_firm.alias("block"), typed).unionByName(lookup.select("block", "value"))
+    known = orgs.select(any_firm.alias("block"), org).unionByName(summed.select("block", F.col("value_r").alias("value"))).unionByName(kin.select("block", F.col("value_r").alias("value")))
+    loosely = persisted(slip_join(named, known), "met-loosely")
 
     # names at an organisation: the address verifies which of the names met is meant
     settled = told.withColumn("block", person_block).withColumnRenamed("typed", "value").withColumnRenamed("surname", "value_r").join(met, ["block", "value", "value_r"]).select("form", "entity")
     of_firm = firms.where("org is not null").select("form", firm_block.alias("block"), F.col("typed").alias("value"), F.col("org").alias("value_r")).join(met, ["block", "value", "value_r"])
     of_firm = of_firm.select("form", F.concat(F.lit("o|"), "value_r").alias("entity"))
     strays = firms.where("org is null").select("form", "typed")
-    best = met.where("block = 'F'").where((F.col("apart") == 0) | _slip(F.col("value"), F.col("value_r"), F.col("apart"))).withColumn("rough", F.col("apart") > 0)
+    best = loosely.where("block = 'F'").withColumn("rough", F.col("apart") > 0)
     best = best.groupBy("value", "rough").agg(F.min("value_r").alias("lo"), F.max("value_r").alias("hi"))
     best = best.groupBy(F.col("value").alias("typed")).agg(F.min_by("lo", "rough").alias("lo"), F.min_by("hi", "rough").alias("hi"))
     stray_of = strays.join(best, "typed", "left").select("form", F.concat(F.lit("o|"), F.when(F.col("lo") == F.col("hi"), F.col("lo")).otherwise(F.col("typed"))).alias("entity"))
@@ -450,18 +479,17 @@ def link(contacts: DataFrame) -> DataFrame:
     def renamed(df: DataFrame) -> DataFrame:
         return df.select(*(F.col(c).alias(f"{c}_x") for c in ASKED), *(c for c in df.columns if c not in ASKED))
 
-    is_slip = _slip(F.col("value"), F.col("value_r"), F.col("apart"))
     may_slip = F.col("given").isNotNull() | ~F.col("known")
     surnames = people.select(F.col("surname").alias("value")).distinct().withColumn("known", F.lit(True))
-    meant = lookup.join(met, ["block", "value"]).join(summed, ["block", "value_r"]).join(surnames, "value", "left").withColumn("known", F.coalesce("known", F.lit(False)))
-    meant = meant.where((F.col("apart") == 0) | (is_slip & may_slip)).withColumn("rough", F.col("apart") > 0).withColumnRenamed("value", "surname")
+    meant = lookup.join(loosely, ["block", "value"]).join(summed, ["block", "value_r"]).join(surnames, "value", "left").withColumn("known", F.coalesce("known", F.lit(False)))
+    meant = meant.where((F.col("apart") == 0) | may_slip).withColumn("rough", F.col("apart") > 0).withColumnRenamed("value", "surname")
     meant = meant.groupBy(*ASKED, "rough").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     meant = persisted(meant.groupBy(*ASKED).agg(F.min_by("lo", "rough").alias("lo"), F.min_by("hi", "rough").alias("hi")), "meant")
 
     own = F.concat_ws("|", F.lit("n"), "at", "surname", F.coalesce(F.col("given"), F.concat(F.lit("~"), F.coalesce("initial", F.lit("?")))))
     alone = asked.where("given is not null").join(renamed(meant), ask, "left_anti").select("given", "at", "surname", "spellings").withColumn("block", _key("L", "given"))
     other = alone.select("block", F.col("surname").alias("value_r"), F.col("spellings").alias("spellings_r"))
-    pairs = met.where(F.col("block").startswith("L|")).where(is_slip).join(alone.withColumnRenamed("surname", "value"), ["block", "value"]).join(other, ["block", "value_r"])
+    pairs = loosely.where(F.col("block").startswith("L|") & (F.col("apart") > 0)).join(alone.withColumnRenamed("surname", "value"), ["block", "value"]).join(other, ["block", "value_r"])
     larger = pairs.where(F.struct("spellings_r", "value_r") > F.struct("spellings", "value")).groupBy("block", "value").agg(F.min("value_r").alias("lo"), F.max("value_r").alias("hi")).where("lo = hi")
     larger = persisted(larger.select("block", F.col("value").alias("surname"), F.col("lo").alias("larger")), "larger")  # a rare spelling joins the only more frequent one beside it
     twice = larger.select("block", F.col("surname").alias("larger"), F.col("larger").alias("largest"))

@@ -335,11 +335,23 @@ def test_radius_join_against_brute_force(spark):
     assert people.radius_join(left.limit(0), right).count() == people.radius_join(left, right.limit(0)).count() == 0
 
 
+def test_slip_join_against_brute_force(spark):
+    r = random.Random(6)
+    names = list(dict.fromkeys("".join(r.choice("abc") for _ in range(r.randint(0, 7))) for _ in range(160)))
+    side = lambda some: spark.createDataFrame([("x", n) for n in some], "block string, value string")
+    wanted = {("x", a, b, people._edit(a, b)) for a in names[:100] for b in names[50:] if a == b or people.damerau_is_one(a, b)}
+    for cell in (1000, 10):
+        got = people.slip_join(side(names[:100]), side(names[50:]), cell, 4).collect()
+        assert len(got) == len(set(got)) and {tuple(x) for x in got} == wanted
+    assert people.slip_join(side(["a"]).limit(0), side(["a"])).count() == 0
+
+
 def test_names_meet_in_the_radius_join_only(spark, monkeypatch):
     df = spark.read.parquet(f"{SMALL}/header_contacts.parquet")
     whole = people.linked_pairs(df).count()
     real = people.radius_join
     monkeypatch.setattr(people, "radius_join", lambda left, right: real(left, right.limit(0)))
+    monkeypatch.setattr(people, "slip_join", lambda left, right: real(left, right.limit(0)))
     assert people.linked_pairs(df).count() < 0.1 * whole
 
 
@@ -347,6 +359,7 @@ def test_cells_split_while_overfull_change_nothing(spark, monkeypatch):
     df = spark.read.parquet(f"{SMALL}/header_contacts.parquet")
     once = rows(people.link(df), "contact_id", "entity")
     monkeypatch.setattr(people, "CELL", 5)
+    monkeypatch.setattr(people, "HALVED_CELL", 40)
     assert rows(people.link(df), "contact_id", "entity") == once
 
 
