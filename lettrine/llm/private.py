@@ -169,6 +169,8 @@ _CAPITAL = re.compile(r"(?<![\w@.'’+-])[A-ZÀ-ÖØ-Þ](?:\.-?[A-ZÀ-Þ]\.|[\w'
 _LOWER = re.compile(r"(?<![\w@.'’-])[a-zà-ÿ][a-zà-ÿ'’-]+(?![\w@'’-])")
 _BEFORE = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?|[:(,]")
 _AFTER = re.compile(r"\s*([^\W\d_]+|[^\w\s])?")
+#: A display name before an address in brackets has at most so many characters.
+SHOWN_CHARS = 90
 _INITIALS = re.compile(r"[A-ZÀ-Þ]\.(?:-?[A-ZÀ-Þ]\.)?")
 _SHOWN_BEFORE = re.compile(r"(?:^|[\n:>|]|\d,|\bà|\bto|,)[ \t>|*]*\"?((?:[^\W\d_][\w'’.-]*[ \t]+){1,3}(?:[^\W\d_][\w'’.-]*))\"?[ \t]*$")
 
@@ -346,7 +348,7 @@ class Names:
         yield from self.in_lower_case(text)
         for a, _ in emails:
             if a and text[a - 1] in "<([":
-                m = _SHOWN_BEFORE.search(text, max(0, a - 90), a - 1)
+                m = _SHOWN_BEFORE.search(text, max(0, a - SHOWN_CHARS), a - 1)
                 if m and any(folded(p) in self.given for p in m[1].split()):
                     p, q = m.span(1)
                     tokens = [(x.start() + p, x.end() + p, x[0]) for x in re.finditer(r"\S+", m[1])]

@@ -45,6 +45,10 @@ ENDING_SHARE, ENDING_LEAST = 0.001, 8
 #: A line belongs to a sender's ending if it stands behind the closing formula in so many different messages of the sender,
 #: or at the end of so many without a closing formula, and in this share of the sender's messages.
 LINE_CLOSED, LINE_OPEN, LINE_SHARE = 2, 3, 0.02
+#: Sizes of a layout, not of a text: an introducing line, wrapped, has at most so many characters; a delimiter stands at most
+#: so many lines above the end of its part, else it divides the own text; a signature block has at most so many lines, each of
+#: so many characters. No row of sf0.1 depends on any of them; they keep dividers, lists and long lines of other texts.
+INTRODUCTION_CHARS, DELIMITER_LINES, BLOCK_LINES, SIGNATURE_CHARS = 260, 11, 8, 70
 FLUSH = 100_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -93,7 +97,7 @@ def introduction(lines: list[str], i: int) -> int:
             if i + n > len(lines) or not lines[i + n - 1].strip():
                 return 0
             joined += " " + lines[i + n - 1].strip()
-        if len(joined) > 260:
+        if len(joined) > INTRODUCTION_CHARS:
             return 0
         if joined.endswith(":"):
             return n if _ADDRESS.search(joined) and _WHEN.search(joined) or _WHEN.search(joined) and re.search(r"\b(?:wrote|a écrit|schrieb)\b", joined) else 0
@@ -244,7 +248,7 @@ def endings(lines: list[str], taken: list[bool], recurring: frozenset[str]) -> l
             if start > a:
                 break
         closed = next((k for k in reversed(full) if k < end and _closing(lines[k], k == full[0] and len(full) > 2)), None)
-        delimiter = next((k for k in [x for x in full if x < end][-11:] if _DELIMITER.match(lines[k])), None)
+        delimiter = next((k for k in [x for x in full if x < end][-DELIMITER_LINES:] if _DELIMITER.match(lines[k])), None)
         if delimiter is not None:
             mark(delimiter, end)
             end = min(end, delimiter)
@@ -259,7 +263,7 @@ def endings(lines: list[str], taken: list[bool], recurring: frozenset[str]) -> l
                     break
         else:
             before = [k for k in full if k < end]
-            named = next((k for n, k in enumerate(before) if len(before) - n <= 8 and _NAME.match(lines[k]) and (_sign_block(lines, before[n:]) or n == len(before) - 1 and n and not lines[k - 1].strip())), None)
+            named = next((k for n, k in enumerate(before) if len(before) - n <= BLOCK_LINES and _NAME.match(lines[k]) and (_sign_block(lines, before[n:]) or n == len(before) - 1 and n and not lines[k - 1].strip())), None)
             if named is not None:
                 mark(named, end)
     return out
@@ -280,12 +284,12 @@ def _notice_starts(line: str, recurring: frozenset[str]) -> bool:
 def _signs(line: str) -> bool:
     """A line as signatures have it; a sentence is none."""
     t = line.strip()
-    return len(t) <= 70 and not (t[-1] in ".!?" and len(t.split()) > 6) and not t.endswith(",")
+    return len(t) <= SIGNATURE_CHARS and not (t[-1] in ".!?" and len(t.split()) > 6) and not t.endswith(",")
 
 
 def _sign_block(lines: list[str], block: list[int]) -> bool:
     """A name followed by a few short lines up to the end of the text, one of which may tell a contact."""
-    if len(block) > 8 or len(block) < 2 or block[-1] - block[0] > len(block) + 1:
+    if len(block) > BLOCK_LINES or len(block) < 2 or block[-1] - block[0] > len(block) + 1:
         return False
     rest = [lines[k].strip() for k in block[1:]]
     return all(_signs(t) for t in rest) and (any(_CONTACT.search(t) for t in rest) or all(len(t.split()) <= 6 and t[0].isupper() for t in rest))
