@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,9 +12,9 @@ from lettrine.functions import hashes, markup, responses
 from lettrine.functions import text as X
 from lettrine.operators import dedup, documents, ordering
 from lettrine.operators.upsert import message_key
-from lettrine.plans import enrich
-from lettrine.sources import archive
-from lettrine.workspace import fresh_path, table
+from lettrine.plans import enrich, ingest, parse, spec
+from lettrine.sources import archive, index, mailbox
+from lettrine.workspace import fresh_path, persisted, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -166,14 +167,14 @@ def recover_predicate(spark: SparkSession, d: str) -> DataFrame:
 
 
 @_query("""
-WITH jobs AS (SELECT upload_id, md5, email_dossier_path, email_stem FROM dropbox_uploads ORDER BY string_split(email_dossier_path, '/'), email_stem, upload_id LIMIT 500)
+WITH jobs AS (SELECT upload_id, md5, email_dossier_path, email_stem FROM dropbox_uploads WHERE account_name IN ('ALPHA', 'BETA') ORDER BY string_split(email_dossier_path, '/'), email_stem, upload_id LIMIT 500)
 SELECT md5, upload_id FROM (SELECT *, row_number() OVER (PARTITION BY md5 ORDER BY string_split(email_dossier_path, '/'), email_stem, upload_id) AS n FROM jobs) WHERE n = 1
 """)
 def limit_before_dedup(spark: SparkSession, d: str) -> DataFrame:
-    """The limit of a run counts jobs before duplicates are skipped."""
-    order = [X.path_order("email_dossier_path"), F.col("email_stem"), F.col("upload_id")]
-    jobs = table(spark, d, "dropbox_uploads").select("upload_id", "md5", "email_dossier_path", "email_stem").orderBy(*order).limit(500)
-    return dedup.first_wins(jobs, "md5", order).select("md5", "upload_id")
+    """The limit of a run counts jobs of all its accounts before duplicates are skipped."""
+    rows = table(spark, d, "dropbox_uploads").select("account_name", "md5", F.col("email_dossier_path").alias("folder"), F.col("email_stem").alias("stem"), F.col("upload_id").alias("position"))
+    jobs = enrich.jobs(rows, ["ALPHA", "BETA"], 500).select("md5", X.path_order("folder").alias("place"), "stem", "position")
+    return dedup.first_wins(jobs, "md5", [F.col("place"), F.col("stem"), F.col("position")]).select("md5", F.col("position").alias("upload_id"))
 
 
 @_query("SELECT email_folder, dense_rank() OVER (ORDER BY string_split(email_folder, '/')) AS place FROM (SELECT DISTINCT email_folder FROM parsed_emails WHERE email_folder IS NOT NULL)")
@@ -351,8 +352,6 @@ def account_filter(spark: SparkSession, d: str) -> DataFrame:
 
 @_query(f"SELECT DISTINCT id FROM (SELECT {_ID.format('m')} AS id FROM (SELECT unnest(message_ids) AS m FROM message_index) UNION ALL SELECT {_ID.format('message_id')} FROM parsed_emails) WHERE id <> ''")
 def index_union(spark: SparkSession, d: str) -> DataFrame:
-    from lettrine.sources import index
-
     known = table(spark, d, "message_index").select(F.explode("message_ids").alias("m")).select(message_key("m").alias("id"))
     return index.union(known, table(spark, d, "parsed_emails").select(message_key("message_id").alias("id")))
 
@@ -495,7 +494,7 @@ def mime_attachments(spark: SparkSession, d: str) -> DataFrame:
     """Messages with two equally named documents and an image of the layout: names, hashes and sizes of the documents."""
     from lettrine.plans import mime
 
-    sql = _PARTS.replace("nl", "char(13) || char(10)").replace("sha256(", "sha2(").replace("'')) ||", "''), 256) ||")
+    sql = re.sub(r"\bnl\b", "char(13) || char(10)", _PARTS).replace("sha256(", "sha2(").replace("'')) ||", "''), 256) ||")
     rows = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("path"), F.encode(F.expr(sql), "UTF-8").alias("content"))
     a = mime.parse(rows).select(F.col("path").cast("long").alias("doc_id"), F.posexplode("attachments").alias("pos", "a"))
     return a.select("doc_id", "pos", F.col("a.meta.original_name").alias("name"), F.col("a.meta.mime_type").alias("mime"), F.col("a.meta.md5").alias("md5"), F.col("a.meta.size").alias("size"))
@@ -521,6 +520,137 @@ def filing_plan(spark: SparkSession, d: str) -> DataFrame:
     return documents.plan(rows, "/Archives").select("upload_id", "final_file_name", "xml_file_name", "dropbox_path", "year_folder", "error")
 
 
+@_query(f"SELECT DISTINCT {_ID.format('m')} AS id FROM (SELECT unnest(message_ids) AS m FROM message_index) WHERE id <> ''")
+def index_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """The index of message ids, written as its JSON document and loaded again."""
+    ids = table(spark, d, "message_index").select(F.explode("message_ids").alias("m")).select(message_key("m").alias("id")).where("id is not null")
+    path = fresh_path(spark, "index") + "/message-index.json"
+    index.export(ids, path)
+    return index.load(spark, path)
+
+
+@_query("SELECT upload_id::VARCHAR AS md5, '' AS email_subject, year_folder, email_importance FROM dropbox_uploads")
+def archive_tolerant(spark: SparkSession, d: str) -> DataFrame:
+    """An archive of two files, one with other types and columns, one without some: read in the stored columns."""
+    path = fresh_path(spark, "archive")
+    rows = table(spark, d, "dropbox_uploads").select(F.col("upload_id").alias("md5"), F.nullif("year_folder", F.lit("")).alias("year_folder"), "email_importance", F.lit(1).alias("unknown"))
+    rows.where("md5 % 2 = 0").write.parquet(path)
+    rows.where("md5 % 2 = 1").drop("unknown").write.mode("append").parquet(path)
+    return archive.load(spark, path).select("md5", "email_subject", "year_folder", "email_importance")
+
+
+_STEM = _trim("regexp_replace(regexp_replace(string_split(email_file_name, '/')[-1], '^(.+)[.][^.]*$', '\\1', 's'), '[:/*?|!#$%^<>\"\\r\\n\\t]', '', 'g')")
+
+
+@_query(f"""
+SELECT folder, name, record_id FROM (
+  SELECT *, row_number() OVER (PARTITION BY folder, stem ORDER BY name, record_id) AS n FROM (
+    SELECT email_folder AS folder, email_file_name AS name, record_id, CASE WHEN s = '' THEN 'email' ELSE s END AS stem FROM (
+      SELECT *, {_STEM} AS s FROM parsed_emails WHERE email_folder IS NOT NULL AND email_file_name IS NOT NULL)) WHERE (folder, stem) NOT IN (SELECT email_dossier_path, email_stem FROM dropbox_uploads)) WHERE n = 1
+""")
+def parse_pending(spark: SparkSession, d: str) -> DataFrame:
+    """Saved messages that have no bundle yet, those whose names clean alike once; the archive stands for the bundles."""
+    listing = table(spark, d, "parsed_emails").where("email_folder is not null and email_file_name is not null").select(F.col("email_folder").alias("folder"), F.col("email_file_name").alias("name"), "record_id", F.format_string("%020d", "record_id").alias("path"))
+    done = table(spark, d, "dropbox_uploads").select(F.col("email_dossier_path").alias("folder"), F.col("email_stem").alias("stem"))
+    return parse.pending(listing, done).select("folder", "name", "record_id")
+
+
+@_query("SELECT upload_id FROM dropbox_uploads WHERE NOT (upload_id % 3 = 0 OR upload_id % 3 = 1 AND parse_json_content = '' AND parse_xml_content = '')")
+def up_to_date_filter(spark: SparkSession, d: str) -> DataFrame:
+    """Documents whose input changed since their answer: a third is unchanged, of a third the message became empty."""
+    rows = table(spark, d, "dropbox_uploads").select("upload_id", F.lit("f").alias("folder"), F.lit("s").alias("stem"), F.col("upload_id").alias("position"), F.col("parse_json_content").alias("json"), F.col("parse_xml_content").alias("xml"), F.lit(None).cast("binary").alias("content"))
+    before = rows.where("upload_id % 3 < 2").withColumn("json", F.when(F.col("upload_id") % 3 == 0, F.col("json")).otherwise("")).withColumn("xml", F.when(F.col("upload_id") % 3 == 0, F.col("xml")).otherwise(""))
+    return enrich.outdated(enrich.with_input_hash(rows, "spec"), enrich.with_input_hash(before, "spec")).select("upload_id")
+
+
+@_query("SELECT array_to_string(list_sort(list_distinct(list(sub_folder))), '|') AS sub_folders FROM dropbox_uploads WHERE sub_folder <> ''")
+def distinct_sub_folders(spark: SparkSession, d: str) -> DataFrame:
+    pairs = table(spark, d, "dropbox_uploads").where("sub_folder <> ''").groupBy("main_folder").agg(F.collect_set("sub_folder").alias("subs"))
+    taxonomy = pairs.agg(F.map_from_entries(F.collect_list(F.struct("main_folder", "subs"))).alias("t"))  # a handful of folders
+    return taxonomy.select(F.array_join(documents.sub_folders(F.col("t")), "|").alias("sub_folders"))
+
+
+_ALTERNATIVE = (
+    "'Subject: S' || nl || 'MIME-Version: 1.0' || nl || 'Content-Type: multipart/mixed; boundary=\"m\"' || nl || nl || '--m' || nl || 'Content-Type: multipart/alternative; boundary=\"b\"' || nl || nl"
+    " || '--b' || nl || 'Content-Type: text/html; charset=utf-8' || nl || nl || '<p>not shown</p>' || nl || '--b' || nl || 'Content-Type: text/plain; charset=utf-8' || nl || 'Content-Transfer-Encoding: 8bit' || nl || nl || body || nl || '--b--' || nl"
+    " || '--m' || nl || 'Content-Type: text/html; charset=utf-8' || nl || 'Content-Disposition: inline' || nl || nl || '<p>one<br>two ' || doc_id || '</p>' || nl || '--m--' || nl"
+)
+
+
+@_query("""
+SELECT doc_id, '    <part path="1" kind="multipart" mime-type="multipart/mixed" boundary="m" disposition="inline">' || chr(10)
+  || '      <part path="1.1.2" kind="body" mime-type="text/plain" charset="utf-8" transfer-encoding="8bit" disposition="inline">' || chr(10)
+  || '        <content format="plain"><![CDATA[' || replace(body, ']]>', ']]]]><![CDATA[>') || ']]></content>' || chr(10) || '      </part>' || chr(10)
+  || '      <part path="1.2" kind="body" mime-type="text/html" charset="utf-8" disposition="inline">' || chr(10)
+  || '        <content format="markdown" source-format="html"><![CDATA[one' || chr(10) || 'two ' || doc_id || ']]></content>' || chr(10) || '      </part>' || chr(10) || '    </part>' AS xml
+FROM (SELECT doc_id, sha256(coalesce(text, '')) || ']]>' AS body FROM documents)
+""")
+def mime_xml(spark: SparkSession, d: str) -> DataFrame:
+    """Messages with an alternative, of which the plain form is taken, and an HTML body: the XML of their bodies."""
+    from lettrine.plans import mime
+
+    sql = re.sub(r"\bnl\b", "char(13) || char(10)", _ALTERNATIVE).replace("|| body ||", "|| sha2(coalesce(text, ''), 256) || ']]>' ||")
+    rows = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("path"), F.encode(F.expr(sql), "UTF-8").alias("content"))
+    return mime.parse(rows).select(F.col("path").cast("long").alias("doc_id"), F.col("body_xml").alias("xml"))
+
+
+_ANSWER = '{"email_summary": "s", "email_importance": "HAUTE", "attachment_summaries": [{"file_name": "%s", "mime_type": null, "summary": "s", "importance": "BASSE", "proposed_file_name": "2024 f", "main_folder": "%s", "sub_folder": "%s"}]}'
+
+
+@_query("""
+SELECT doc_id, CASE WHEN doc_id % 5 <> 0 AND doc_id % 7 <> 0 THEN '{"email_summary": "s", "email_importance": "HAUTE", "attachment_summaries": [{"file_name": "' || doc_id || '", "mime_type": null, "summary": "s", "importance": "BASSE", "proposed_file_name": "2024 f", "main_folder": "A", "sub_folder": "X"}]}' END AS ai,
+  CASE WHEN doc_id % 5 = 0 THEN 'ServiceError: status 400: no' WHEN doc_id % 7 = 0 THEN 'ValueError: $.attachment_summaries[0].main_folder: not one of the allowed values' END AS error FROM documents
+""")
+def enrich_run(spark: SparkSession, d: str) -> DataFrame:
+    """Answers of a model that is busy at first, needs a repair for every third, refuses every fifth and never mends every seventh."""
+    s = spec.read('## Folder Taxonomy\n```json\n{"A": ["X"], "B": ["Y"]}\n```\n')
+
+    def factory():
+        asked: dict[int, int] = {}
+
+        def model(request: dict) -> dict:
+            doc = int(request["prompt"].split("\n")[0])
+            asked[doc] = asked.get(doc, 0) + 1
+            if doc % 5 == 0:
+                raise enrich.ServiceError(400, "no")
+            if asked[doc] == 1 and doc % 2 == 0:
+                raise enrich.ServiceError(503, "busy", wait_s=0)
+            repaired = request["cache_key"].endswith(":repair")
+            main, sub = ("C", "X") if doc % 7 == 0 else ("A", "Y") if doc % 3 == 0 and not repaired else ("A", "X")
+            return {"output_text": _ANSWER % (doc, main, sub)}
+
+        return model
+
+    request = F.to_json(F.struct(F.col("doc_id").cast("string").alias("prompt"), F.lit("k").alias("cache_key")))
+    rows = table(spark, d, "documents").select(F.lit("f").alias("folder"), F.col("doc_id").cast("string").alias("stem"), F.lit(0).alias("position"), F.lit("h").alias("input_hash"), request.alias("request"))
+    good, bad = enrich.run(rows, s, factory)
+    doc = F.col("stem").cast("long").alias("doc_id")
+    none = F.lit(None).cast("string")
+    return good.select(doc, "ai", none.alias("error")).unionByName(bad.select(F.element_at(F.split("key", "/"), 2).cast("long").alias("doc_id"), none.alias("ai"), "error"))
+
+
+@_query(f"""
+WITH known AS (SELECT {_ID.format("m")} AS id FROM (SELECT unnest(message_ids) AS m FROM message_index)),
+named AS (SELECT record_id, '<' || {_ID.format("message_id")} || '>' AS id, {_ID.format("message_id")} AS bare FROM parsed_emails)
+SELECT id, min(record_id) AS record_id FROM named WHERE bare <> '' AND NOT contains(bare, ' ') AND bare NOT IN (SELECT id FROM known WHERE id IS NOT NULL) GROUP BY id
+""")
+def ingest_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """Messages written to a folder of saved mail, each new one once, and read again by the mailbox source."""
+    key = message_key("message_id")
+    known = table(spark, d, "message_index").select(F.explode("message_ids").alias("m")).select(F.concat(F.lit("<"), message_key("m"), F.lit(">")).alias("id")).where("id is not null")
+    nl = F.lit("\r\n")
+    raw = F.concat(F.lit("Message-ID: <"), key, F.lit(">"), nl, F.lit("From: A <a@x.test>"), nl, F.lit("Subject: "), F.col("record_id").cast("string"), nl, F.lit("Date: Tue, 17 Nov 2026 10:00:00 +0100"), nl, nl, F.lit("body"), nl)
+    e = table(spark, d, "parsed_emails").where(key.isNotNull() & ~F.contains(key, F.lit(" ")))
+    mails = e.select(F.lit("A").alias("account"), F.lit("in").alias("direction"), F.lit("INBOX").alias("folder"), F.format_string("%020d", "record_id").alias("path"), F.col("record_id").alias("seq"), F.encode(raw, "UTF-8").alias("content"))
+    base = fresh_path(spark, "mails")
+    held = spark.createDataFrame([], "id string")
+    mails = persisted(mails, "mails")
+    ingest.save(ingest.with_contents(ingest.named(ingest.to_save(mails, known, held)), mails), base).write.format("noop").mode("overwrite").save()
+    mailbox.register(spark)
+    read = spark.read.format("mailbox").option("path", base.removeprefix("file://")).load()
+    return ingest.headers(read).select("id", F.regexp_extract("subject", r"(\d+)\z", 1).cast("long").alias("record_id"))
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 

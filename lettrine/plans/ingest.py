@@ -14,6 +14,7 @@ from lettrine.functions import text as X
 from lettrine.operators import dedup
 from lettrine.plans import mime
 from lettrine.sources.files import Folder
+from lettrine.workspace import persisted
 
 
 #: Columns of a message that its headers keep, and those that are read from it.
@@ -48,13 +49,15 @@ def headers(messages: DataFrame) -> DataFrame:
 
 
 def to_save(messages: DataFrame, index: DataFrame, on_disk: DataFrame, recover: bool = False) -> DataFrame:
-    """New messages once each, outgoing folders first; recovered ones with every copy.
-
-    The choice is made on headers; the contents join what is chosen.
-    """
-    rows = dedup.new_or_recoverable(headers(messages), index, on_disk, recover)
+    """New messages once each, outgoing folders first; recovered ones with every copy. Rows have headers only."""
+    rows = dedup.new_or_recoverable(persisted(headers(messages), "headers"), index, on_disk, recover)
     fresh = dedup.first_wins(rows.where(~F.col("recovered")), "id", [F.col("seq"), F.col("path")])
-    return fresh.unionByName(rows.where("recovered")).join(messages.select("path", "content"), "path")
+    return persisted(fresh.unionByName(rows.where("recovered")), "to-save")
+
+
+def with_contents(rows: DataFrame, messages: DataFrame) -> DataFrame:
+    """The chosen and named messages with their bytes."""
+    return rows.join(messages.select("path", "content"), "path")
 
 
 def named(rows: DataFrame, group: bool = True) -> DataFrame:

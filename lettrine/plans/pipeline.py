@@ -68,7 +68,7 @@ class Run:
             disk = self.spark.read.format("mailbox").option("path", self.config.baseFolder).option("skip", self.config.parseIaFolder).option("anyCase", "false").load()
             mails = persisted(self._mails(a, mail_root), "mails")  # fetched once
             rows = ingest.named(ingest.to_save(mails, ids, ingest.headers(disk).select("id"), a.recover), a.groupByContact)
-            saved = ingest.save(rows, base).where("error is null").select("id").cache()
+            saved = ingest.save(ingest.with_contents(rows, mails), base).where("error is null").select("id").cache()
             index.export(index.union(ids, saved), state)
             saved.unpersist()
 

@@ -3,19 +3,27 @@
 from __future__ import annotations
 
 import json
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lettrine.sources.files import Folder
+
 VERSION = 2
 
 
+def _place(path: str) -> tuple[Folder, str]:
+    folder, _, name = path.rpartition("/")
+    return Folder(folder or "."), name
+
+
 def load(spark: SparkSession, path: str) -> DataFrame:
-    """(id) of a JSON index; a missing file is an empty index."""
-    if "://" not in path and not os.path.exists(path):
+    """(id) of a JSON index, in any file system; a missing file is an empty index."""
+    folder, name = _place(path)
+    if not folder.exists(name):
         return spark.createDataFrame([], "id string")
-    return spark.read.schema("version int, message_ids array<string>").option("multiLine", "true").json(path).select(F.explode("message_ids").alias("id")).distinct()
+    at = f"file://{folder.at(name)}" if folder.local else path
+    return spark.read.schema("version int, message_ids array<string>").option("multiLine", "true").json(at).select(F.explode("message_ids").alias("id")).distinct()
 
 
 def union(index: DataFrame, ids: DataFrame) -> DataFrame:
@@ -28,10 +36,11 @@ def export(ids: DataFrame, path: str) -> None:
     The format is a single document, so this export goes through the driver row by
     row; the table of ids is the index that pipelines use.
     """
-    tmp = f"{path}.tmp"
-    with open(tmp, "w", encoding="utf-8") as f:
-        f.write('{"version": %d, "message_ids": [' % VERSION)
+    folder, name = _place(path)
+    folder.make()
+    with folder.fs.open_output_stream(folder.at(f"{name}.part")) as f:
+        f.write(b'{"version": %d, "message_ids": [' % VERSION)
         for i, r in enumerate(ids.select("id").distinct().orderBy(F.col("id").cast("binary")).toLocalIterator()):
-            f.write(("," if i else "") + "\n  " + json.dumps(r[0], ensure_ascii=False))
-        f.write("\n]}\n")
-    os.replace(tmp, path)
+            f.write((("," if i else "") + "\n  " + json.dumps(r[0], ensure_ascii=False)).encode("utf-8", "replace"))
+        f.write(b"\n]}\n")
+    folder.fs.move(folder.at(f"{name}.part"), folder.at(name))

@@ -299,8 +299,9 @@ def test_no_contents_in_aggregates(spark, tmp_path):
     (tmp_path / "1.eml").write_bytes(raw(PLAIN))
     mails = spark.read.format("mailbox").option("path", str(tmp_path)).load()
     none = spark.createDataFrame([], "id string")
-    saved = ingest.to_save(mails, none, none)
-    assert saved.count() == 1 and saved.first()["content"] == raw(PLAIN)
+    chosen = ingest.to_save(mails, none, none)
+    saved = ingest.with_contents(chosen, mails)
+    assert "content" not in chosen.columns and saved.count() == 1 and saved.first()["content"] == raw(PLAIN)
     pending = parse.pending(mails, spark.createDataFrame([], "folder string, stem string"))
     for df in (saved, pending):
         plan = df._jdf.queryExecution().optimizedPlan().toString()
