@@ -36,6 +36,8 @@ from lettrine.llm.base import persisted
 #: Encodings in which bytes may wrongly have been read, and those in which they were meant.
 WRONG = ("cp1252", "latin-1", "mac_roman", "cp437", "cp850", "cp1251", "cp1250", "iso8859-15", "cp1253", "koi8-r")
 MEANT = ("utf-8", "cp1252", "mac_roman", "cp850", "cp437")
+#: Steps of wrong decoding that are undone, one after the other.
+STEPS = 3
 LOST = "�"
 SIZE = 1 << 18
 #: Passes that clean the training values, and the log-odds from which such a pass leaves a value out.
@@ -136,14 +138,19 @@ def _softened(text: str) -> list[str]:
 
 
 def undone(text: str) -> dict[str, str]:
-    """Candidates of one or two steps; a second step only after one that gave UTF-8."""
+    """Candidates of up to ``STEPS`` steps with their chains; a further step only after one that gave UTF-8, and to UTF-8."""
     out: dict[str, str] = {}
-    for base in _softened(text):
-        for candidate, chain in undone_once(base):
-            out.setdefault(candidate, chain)
-            if chain.endswith("utf-8") and not candidate.isascii():
-                for again, second in undone_once(candidate, ("utf-8",)):
-                    out.setdefault(again, f"{chain},{second}")
+    last = [(base, "") for base in _softened(text)]
+    for step in range(STEPS):
+        found = []
+        for now, before in last:
+            for candidate, chain in undone_once(now, ("utf-8",) if step else MEANT):
+                whole = f"{before},{chain}" if before else chain
+                if candidate not in out:
+                    out[candidate] = whole
+                    if chain.endswith("utf-8") and not candidate.isascii():
+                        found.append((candidate, whole))
+        last = found
     out.pop(text, None)
     return out
 

@@ -310,6 +310,15 @@ def test_margin_by_all_values(spark):
     assert table[0].sum() == len(kept) and table[1].sum() == len(bad) and garble.margin_of(table) == (best[0] + best[-1]) / 2
 
 
+def test_chains_of_several_steps():
+    for wrongs in (("cp1252", "cp1252", "cp1252"), ("mac_roman", "cp1252", "cp1252"), ("cp1252", "latin-1")):
+        seen = "Réunion à Orléans"
+        for wrong in wrongs:
+            seen = garble.from_bytes(seen.encode(), wrong)
+        chain = garble.undone(seen)["Réunion à Orléans"]
+        assert chain.count(",") == len(wrongs) - 1 and garble.restored(seen, chain) == "Réunion à Orléans"
+
+
 def test_chains_undo_what_was_done():
     r = random.Random(1)
     for _ in range(300):
