@@ -255,22 +255,18 @@ def learn(spellings: DataFrame) -> Words:
     wide = at.groupBy("domain").agg(F.countDistinct("local").alias("n"), F.max(boxed.cast("int")).alias("boxed"))
     w.private = frozenset(r["domain"] for r in wide.where((F.col("n") > F.lit(max(PRIVATE_SURNAMES, 0.001 * n_orgs))) & (F.col("boxed") == 0)).collect())
 
-    def firms(name, address):
+    def shown(name, address):
         at = split_address(address)
-        if not at or at[0] not in w.mailboxes:
-            return []
-        return [(p, "", at[2]) for t in name_tokens(name)[0] for p in {t, *t.split("-")} if bare(p) and bare(p) != at[2]]
-
-    w.firm = frozenset(r["word"] for r in _counted(spellings, firms, share(0.001, 3)))
-
-    def givens(name, address):
-        at = split_address(address)
-        if not at or at[0] in w.mailboxes:
+        if not at:
             return []
+        if at[0] in w.mailboxes:  # words beside the name of a firm
+            return [(p, "firm", at[2]) for t in name_tokens(name)[0] for p in {t, *t.split("-")} if bare(p) and bare(p) != at[2]]
         local = [p for p in re.split(r"[._]", at[0]) if len(p) > 1] if re.search(r"[._]", at[0]) else []
-        return [(p, "", at[0] if at[1] in w.private else at[2]) for p in local]
+        return [(p, "person", at[0] if at[1] in w.private else at[2]) for p in local]
 
-    w.given = {r["word"]: r["orgs"] for r in _counted(spellings, givens, share(0.0005, 3))}
+    told = _counted(spellings, shown, share(0.0005, 3))
+    w.firm = frozenset(r["word"] for r in told if r["other"] == "firm" and r["orgs"] >= max(3, 0.001 * n_orgs))
+    w.given = {r["word"]: r["orgs"] for r in told if r["other"] == "person"}
     w.index_given()
 
     def nicks(name, address):
